@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate
+from . import decontaminate, quality
 from .shared import table
 
 
@@ -18,7 +18,15 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_decontaminate": op2_decontaminate}
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": op2_decontaminate,
+    "op5_quality_rules": op5_quality_rules,
+}
 
 #: DuckDB SQL for those that SQL can express.
 ORACLES: dict[str, str] = {}

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality
-from .shared import table
+from . import decontaminate, quality, tokens
+from .shared import Scratch, table
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,13 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "op4")
+    folder = f"{scratch.path}/shards"
+    vocabulary = tokens.Vocabulary(spark, tokens.vocabulary_path("byte_bpe_50k.json"))
+    return tokens.read_documents(tokens.write_ids(table(spark, sf_dir, "documents"), vocabulary, 2, folder, scratch), folder)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -25,6 +32,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
+    "op4_token_ids": op4_token_ids,
     "op5_quality_rules": op5_quality_rules,
 }
 

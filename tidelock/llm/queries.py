@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality, tokens
+from . import decontaminate, neardup, packing, quality, tokens
 from .shared import Scratch, table
 
 
@@ -30,6 +30,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Rule(words=3, percent=85), Scratch(spark, "op6"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = tokens.Vocabulary(spark, tokens.vocabulary_path("word_bpe_49k.json"))
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary, 1, Scratch(spark, "op7"))
@@ -39,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op4_token_ids": op4_token_ids,
     "op5_quality_rules": op5_quality_rules,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_packing": op7_packing,
 }
 

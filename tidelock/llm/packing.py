@@ -10,7 +10,6 @@ length, which is found without gathering the pieces of a length anywhere.
 
 from __future__ import annotations
 
-import struct
 import zlib
 from collections.abc import Iterator
 
@@ -20,8 +19,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import Scratch, only
-from .tokens import Vocabulary, text_lists
+from . import textvec as tv
+from .shared import Scratch, only, utf8
+from .tokens import Vocabulary
 
 SEQUENCE_TOKENS = 2048
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, nth long"
@@ -87,25 +87,24 @@ class Places:
 
 
 def _cut(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, end_id: int, room: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    encoder, end, part, seen = vocabulary.encoder(), struct.pack("<I", end_id), TaskContext.get().partitionId(), np.zeros(room + 1, np.int64)
+    encoder, part, seen = vocabulary.encoder(), TaskContext.get().partitionId(), np.zeros(room + 1, np.int64)
+    end = np.array([end_id], "<u4")
     names = [f.split()[0] for f in PIECES.split(", ")]
-    for batch in batches:
-        doc_ids = batch.column(0).to_pylist()
-        for first, texts in text_lists(batch, "text"):
-            rows, ids = [], []
-            for k, data in enumerate(encoder.encode(texts)):
-                data += end
-                n = len(data) // 4
-                for start in range(0, n, room):
-                    piece = data[4 * start : 4 * (start + room)]
-                    length = len(piece) // 4
-                    rows.append((doc_ids[first + k], start, length, zlib.crc32(piece), n, part, int(seen[length])))
-                    seen[length] += 1
-                    ids.append(piece)
-            columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
-            if with_ids:
-                columns.append(pa.array(ids, pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, names=names + ["ids"] * with_ids)
+    for batch, buf, offsets in tv.steps(batches, "text"):
+        all_ids, at = encoder.encode(buf, offsets)
+        rows, ids = [], []
+        for doc_id, a, b in zip(batch.column(0).to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+            data = np.concatenate((all_ids[a:b].astype("<u4"), end))
+            for start in range(0, len(data), room):
+                piece = data[start : start + room]
+                rows.append((doc_id, start, len(piece), zlib.crc32(piece), len(data), part, int(seen[len(piece)])))
+                seen[len(piece)] += 1
+                if with_ids:
+                    ids.append(piece.tobytes())
+        columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
+        if with_ids:
+            columns.append(pa.array(ids, pa.binary()))
+        yield pa.RecordBatch.from_arrays(columns, names=names + ["ids"] * with_ids)
 
 
 def pack(docs: DataFrame, vocabulary: Vocabulary, end_id: int, scratch: Scratch, room: int = SEQUENCE_TOKENS, with_ids: bool = False) -> DataFrame:
@@ -114,7 +113,7 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, end_id: int, scratch: Scratch,
     A null text is empty and has the end id alone.  Rows that repeat a doc_id, and rows whose doc_id is null, are
     packed each for itself.  Other columns are not read.  An empty table has no pieces.
     """
-    source = only(docs, doc_id=F.col("doc_id").cast("long"), text=F.col("text").cast("string"))
+    source = only(docs, doc_id=F.col("doc_id").cast("long"), text=utf8("text"))
     schema = PIECES + ", ids binary" * with_ids
     pieces = scratch.keep(source.mapInArrow(lambda b: _cut(b, vocabulary, end_id, room, with_ids), schema), "pieces")
     held = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))

@@ -27,19 +27,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import Scratch, only
-
-#: Unicode White_Space, the `\s` of both pre-tokenizers below (fixed values).
-SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Where a text can be cut without changing its ids: the files' pre-tokenizers never join across these cuts.
-CUTS = {
-    "byte_bpe_50k.json": f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+",  # a space belongs to the next word
-    "word_bpe_49k.json": f"[^{SPACE}]+",  # white space is dropped
-}
+from . import textvec as tv
+from .shared import Scratch, only, utf8
+
+#: How the files' pre-tokenizers treat white space, across which they never join: "kept", a space belongs to the next
+#: word and the rest of a run is a piece of its own, or "dropped".  Texts are cut there and each piece is encoded once.
+CUTS = {"byte_bpe_50k.json": "kept", "word_bpe_49k.json": "dropped"}
+#: White space outside ASCII in UTF-8 (fixed values); a text that has it is encoded as a whole.
+FAR_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 #: A vocabulary file is sent to the tasks; a larger one is refused.
 VOCABULARY_BYTES = 64 << 20
-#: Pieces whose ids are remembered in a task, and the longest of them.
-REMEMBERED, REMEMBERED_CHARS = 400_000, 48
+#: Pieces whose ids a task remembers.
+REMEMBERED = 1_200_000
 #: Ids in a shard, at most, but for a single longer document.
 SHARD_IDS = 16 << 20
 
@@ -51,7 +50,7 @@ def vocabulary_path(name: str) -> str:
 
 
 class Encoder:
-    """Ids of a tokenizers file. With `cut`, texts are cut where that can't matter and each piece is encoded once."""
+    """Ids of a tokenizers file; each piece of text goes through the library once and is then known by its 64-bit hash."""
 
     def __init__(self, definition: str, cut: str | None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -60,28 +59,89 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_padding(), self.tokenizer.no_truncation()
         self.tokenizer.encode_special_tokens = True
-        self.find = re.compile(cut).findall if cut else None
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        if not self.find:
-            return self._encode(texts)
+        self.cut = cut
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[int, int] = {}
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.place = np.zeros((2, 1 << 16), np.int64)  # start and length in the pool
+
+    def _library(self, texts: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
+
+    def _pieces(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of the pieces of all texts, in order."""
+        words = tv.Runs(buf, offsets, tv.SPACED)
+        if self.cut == "dropped":
+            return words.starts, words.ends
+        before = np.append(buf, 0)[words.starts - 1] if len(words.starts) else words.starts
+        inside = ~np.isin(words.starts, offsets)  # has a byte of its text before it
+        starts = words.starts - (inside & (before == 0x20))
+        # what is left of the runs of white space: all but the last character, and the last where it is no space
+        gaps = tv.Runs(buf, offsets, ~tv.SPACED)
+        at_end = np.isin(gaps.ends, offsets)
+        last = gaps.ends - 1
+        space = buf[last] == 0x20
+        lead_ends = np.where(at_end, gaps.ends, last)
+        lead = lead_ends > gaps.starts
+        single = ~at_end & ~space
+        all_starts = np.concatenate((starts, gaps.starts[lead], last[single]))
+        all_ends = np.concatenate((words.ends, lead_ends[lead], gaps.ends[single]))
+        order = np.argsort(all_starts, kind="stable")
+        return all_starts[order], all_ends[order]
+
+    def _known(self, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: bytes) -> np.ndarray:
+        """Numbers of the pieces with these distinct keys; new ones are encoded."""
+        get = self.known.get
+        number = np.array([get(k, -1) for k in keys.tolist()], np.int64)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            ids = self._library([data[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
+            count = len(self.known)
+            while self.used + len(flat) > len(self.pool):
+                self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
+            while count + len(new) > self.place.shape[1]:
+                self.place = np.concatenate((self.place, np.zeros_like(self.place)), 1)
+            self.pool[self.used : self.used + len(flat)] = flat
+            self.place[0, count : count + len(new)] = self.used + np.cumsum(sizes) - sizes
+            self.place[1, count : count + len(new)] = sizes
+            self.used += len(flat)
+            number[new] = np.arange(count, count + len(new))
+            self.known.update(zip(keys[new].tolist(), number[new].tolist(), strict=True))
+        return number
+
+    def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, and the offsets at which each text's ids begin."""
+        data = buf.tobytes()
+        if not self.cut or FAR_SPACE.search(data):
+            whole = [data[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            odd = [k for k, t in enumerate(whole) if not self.cut or FAR_SPACE.search(t)]
+            parts: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(whole)
+            for k, ids in zip(odd, self._library([whole[k] for k in odd]), strict=True):
+                parts[k] = np.array(ids, np.uint32)
+            if len(odd) < len(whole):
+                plain = np.ones(len(whole), bool)
+                plain[odd] = False
+                lengths = np.where(plain, np.diff(offsets), 0)
+                ids, at = self._cut_and_encode(buf[np.repeat(plain, np.diff(offsets))], np.concatenate(([0], np.cumsum(lengths))), b"".join(t for t, p in zip(whole, plain, strict=True) if p))
+                for k in np.flatnonzero(plain).tolist():
+                    parts[k] = ids[at[k] : at[k + 1]]
+            return np.concatenate(parts) if parts else np.zeros(0, np.uint32), np.cumsum([0, *map(len, parts)])
+        return self._cut_and_encode(buf, offsets, data)
+
+    def _cut_and_encode(self, buf: np.ndarray, offsets: np.ndarray, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        starts, ends = self._pieces(buf, offsets)
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        cut = [self.find(t) for t in texts]
-        known = self.known
-        missing = list(set().union(*cut).difference(known))
-        fresh = dict(zip(missing, self._encode(missing), strict=True))
-        known.update(fresh)
-        out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
-        for piece in missing:
-            if len(piece) > REMEMBERED_CHARS:
-                del known[piece]
-        return out
+            self._forget()
+        keys, first, which = np.unique(tv.span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+        number = self._known(keys, starts[first], ends[first], data)[which]
+        begin, sizes = self.place[0][number], self.place[1][number]
+        done = np.concatenate(([0], np.cumsum(sizes)))
+        ids = self.pool[np.repeat(begin - done[:-1], sizes) + np.arange(done[-1])]
+        return ids, done[np.searchsorted(starts, offsets)]
 
 
 _encoders = cache(Encoder)
@@ -104,21 +164,6 @@ class Vocabulary:
         return _encoders(self.text.value, self.cut)
 
 
-def text_lists(batch: pa.RecordBatch, column: str, rows: int = 256, size: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
-    """Texts of a batch in lists of bounded size, each with the number of its first row; null is empty."""
-    col = batch.column(batch.schema.get_field_index(column))
-    held, first, chars = [], 0, 0
-    for k in range(len(col)):
-        text = col[k].as_py() or ""
-        held.append(text)
-        chars += len(text)
-        if len(held) >= rows or chars >= size:
-            yield first, held
-            held, first, chars = [], k + 1, 0
-    if held:
-        yield first, held
-
-
 class EliasFano:
     """A non-decreasing sequence of n values below `limit`: low bits packed, high bits in unary with select samples."""
 
@@ -200,12 +245,11 @@ class _Shard:
         self.out = self.fs.open_output_stream(f"{self.path}.ids")
         self.id_bytes, self.doc_ids, self.lengths, self.ids = id_bytes, [], [], 0
 
-    def add(self, doc_id: int | None, ids: bytes) -> None:
-        values = np.frombuffer(ids, "<u4")
-        self.out.write((values if self.id_bytes == 4 else values.astype("<u2")).tobytes())
+    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        self.out.write(ids.astype(f"<u{self.id_bytes}").tobytes())
         self.doc_ids.append(doc_id)
-        self.lengths.append(len(values))
-        self.ids += len(values)
+        self.lengths.append(len(ids))
+        self.ids += len(ids)
 
     def close(self) -> tuple[str, int, int]:
         self.out.close()
@@ -227,17 +271,16 @@ def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 def _write(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, end_id: int, folder: str, shard_ids: int) -> Iterator[pa.RecordBatch]:
-    encoder, end, part = vocabulary.encoder(), struct.pack("<I", end_id), TaskContext.get().partitionId()
+    encoder, end, part = vocabulary.encoder(), np.array([end_id], np.uint32), TaskContext.get().partitionId()
     shard, done = None, []
-    for batch in batches:
-        doc_ids = batch.column(0).to_pylist()
-        for first, texts in text_lists(batch, "text"):
-            for k, ids in enumerate(encoder.encode(texts)):
-                if shard and shard.ids and shard.ids + len(ids) // 4 >= shard_ids:
-                    done.append(shard.close())
-                    shard = None
-                shard = shard or _Shard(folder, vocabulary.id_bytes)
-                shard.add(doc_ids[first + k], ids + end)
+    for batch, buf, offsets in tv.steps(batches, "text"):
+        ids, at = encoder.encode(buf, offsets)
+        for doc_id, a, b in zip(batch.column(0).to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+            if shard and shard.ids and shard.ids + b - a >= shard_ids:
+                done.append(shard.close())
+                shard = None
+            shard = shard or _Shard(folder, vocabulary.id_bytes)
+            shard.add(doc_id, np.concatenate((ids[a:b], end)))
     if shard:
         done.append(shard.close())
     yield pa.RecordBatch.from_pydict({"part": [part] * len(done), "shard": list(range(len(done))), "path": [x[0] for x in done], "docs": [x[1] for x in done], "ids": [x[2] for x in done]}, schema=pa.schema([("part", pa.int64()), ("shard", pa.int64()), ("path", pa.string()), ("docs", pa.int64()), ("ids", pa.int64())]))
@@ -250,7 +293,7 @@ def write_ids(docs: DataFrame, vocabulary: Vocabulary, end_id: int, folder: str,
     A null doc_id sorts first; a null text is empty and has the end id alone; other columns are not read; an empty
     table writes no shard.
     """
-    source = only(docs, doc_id=F.col("doc_id").cast("long"), text=F.col("text").cast("string"))
+    source = only(docs, doc_id=F.col("doc_id").cast("long"), text=utf8("text"))
     ordered = source.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     listed = scratch.keep(ordered.mapInArrow(lambda b: _write(b, vocabulary, end_id, folder, shard_ids), "part long, shard long, path string, docs long, ids long"), "manifest")
     # a row a shard, of millions of ids each

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, neardup, packing, quality, substring, tokens
+from . import decontaminate, neardup, packing, quality, substring, tokens, urlfilter, warc
 from .shared import Scratch, table
 
 
@@ -43,6 +43,20 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary, 1, Scratch(spark, "op7"))
 
 
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge_urls(table(spark, sf_dir, "pages"), urlfilter.rule_table(spark, URL_RULES))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "op9")
+    folder = f"{scratch.path}/archives"
+    records = warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages"), folder, scratch), folder)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -50,7 +64,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_packing": op7_packing,
+    "op8_url_filters": op8_url_filters,
+    "op9_warc": op9_warc,
 }
 
 #: DuckDB SQL for those that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_url_filters": r"""
+        WITH parts AS (
+            SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages
+        ), split AS (
+            SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+            FROM parts
+        ), rules(verdict, host, path) AS (
+            VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+        ), fits AS (
+            SELECT s.page_id, r.host || r.path AS rule, r.verdict,
+                row_number() OVER (PARTITION BY s.page_id ORDER BY length(r.host || r.path) DESC) AS nth
+            FROM split s JOIN rules r ON (s.host = r.host OR ends_with(s.host, '.' || r.host)) AND starts_with(s.path, r.path)
+        )
+        SELECT s.page_id, s.host, s.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+        FROM split s LEFT JOIN fits f ON f.page_id = s.page_id AND f.nth = 1
+    """,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, neardup, packing, quality, substring, tokens, urlfilter, warc
+from . import decontaminate, html, neardup, packing, quality, substring, tokens, urlfilter, warc
 from .shared import Scratch, table
 
 
@@ -22,6 +22,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "op4")
     folder = f"{scratch.path}/shards"
@@ -60,6 +64,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontaminate": op2_decontaminate,
+    "op3_html_extraction": op3_html_extraction,
     "op4_token_ids": op4_token_ids,
     "op5_quality_rules": op5_quality_rules,
     "op6_near_duplicates": op6_near_duplicates,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, neardup, packing, quality, substring, tokens, urlfilter, warc
+from . import decontaminate, html, neardup, packing, quality, substring, tokens, toxicity, urlfilter, warc
 from .shared import Scratch, table
 
 
@@ -61,6 +61,11 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.judge(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_url_filters": op8_url_filters,
     "op9_warc": op9_warc,
+    "op10_toxicity": op10_toxicity,
 }
 
 #: DuckDB SQL for those that SQL can express.

@@ -37,6 +37,8 @@ SKETCH_BITS = 256
 MARGIN = 0.2
 #: Shingles that one side of a block holds, about; a single larger set is a side of its own.
 BLOCK_SHINGLES = 400_000
+#: Bits of the map that tells which texts are needed again, 8 MB at any size of corpus.
+SLOTS = 1 << 26
 
 
 @dataclass(frozen=True)
@@ -108,7 +110,8 @@ def band_keys(samples: np.ndarray, bands: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-FEATURES = "doc_id long, digest binary, size long, sketch binary, bands array<long>"
+SKETCH = tuple(f"s{k}" for k in range(SKETCH_BITS // 64))
+FEATURES = "doc_id long, digest binary, size long, " + ", ".join(f"{s} long" for s in SKETCH) + ", bands array<long>"
 
 
 def _features(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
@@ -118,20 +121,40 @@ def _features(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Reco
         sizes = np.diff(cut)
         full = np.flatnonzero(sizes)
         digests: list[bytes | None] = [None] * batch.num_rows
-        sketches: list[bytes | None] = [None] * batch.num_rows
+        sketches = np.zeros((batch.num_rows, len(SKETCH)), np.int64)
         bands: list[np.ndarray | None] = [None] * batch.num_rows
         if len(full):
             samples = min_samples(keys, np.append(cut[full], cut[-1]), rule.samples)
-            for i, s, b in zip(full.tolist(), odd_sketches(samples), band_keys(samples, rule.bands), strict=True):
-                digests[i], sketches[i], bands[i] = hashlib.blake2b(keys[cut[i] : cut[i + 1]].tobytes(), digest_size=16).digest(), s.tobytes(), b
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "digest", "size", "sketch", "bands"])
+            sketches[full] = odd_sketches(samples).view(np.int64)
+            for i, b in zip(full.tolist(), band_keys(samples, rule.bands), strict=True):
+                digests[i], bands[i] = hashlib.blake2b(keys[cut[i] : cut[i + 1]].tobytes(), digest_size=16).digest(), b
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), *(pa.array(sketches[:, k]) for k in range(len(SKETCH))), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "digest", "size", *SKETCH, "bands"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    for batch, buf, offsets in tv.steps(batches, "text"):
-        keys, text = shingle_sets(buf, offsets, rule.words)
-        cut = np.searchsorted(text, np.arange(batch.num_rows + 1))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([keys[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], names=["doc_id", "keys"])
+def _sets(batches: Iterator[pa.RecordBatch], rule: Rule, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Shingle sets of the texts whose slot the bitmap marks."""
+    for whole in batches:
+        slot = whole.column("slot").to_numpy()
+        marked = whole.filter(pa.array((wanted[slot >> 6] >> (slot & 63)) & 1 == 1))
+        for batch, buf, offsets in tv.steps([marked], "text"):
+            keys, text = shingle_sets(buf, offsets, rule.words)
+            cut = np.searchsorted(text, np.arange(batch.num_rows + 1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([keys[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], names=["doc_id", "keys"])
+
+
+def _sets_of(source: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
+    """The shingle sets (doc_id, keys) of documents.
+
+    A bitmap of fixed size lets most other texts go before they are shuffled, the join the rest: ids that meet in a slot
+    cost some shuffle, no result.
+    """
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
+    bits = wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits")).toPandas()
+    bitmap = np.zeros(SLOTS >> 6, np.int64)
+    bitmap[bits["at"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64)
+    shared = source.sparkSession.sparkContext.broadcast(bitmap)
+    found = source.withColumn("slot", slot).mapInArrow(lambda b: _sets(b, rule, shared.value), "doc_id long, keys binary")
+    return found.join(wanted.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -153,40 +176,53 @@ def _with_hub(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("hub"), pa.array(away, pa.float64()), pa.array(linked, pa.bool_())], names=["rep", "hub", "away", "linked"])
 
 
+def _near(i: int, group: np.ndarray, side: np.ndarray, size: np.ndarray, away: np.ndarray, sketch: np.ndarray, rule: Rule) -> np.ndarray:
+    """Members of a block that member i may be linked with: of the other side, or later ones where there is one side."""
+    near = (group != group[i]) & ~(np.abs(away - away[i]) > 1 - rule.percent / 100 + 1e-9) & (100 * np.minimum(size, size[i]) >= rule.percent * np.maximum(size, size[i]))
+    if side.min() == side.max():
+        near[: i + 1] = False
+    elif side[i] == side.min():
+        near &= side != side[i]
+    else:
+        near[:] = False
+    near = np.flatnonzero(near)
+    return near[np.bitwise_count(sketch[near] ^ sketch[i]).sum(1) < rule.refused_from()]
+
+
+def _columns(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    return (*(rows[c].to_numpy() for c in ("root", "side", "size")), rows["away"].to_numpy(float)) + (rows[list(SKETCH)].to_numpy(np.int64),)
+
+
+def _hopeful(rows: pd.DataFrame, rule: Rule) -> pd.DataFrame:
+    """Members of a block that sizes, distances to the hub and sketches leave a partner in another component."""
+    group, side, size, away, sketch = _columns(rows)
+    some = np.zeros(len(rows), bool)
+    for i in range(len(rows)):
+        near = _near(i, group, side, size, away, sketch, rule)
+        some[near] = True
+        some[i] |= len(near) > 0
+    return rows[some]
+
+
 def _block(rows: pd.DataFrame, rule: Rule) -> pd.DataFrame:
     """A spanning forest of the links between a block's two sides (or within its one) that join different components."""
-    n = len(rows)
-    rep, side, size = rows["rep"].to_numpy(), rows["side"].to_numpy(), rows["size"].to_numpy()
-    away = rows["away"].to_numpy(float)
-    sketch = np.frombuffer(b"".join(rows["sketch"]), _U).reshape(n, -1)
-    keys = [np.frombuffer(x, _U) for x in rows["keys"]]
-    root = dict(zip(roots := rows["root"].to_numpy(), roots, strict=True))
+    rep, keys = rows["rep"].to_numpy(), [np.frombuffer(x, _U) for x in rows["keys"]]
+    roots, side, size, away, sketch = _columns(rows)
+    root = dict(zip(roots, roots, strict=True))
 
     def find(x):
         while root[x] != x:
             root[x] = x = root[root[x]]
         return x
 
-    two, limit, far = side.min() != side.max(), rule.refused_from(), 1 - rule.percent / 100 + 1e-9
-    found = []
-    group = np.array([find(x) for x in roots])
-    for i in range(n):
-        near = (group != group[i]) & (np.abs(away - away[i]) <= far) & (100 * np.minimum(size, size[i]) >= rule.percent * np.maximum(size, size[i]))
-        if two:
-            if side[i] == side.min():
-                near &= side != side[i]
-            else:
-                continue
-        else:
-            near[: i + 1] = False
-        near = np.flatnonzero(near)
-        near = near[np.bitwise_count(sketch[near] ^ sketch[i]).sum(1) < limit]
-        for j in near.tolist():
+    found, group = [], roots.copy()
+    for i in range(len(rows)):
+        for j in _near(i, group, side, size, away, sketch, rule).tolist():
             a, b = find(roots[i]), find(roots[j])
             if a != b and rule.linked(_common(keys[i], keys[j]), size[i], size[j]):
                 root[max(a, b)] = min(a, b)
                 found.append((rep[i], rep[j]))
-                group = np.array([find(x) for x in roots])
+                group[group == max(a, b)] = min(a, b)
     return pd.DataFrame(found, columns=["a", "b"])
 
 
@@ -201,25 +237,24 @@ def near_duplicates(docs: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
     features = scratch.keep(source.mapInArrow(lambda b: _features(b, rule), FEATURES), "features")
     usable = features.where("doc_id is not null and size > 0")
     # a class of equal sets is named by its smallest doc_id; sketch and bands follow from the set
-    classes = usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
+    classes = usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("size", *SKETCH, "bands")))
     classes = scratch.keep(classes, "classes")
-    member = classes.select("rep", "size", "copies", F.posexplode("bands").alias("band", "key"))
-    # the hub is the class with most copies; buckets with the same members are one
-    buckets = member.groupBy("band", "key").agg(
-        F.count("*").alias("members"), F.max(F.struct("copies", F.negative("rep").alias("order"))).alias("top"), F.min("rep").alias("least"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("same"), F.sum("size").alias("shingles")
-    )
-    buckets = buckets.where("members > 1").withColumn("hub", F.negative(F.col("top.order")))
-    buckets = buckets.groupBy("members", "least", "same", "hub", "shingles").agg(F.min(F.struct("band", "key")).alias("at")).select("at.band", "at.key", "hub", "members", "shingles")
-    buckets = scratch.keep(buckets, "buckets")
-    meets = scratch.keep(member.drop("copies").join(buckets, ["band", "key"]), "meets")
-
-    # the shingle sets of classes that meet another
-    wanted = meets.select(F.col("rep").alias("doc_id")).distinct()
-    texts = source.join(wanted, "doc_id", "left_semi")
-    sets = scratch.keep(texts.mapInArrow(lambda b: _sets(b, rule), "doc_id long, keys binary").dropDuplicates(["doc_id"]), "sets")
-
-    sketches = classes.select("rep", "sketch")
-    pairs = meets.where("rep <> hub").select("rep", "hub").distinct()
+    sketches = classes.select("rep", *SKETCH)
+    member = classes.select(F.explode("bands").alias("key"), "rep")
+    # buckets with the same members are one
+    buckets = member.groupBy("key").agg(F.count("*").alias("members"), F.min("rep").alias("least"), F.expr("bit_xor(xxhash64(rep))").alias("same")).where("members > 1")
+    buckets = scratch.keep(buckets.groupBy("members", "least", "same").agg(F.min("key").alias("key")).select("key", "members"), "buckets")
+    meets = scratch.keep(member.join(buckets.hint("merge"), "key").join(classes.select("rep", "size", "copies"), "rep"), "meets")
+    # the hub is the class with most copies
+    hubs = meets.groupBy("key").agg(F.max(F.struct("copies", F.negative("rep").alias("order"))).alias("top"), F.sum("size").alias("shingles"))
+    hubs = scratch.keep(hubs.select("key", F.negative("top.order").alias("hub"), "shingles"), "hubs")
+    meets = scratch.keep(meets.drop("copies").join(hubs, "key"), "members")
+
+    theirs = sketches.select(F.col("rep").alias("hub"), *(F.col(c).alias(f"hub_{c}") for c in SKETCH))
+    differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"hub_{c}"))) for c in SKETCH), F.lit(0))
+    pairs = meets.where("rep <> hub").select("rep", "hub").distinct().join(sketches, "rep").join(theirs, "hub").where(differ < rule.refused_from()).select("rep", "hub")
+    pairs = scratch.keep(pairs, "pairs")
+    sets = scratch.keep(_sets_of(source, pairs.select(F.explode(F.array("rep", "hub")).alias("doc_id")).distinct(), rule), "sets")
     compared = pairs.join(sets.select(F.col("doc_id").alias("rep"), "keys"), "rep").join(sets.select(F.col("doc_id").alias("hub"), F.col("keys").alias("hub_keys")), "hub")
     compared = scratch.keep(compared.mapInArrow(lambda b: _with_hub(b, rule), "rep long, hub long, away double, linked boolean"), "compared")
     first = scratch.keep(components(compared.where("linked").select(F.col("rep").alias("a"), F.col("hub").alias("b")), scratch, "first"), "roots")
@@ -227,15 +262,18 @@ def near_duplicates(docs: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
     # members of buckets that hold several components yet
     placed = meets.where("members > 2").join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     placed = scratch.keep(placed, "placed")
-    several = placed.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band", "key")
-    several = scratch.keep(several, "several")
-    rest = placed.join(several, ["band", "key"]).join(compared.select("rep", "hub", "away"), ["rep", "hub"], "left").withColumn("away", F.coalesce("away", F.lit(0.0)))
+    several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
+    # without a distance to the hub, where sketches refused the pair, that test is left out
+    known = compared.select("rep", "hub", "away")
+    rest = placed.join(several, "key").join(known, ["rep", "hub"], "left").withColumn("away", F.when(F.col("rep") == F.col("hub"), F.lit(0.0)).otherwise(F.col("away")))
     # sides of a bucket by hash, and a block for every two sides
     sides = F.ceil(F.col("shingles") / BLOCK_SHINGLES).cast("int")
     rest = rest.withColumn("sides", F.greatest(F.lit(1), F.least(sides, F.col("members").cast("int")))).withColumn("side", F.pmod(F.xxhash64("rep"), F.col("sides")).cast("int"))
     rest = rest.join(sketches, "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
-    rest = rest.select("band", "key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "rep", "side", "size", "away", "root", "sketch")
-    blocks = rest.join(sets.select(F.col("doc_id").alias("rep"), "keys"), "rep").groupBy("band", "key", "i", "j")
+    rest = rest.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "rep", "side", "size", "away", "root", *SKETCH)
+    hopeful = scratch.keep(rest.groupBy("key", "i", "j").applyInPandas(lambda rows: _hopeful(rows, rule), rest.schema), "hopeful")
+    sets = scratch.keep(_sets_of(source, hopeful.select(F.col("rep").alias("doc_id")).distinct(), rule), "more-sets")
+    blocks = hopeful.join(sets.select(F.col("doc_id").alias("rep"), "keys"), "rep").groupBy("key", "i", "j")
     more = scratch.keep(blocks.applyInPandas(lambda rows: _block(rows, rule), "a long, b long"), "more")
     links = first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
     roots = scratch.keep(components(links, scratch, "last"), "components")
@@ -243,8 +281,8 @@ def near_duplicates(docs: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
     named = classes.where("copies > 1").select("digest", "rep").unionByName(classes.where("copies = 1").join(roots.select(F.col("node").alias("rep")), "rep", "left_semi").select("digest", "rep"))
     named = named.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("component_id"))
     named = scratch.keep(named, "named")
-    for name in ("buckets", "meets", "sets", "compared", "placed", "several", "more"):
+    for name in ("buckets", "meets", "hubs", "members", "pairs", "sets", "compared", "placed", "hopeful", "more-sets", "more"):
         scratch.drop(name)
-    out = features.drop("sketch", "bands").join(named, "digest", "left")
+    out = features.select("doc_id", "digest", "size").join(named, "digest", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

@@ -14,7 +14,6 @@ Documents are not shuffled.  Phrases are broadcast in blocks of a checked size.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -278,15 +277,11 @@ def _merge(blocks: list[DataFrame]) -> DataFrame:
 
 
 def remove_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The documents with the spans cut out of their texts; others stay as they are."""
-    cut = found.where(F.size("spans") > 0).select("doc_id", "spans")
-    cut = cut.groupBy("doc_id").agg(F.first("spans").alias("_spans"))
+    """The documents with the spans cut out of their texts; others stay as they are, and all columns do."""
+    cut = found.where(F.size("spans") > 0).groupBy(F.col("doc_id").alias("_id"), F.col("text_md5").alias("_md5")).agg(F.first("spans").alias("_spans"))
     kept = F.expr("""decode(aggregate(
-        _spans, struct(cast(X'' as binary) as kept, 0 as at),
-        (acc, s) -> struct(concat(acc.kept, substring(_bytes, acc.at + 1, s.start - acc.at)) as kept, s.end as at),
-        acc -> concat(acc.kept, substring(_bytes, acc.at + 1, length(_bytes) - acc.at))), 'UTF-8')""")
-    return docs.join(cut, "doc_id", "left").withColumn("_bytes", F.encode("text", "UTF-8")).withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(kept)).drop("_bytes", "_spans")
-
-
-def digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()
+        _spans, named_struct('kept', cast('' as binary), 'at', 0),
+        (acc, s) -> named_struct('kept', concat(acc.kept, substring(encode(text, 'UTF-8'), acc.at + 1, s.start - acc.at)), 'at', s.end),
+        acc -> concat(acc.kept, substring(encode(text, 'UTF-8'), acc.at + 1))), 'UTF-8')""")
+    joined = docs.join(cut, (F.md5(docs["text"]) == cut["_md5"]) & docs["doc_id"].cast("long").eqNullSafe(cut["_id"]), "left")
+    return joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(kept)).select(docs.columns)

@@ -140,3 +140,15 @@ def judge(docs: DataFrame, model: boosting.FlatTrees | None, keep_from: float =
     """
     source = only(docs, doc_id=F.col("doc_id").cast("long"), text=utf8("text"))
     return source.mapInArrow(lambda batches: _judge(batches, model, keep_from), JUDGED)
+
+
+def keep_documents(docs: DataFrame, model: boosting.FlatTrees | None, keep_from: float = KEEP_FROM) -> DataFrame:
+    """The rows of docs, with all their columns, that judge() keeps; nothing is joined or shuffled."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, buf, offsets in tv.steps(batches, "text"):
+            counts, features = statistics(buf, offsets)
+            score = model.probabilities(features) if model else np.ones(len(counts))
+            yield batch.filter(pa.array(~_base_failed(counts) & (score >= keep_from)))
+
+    return docs.mapInArrow(apply, docs.schema)

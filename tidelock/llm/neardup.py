@@ -115,7 +115,7 @@ FEATURES = "doc_id long, digest binary, size long, " + ", ".join(f"{s} long" for
 
 
 def _features(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    for batch, buf, offsets in tv.steps(batches, "text", 1 << 20):
+    for batch, buf, offsets in tv.steps(batches, "text", 1 << 19):
         keys, text = shingle_sets(buf, offsets, rule.words)
         cut = np.searchsorted(text, np.arange(batch.num_rows + 1))
         sizes = np.diff(cut)

@@ -11,9 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 
 #: Bytes of text that one step works on (a longer single text is one step).
-STEP_BYTES = 3 << 20
+STEP_BYTES = 1 << 20
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -64,11 +65,32 @@ def lower_ascii(buf: np.ndarray) -> np.ndarray:
     return _LOWER[buf]
 
 
+_kept: dict = {"stage": None}
+
+
+def _stage() -> int | None:
+    context = TaskContext.get()
+    return context.stageId() if context else None
+
+
+def kept_for_stage(key, make):
+    """What a Python worker keeps between tasks of one stage; workers live on, so other stages' things go."""
+    if _kept["stage"] != _stage():
+        _kept.clear()
+        _kept["stage"] = _stage()
+    if key not in _kept:
+        _kept[key] = make()
+    return _kept[key]
+
+
 def steps(batches, column: str, limit: int = STEP_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of the batches with at most `limit` bytes of text (one row at least).
 
     Yields (slice, bytes, offsets): row i's text is bytes[offsets[i]:offsets[i + 1]]; null is empty.
     """
+    if _kept["stage"] != _stage():
+        _kept.clear()
+        _kept["stage"] = _stage()
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(column))
         if not pa.types.is_large_binary(col.type):

@@ -18,7 +18,6 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +37,7 @@ FAR_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9
 #: A vocabulary file is sent to the tasks; a larger one is refused.
 VOCABULARY_BYTES = 64 << 20
 #: Pieces whose ids a task remembers.
-REMEMBERED = 1_200_000
+REMEMBERED = 800_000
 #: Ids in a shard, at most, but for a single longer document.
 SHARD_IDS = 16 << 20
 
@@ -144,9 +143,6 @@ class Encoder:
         return ids, done[np.searchsorted(starts, offsets)]
 
 
-_encoders = cache(Encoder)
-
-
 class Vocabulary:
     """A tokenizers file for the tasks: its text is broadcast, as the path may exist on the driver alone."""
 
@@ -156,12 +152,13 @@ class Vocabulary:
         with open(path, encoding="utf-8") as f:
             text = f.read()
         self.text = spark.sparkContext.broadcast(text)
+        self.text_hash = zlib.crc32(text.encode())
         self.cut = CUTS.get(os.path.basename(path)) if cut is None else cut
         top = max((int(i) for i in re.findall(r'":\s*(\d+)', text)), default=0)
         self.id_bytes = 2 if top < 1 << 16 else 4
 
     def encoder(self) -> Encoder:
-        return _encoders(self.text.value, self.cut)
+        return tv.kept_for_stage((self.text_hash, self.cut), lambda: Encoder(self.text.value, self.cut))
 
 
 class EliasFano:

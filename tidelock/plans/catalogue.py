@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from . import identity, reconciliation, relational, replication
+from .registry import Catalogue, Query
 
 
 @cache
-def _all() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
-    return {}
+def _all() -> Catalogue:
+    out = Catalogue()
+    for module in (relational, reconciliation, replication, identity):
+        module.register(out)
+    return out
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, (f, _) in _all().items()}
+def queries() -> dict[str, Query]:
+    return dict(_all().queries)
 
 
 def oracles() -> dict[str, str]:
-    return {k: sql for k, (_, sql) in _all().items() if sql}
+    return dict(_all().oracles)

@@ -63,7 +63,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return toxicity.judge(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return toxicity.judge(docs, toxicity.train(docs, table(spark, sf_dir, "labels"), Scratch(spark, "op10")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .shared import only, utf8
+from .shared import Scratch, only, utf8
 
 _U = np.uint64
 #: Labelled documents that the chain is trained on, at most: those with the smallest hashes of their ids.
 TRAIN_ROWS = 12_000
 #: Features that the models keep, at most, and documents of the sample that a feature must stand in.
-KEPT_FEATURES, LEAST_DOCS = 1024, 3
+KEPT_FEATURES, LEAST_DOCS = 512, 3
 FOLDS = 5
 PREFIXES = (4, 5, 6, 7)
 #: A category is assigned from this probability.
@@ -66,7 +66,7 @@ class Linear:
         return 1 / (1 + np.exp(-np.clip(score, -40, 40)))
 
 
-def fit_linear(rows: np.ndarray, columns: np.ndarray, n_features: int, before: np.ndarray, y: np.ndarray, rounds: int = 200, ridge: float = 1e-4, rate: float = 0.1) -> Linear:
+def fit_linear(rows: np.ndarray, columns: np.ndarray, n_features: int, before: np.ndarray, y: np.ndarray, rounds: int = 200, ridge: float = 1e-3, rate: float = 0.1) -> Linear:
     """Logistic regression with a ridge, by Adam over the whole sample; both classes weigh alike."""
     n, k = before.shape
     w, bias = np.zeros(n_features + k), 0.0
@@ -107,24 +107,12 @@ class Chain:
         return out
 
 
-def fit_chain(texts: list[np.ndarray], labels: np.ndarray, categories: tuple[str, ...] = CATEGORIES, folds: int = FOLDS) -> Chain:
-    """texts: distinct feature hashes of each labelled text; labels: a column a category."""
+def fit_chain(kept: np.ndarray, texts: list[np.ndarray], labels: np.ndarray, categories: tuple[str, ...] = CATEGORIES, folds: int = FOLDS) -> Chain:
+    """kept: sorted feature hashes; texts: which of them (by number) each labelled text has; labels: a column a category."""
     n = len(texts)
-    text = np.repeat(np.arange(n), [len(t) for t in texts])
-    keys, column = np.unique(np.concatenate(texts) if n else np.zeros(0, _U), return_inverse=True)
-    # features that stand in enough texts and go with some category, by the chi-square of a 2 x 2 table
-    docs = np.bincount(column, minlength=len(keys)).astype(float)
-    best = np.zeros(len(keys))
-    for k in range(labels.shape[1]):
-        y = labels[:, k].astype(float)
-        hits, total = np.bincount(column, y[text], len(keys)), y.sum()
-        if 0 < total < n:
-            expected = docs * total / n
-            best = np.maximum(best, (hits - expected) ** 2 / (expected * (1 - total / n) * np.maximum(1 - docs / n, 1e-9)))
-    order = np.lexsort((keys, -best))
-    kept = np.sort(keys[order[(docs >= LEAST_DOCS)[order] & (best > 10.8)[order]][:KEPT_FEATURES]])
+    rows = np.repeat(np.arange(n), [len(t) for t in texts])
+    columns = np.concatenate(texts).astype(np.int64) if n else np.zeros(0, np.int64)
     chain = Chain(categories, kept, [])
-    rows, columns = chain.columns(np.concatenate(texts) if n else np.zeros(0, _U), text)
     before = np.zeros((n, 0))
     fold = np.arange(n) % folds
     for k in range(labels.shape[1]):
@@ -140,29 +128,73 @@ def fit_chain(texts: list[np.ndarray], labels: np.ndarray, categories: tuple[str
     return chain
 
 
+def _insult_hashes() -> np.ndarray:
+    data = [w.encode() for w in INSULTS]
+    ends = np.cumsum([len(w) for w in data])
+    return tv.span_hashes(np.frombuffer(b"".join(data), np.uint8), np.concatenate(([0], ends[:-1])), ends)
+
+
 def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    insults = _insult_hashes()
     for batch, buf, offsets in tv.steps(batches, "text"):
         keys, text = tv.distinct(*text_features(buf, offsets))
         cut = np.searchsorted(text, np.arange(batch.num_rows + 1))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([keys[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], names=["doc_id", "label", "keys"])
+        plain = np.bincount(text[np.isin(keys, insults)], minlength=batch.num_rows) > 0
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(plain), pa.array([keys[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], names=["doc_id", "label", "plain", "keys"])
+
+
+def _category_labels(label: np.ndarray, plain: np.ndarray) -> np.ndarray:
+    """A column for each of CATEGORIES."""
+    toxic = label.astype(np.int64) > 0
+    return np.column_stack((toxic & plain, toxic & ~plain, toxic)).astype(np.int64)
 
 
-def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS) -> Chain | None:
-    """A chain for labels.toxic from at most `bound` labelled documents; None where labels lack a class."""
+def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts that a feature stands in, in all and in each category."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            some = batch.slice(at, 500)
+            keys = [np.frombuffer(k, _U) for k in some.column("keys").to_pylist()]
+            labels = np.repeat(_category_labels(some.column("label").to_numpy(), some.column("plain").to_numpy(zero_copy_only=False)), [len(k) for k in keys], axis=0)
+            distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
+            sums = [np.bincount(which, labels[:, k], len(distinct)).astype(np.int64) for k in range(labels.shape[1])]
+            yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(np.bincount(which, minlength=len(distinct))), *map(pa.array, sums)], names=["key", "docs", *(f"in_{c}" for c in CATEGORIES)])
+
+
+def _numbered(batches: Iterator[pa.RecordBatch], kept: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The numbers of the kept features that each text has."""
+    for batch in batches:
+        found = [np.flatnonzero(np.isin(kept, np.frombuffer(k, _U))).astype(np.int32).tobytes() for k in batch.column("keys").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "label", "plain")), pa.array(found, pa.binary())], names=["doc_id", "label", "plain", "numbers"])
+
+
+def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, bound: int = TRAIN_ROWS) -> Chain | None:
+    """A chain for labels.toxic from at most `bound` labelled documents; None where labels lack a class.
+
+    Features are counted over the cluster; the driver gets the chosen ones and their numbers in each text of the sample.
+    """
     picked = only(labels, doc_id=F.col("doc_id").cast("long"), label=F.col("toxic").cast("int")).where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
     picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     # two numbers a row and at most `bound` rows
     sample = only(docs, doc_id=F.col("doc_id").cast("long"), text=utf8("text")).join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text")
-    rows = sample.mapInArrow(_training_rows, "doc_id long, label int, keys binary").toPandas().sort_values(["doc_id", "keys"])
-    toxic = rows["label"].to_numpy(np.int64)
-    if len(rows) < 2 * FOLDS or toxic.min() == toxic.max():
+    sample = scratch.keep(sample.mapInArrow(_training_rows, "doc_id long, label int, plain boolean, keys binary"), "sample")
+    toxic = F.col("label") > 0
+    totals = sample.agg(F.count("*").alias("n"), F.count_if(toxic & F.col("plain")).alias("insult"), F.count_if(toxic & ~F.col("plain")).alias("covert"), F.count_if(toxic).alias("toxic")).first()
+    if totals.n < 2 * FOLDS or totals.toxic in (0, totals.n):
         return None
-    texts = [np.frombuffer(k, _U) for k in rows["keys"]]
-    data = [w.encode() for w in INSULTS]
-    ends = np.cumsum([len(w) for w in data])
-    insults = tv.span_hashes(np.frombuffer(b"".join(data), np.uint8), np.concatenate(([0], ends[:-1])), ends)
-    plain = np.array([bool(np.isin(insults, t).any()) for t in texts])
-    return fit_chain(texts, np.column_stack((toxic & plain, toxic & ~plain, toxic)))
+    # features that stand in enough texts and go with some category, by the chi-square of a 2 x 2 table
+    counts = sample.mapInArrow(_feature_counts, "key long, docs long, " + ", ".join(f"in_{c} long" for c in CATEGORIES)).groupBy("key").agg(*(F.sum(c).alias(c) for c in ("docs", *(f"in_{c}" for c in CATEGORIES))))
+    chi = F.lit(0.0)
+    for c in CATEGORIES:
+        share = totals[c] / totals.n
+        if 0 < share < 1:
+            expected = F.col("docs") * share
+            chi = F.greatest(chi, F.pow(F.col(f"in_{c}") - expected, 2) / (expected * (1 - share) * F.greatest(1 - F.col("docs") / totals.n, F.lit(1e-9))))
+    chosen = counts.where(F.col("docs") >= LEAST_DOCS).withColumn("chi", chi).where("chi > 10.8").orderBy(F.desc("chi"), "key").limit(KEPT_FEATURES).select("key").toPandas()
+    kept = np.sort(chosen["key"].to_numpy(np.int64).view(_U))
+    rows = sample.mapInArrow(lambda b: _numbered(b, kept), "doc_id long, label int, plain boolean, numbers binary").toPandas().sort_values(["doc_id", "numbers"])
+    texts = [np.frombuffer(x, np.int32) for x in rows["numbers"]]
+    return fit_chain(kept, texts, _category_labels(rows["label"].to_numpy(), rows["plain"].to_numpy(bool)))
 
 
 def _score(batches: Iterator[pa.RecordBatch], chain: Chain | None, toxic_from: float) -> Iterator[pa.RecordBatch]:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import normalize as N
-from .graph import components
+from .graph import checkpoint, components
 
 #: Where automated accounts have their mail; of the deployment.
 INTERNAL_DOMAIN = "corp.internal"
@@ -83,24 +83,27 @@ def screen(customers: DataFrame, advances: DataFrame, variant: Variant = SHIPPED
     return Screening(known.where(test), known.where(~test))
 
 
-def proof_key(variant: Variant = SHIPPED) -> Column:
-    """Birthday, digits and surname where all are evidence, as one text; null otherwise."""
+def with_key(people: DataFrame, variant: Variant = SHIPPED) -> DataFrame:
+    """Adds key: digits, birthday and surname where all are evidence, as one text; null otherwise."""
+    parts = {"_ssn": N.ssn_last4(F.col("ssn_last4")), "_dob": N.birthday(F.col("date_of_birth"))}
+    parts |= {"_last": N.name(F.col("last_name"))} if variant.last_name else {}
+    parts |= {"_first": N.name(F.col("first_name"))} if variant.first_name else {}
+    people = people.withColumns(parts)  # a projection of its own, so that each is worked out once
 
     def part(n: Column) -> Column:
         value = F.when(N.is_evidence(n), n["normalized"])
         return value if variant.placeholder_gate else F.coalesce(value, F.when(n["status"] == N.PLACEHOLDER, F.trim(n["raw"])))
 
-    parts = [part(N.ssn_last4(F.col("ssn_last4"))), part(N.birthday(F.col("date_of_birth")))]
-    parts += [part(N.name(F.col("last_name")))] * variant.last_name + [part(N.name(F.col("first_name")))] * variant.first_name
-    every = parts[0].isNotNull()
-    for p in parts[1:]:
-        every = every & p.isNotNull()
-    return F.when(every, F.concat_ws("|", *parts))
+    people = people.withColumns({c: part(F.col(c)) for c in parts})
+    every = F.lit(True)
+    for c in parts:
+        every = every & F.col(c).isNotNull()
+    return people.withColumn("key", F.when(every, F.concat_ws("|", *parts))).drop(*parts)
 
 
 def grouped(screening: Screening, manual: DataFrame, variant: Variant = SHIPPED) -> DataFrame:
     """The population with key, root (least member of its group), touched (by an applied manual edge) and moved."""
-    people = screening.population.withColumn("key", proof_key(variant))
+    people = checkpoint(with_key(screening.population, variant))
     star = people.where("key is not null").groupBy("key").agg(F.min("customer_id").alias("star"))
     people = people.join(star, "key", "left").withColumn("star", F.coalesce("star", "customer_id"))
     ids = people.select("customer_id", "star")

@@ -32,7 +32,7 @@ def _ladder(raw: str, cases: list[tuple[str, str, str]], value: str, defect: str
     """(normalized, status, defect_class) as SQL."""
     status = "CASE " + " ".join(f"WHEN {w} THEN '{s}'" for w, s, _ in cases) + " ELSE 'valid' END"
     why = "CASE " + " ".join(f"WHEN {w} THEN {d or 'NULL'}" for w, _, d in cases) + f" ELSE {defect} END"
-    return f"CASE WHEN {status} = 'valid' THEN {value} END", status, why
+    return f"CASE WHEN {status} = 'valid' THEN {value} END", status, f"CAST({why} AS VARCHAR)"
 
 
 def _ssn(c: str):
@@ -167,7 +167,7 @@ def _resolution(q: Catalogue) -> None:
 
     @q.add("er_proof_groups", WITH + "SELECT key, count(*) AS n, min(customer_id) AS least FROM keyed WHERE key IS NOT NULL GROUP BY key HAVING count(*) > 1")
     def _(t: Inputs):
-        people = I.screen(t.id_customers, t.id_advances).population.withColumn("key", I.proof_key())
+        people = I.with_key(I.screen(t.id_customers, t.id_advances).population)
         return people.where("key is not null").groupBy("key").agg(F.count("*").alias("n"), F.min("customer_id").alias("least")).where("n > 1")
 
     @q.add("er_manual_edges", WITH + "SELECT customer_id_a, customer_id_b, (customer_id_a, customer_id_b) IN (SELECT a, b FROM applied) AS applied FROM @id_manual")

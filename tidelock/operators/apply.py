@@ -79,9 +79,9 @@ def load(snapshot: Snapshot, store: Store, manifest: Manifest) -> tuple[Version,
             mode, after = ("full_snapshot" if before is None else "change_feed"), snapshot.version
             delta = snapshot.full(spec).withColumn("_op", F.lit("I")) if before is None else snapshot.net_changes(spec, before)
         else:
-            since, ceiling = before or 0, snapshot.ceiling(spec)
-            mode, after = "high_water", since if ceiling is None else max(ceiling, since)
-            delta = snapshot.window(spec, since, ceiling).withColumn("_op", F.lit("I"))
+            ceiling = snapshot.ceiling(spec)
+            mode, after = "high_water", (before or 0) if ceiling is None else max(ceiling, before or 0)
+            delta = snapshot.window(spec, before, ceiling).withColumn("_op", F.lit("I"))
         read = store.spark.read.parquet(f"{store.root}/{store.write(f'_delta_{spec.name}', delta)}")
         if duplicate_keys(read, key).limit(1).count():
             raise ValueError(f"{spec.name}: the delta has a key twice")

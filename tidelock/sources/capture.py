@@ -39,12 +39,13 @@ class Snapshot:
             self._ceilings[spec.name] = self.tables[spec.name].agg(F.max(spec.watermark)).first()[0]
         return self._ceilings[spec.name]
 
-    def window(self, spec: TableSpec, since: int, ceiling: int | None) -> DataFrame:
-        """Rows with ids in (since, ceiling]; nothing is read where that is empty."""
+    def window(self, spec: TableSpec, since: int | None, ceiling: int | None) -> DataFrame:
+        """Rows with ids in (since, ceiling], from the least id without a mark; nothing is read where that is empty."""
         rows = spec.project(self.tables[spec.name])
-        if ceiling is None or ceiling <= since:
+        if ceiling is None or since is not None and ceiling <= since:
             return self.spark.createDataFrame([], rows.schema)
-        return rows.where((F.col(spec.watermark) > since) & (F.col(spec.watermark) <= ceiling))
+        below = F.col(spec.watermark) <= ceiling
+        return rows.where(below if since is None else (F.col(spec.watermark) > since) & below)
 
     def net_changes(self, spec: TableSpec, since: int) -> DataFrame:
         """One row a changed key since a mark: _op, key and, but for deletes, the values that it has now."""

@@ -55,7 +55,7 @@ class Store:
 
     def table(self, version: Version, name: str) -> DataFrame | None:
         """Rows of a table as of a version; None if it has none yet."""
-        return self.spark.read.parquet(f"{self.root}/{version.tables[name]}") if name in version.tables else None
+        return self.spark.read.parquet(f"{self.root}/{version.tables[name]}").drop("_part") if name in version.tables else None
 
     def write(self, name: str, df: DataFrame) -> str:
         """Writes rows into a folder that no version names yet."""
@@ -68,8 +68,8 @@ class Store:
         if base is None:
             folder = f"{name}/{uuid.uuid4().hex}"
         else:
-            folder = base.split("/part=")[0]
-        df.write.parquet(f"{self.root}/{folder}/part={uuid.uuid4().hex}")
+            folder = base
+        df.write.parquet(f"{self.root}/{folder}/_part={uuid.uuid4().hex}")
         return folder
 
     def commit(self, old: Version, **changes) -> Version:

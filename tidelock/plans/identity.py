@@ -280,7 +280,24 @@ def _scoring(q: Catalogue) -> None:
         screening, members = _resolve(t)
         return S.score(S.map_pairs(I.customer_map(screening, members)), screening.population.select("customer_id"), t.id_truth)
 
-    @q.add("sc_ablations", None)
+    def ablation(label: str, v: I.Variant) -> str:
+        """One variant's score; pairs that share a key, a mail or an applied edge are linked, and no more is asked of them."""
+        part = lambda f, c: f"CASE WHEN {f(c)[1]} = 'valid' THEN {f(c)[0]}" + ("" if v.placeholder_gate else f" WHEN {f(c)[1]} = 'placeholder' THEN trim(CAST({c} AS VARCHAR))") + " END"
+        parts = [part(_ssn, "ssn_last4"), part(_dob, "date_of_birth")] + [part(_name, "last_name")] * v.last_name + [part(_name, "first_name")] * v.first_name
+        test = "coalesce(contains(lower(concat_ws(' ', first_name, last_name, email)), 'test'), false)" if v.naive_detector else "is_test"
+        inside = f"NOT {test}" if v.exclude_first else "true"
+        scored = "true" if v.exclude_first else "NOT is_test"
+        mail = "UNION SELECT a.customer_id, b.customer_id FROM keyed a JOIN keyed b ON a.n_email = b.n_email AND a.customer_id <> b.customer_id" if v.email_proves else ""
+        cte = _CTE[: _CTE.index("keyed AS")] + f"keyed AS (SELECT *, {' || chr(124) || '.join(parts)} AS key FROM screened WHERE {inside}),\n    " + _CTE[_CTE.index("applied AS") : _CTE.index("mapped AS")].rstrip().rstrip(",")
+        cte = cte.replace("UNION SELECT a, b FROM applied UNION", f"{mail} UNION SELECT a, b FROM applied UNION")
+        return f"""SELECT * FROM (WITH RECURSIVE {cte.strip()},
+            people AS (SELECT customer_id FROM keyed WHERE {scored}),
+            proposed AS (SELECT x.customer_id AS a, y.customer_id AS b FROM members x JOIN members y ON x.root = y.root AND x.customer_id < y.customer_id JOIN decided d ON d.root = x.root AND d.reason IS NULL WHERE x.customer_id IN (SELECT * FROM people) AND y.customer_id IN (SELECT * FROM people)),
+            truth AS (SELECT x.customer_id AS a, y.customer_id AS b FROM @id_truth x JOIN @id_truth y ON x.person_id = y.person_id AND x.customer_id < y.customer_id WHERE x.customer_id IN (SELECT * FROM people) AND y.customer_id IN (SELECT * FROM people))
+            SELECT '{label}' AS variant, *, CASE WHEN proposed = 0 THEN 0.0::DOUBLE ELSE CAST(correct AS DOUBLE) / proposed END AS precision, CASE WHEN correct + missed = 0 THEN 0.0::DOUBLE ELSE CAST(correct AS DOUBLE) / (correct + missed) END AS recall
+            FROM ({score.replace("FROM keyed", "FROM people")}) z) v"""
+
+    @q.add("sc_ablations", " UNION ALL ".join(ablation(k, v) for k, v in S.ABLATIONS.items()))
     def _(t: Inputs):
         return S.ablations(t.id_customers, t.id_advances, t.id_manual, t.id_truth)
 

@@ -117,27 +117,39 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 
 
-#: Ids that one bucket of a running aggregate has.
-RUN_BUCKET = 1 << 16
+#: Ids that one bucket of a running aggregate has, at least, and buckets that there are, at most.
+RUN_BUCKET, RUN_BUCKETS = 1 << 16, 8192
 
 
-def behind_running_max(df: DataFrame, key: str, value: str, bucket: int = RUN_BUCKET) -> DataFrame:
-    """Rows whose value is below the largest of all rows with smaller keys.
+def bucket_width(df: DataFrame, key: str, least: int = RUN_BUCKET) -> int:
+    """Ids a bucket: so many that the table of buckets, which one task sorts, stays small at any size."""
+    lo, hi = df.agg(F.min(key), F.max(key)).first()
+    return least if lo is None else max(least, (hi - lo) // RUN_BUCKETS + 1)
+
+
+def running_max_before(df: DataFrame, key: str, value: str, name: str, bucket: int | None = None) -> DataFrame:
+    """Adds the largest value of all rows with smaller keys.
 
     The running maximum is taken within buckets of ids and joined with the maximum of all buckets before, of which there is
     one row each, so that no task gets the whole table.
     """
+    bucket = bucket or bucket_width(df, key)
     keyed = df.withColumn("_b", F.floor(F.col(key) / bucket))
     tops = keyed.groupBy("_b").agg(F.max(value).alias("_top"))
     earlier = tops.withColumn("_earlier", F.max("_top").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))).drop("_top")
     inside = keyed.withColumn("_before", F.max(value).over(Window.partitionBy("_b").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)))
-    return inside.join(earlier, "_b").where(F.col(value) < F.greatest("_before", "_earlier")).drop("_b", "_before", "_earlier")
+    return inside.join(earlier, "_b").withColumn(name, F.greatest("_before", "_earlier")).drop("_b", "_before", "_earlier")
+
+
+def behind_running_max(df: DataFrame, key: str, value: str, bucket: int | None = None) -> DataFrame:
+    """Rows whose value is below the largest of all rows with smaller keys."""
+    return running_max_before(df, key, value, "_top", bucket).where(F.col(value) < F.col("_top")).drop("_top")
 
 
 def global_rank(df: DataFrame, key: str, descending: bool = False) -> DataFrame:
     """Places in the total order by key: ranks within buckets of ids, after the rows of the buckets before."""
     sign = F.negative(F.col(key)) if descending else F.col(key)
-    keyed = df.withColumn("_b", F.floor(sign / RUN_BUCKET))
+    keyed = df.withColumn("_b", F.floor(sign / bucket_width(df, key)))
     sizes = keyed.groupBy("_b").agg(F.count("*").alias("_n"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     order = F.col(key).desc() if descending else F.col(key)

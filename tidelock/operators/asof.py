@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Keys that one bucket of the key space has, about.
+from .aggregates import bucket_width
+
+#: Width of a bucket of the key space, at least.
 BUCKET_KEYS = 4096
 
 
-def next_key(left: DataFrame, at: str, keys: DataFrame, key: str, name: str, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
+def next_key(left: DataFrame, at: str, keys: DataFrame, key: str, name: str, bucket_keys: int | None = None) -> DataFrame:
     """Each row of left with the least key that is not below its `at`; null where there is none.
 
     Both sides are dealt into buckets of the key space, in which one sorted sweep finds the next key; where a bucket has
     none, the first key of a later bucket is it, which a table of one row a bucket tells.  Hot values of `at` are swept
     once, as distinct values, and joined back.
     """
+    bucket_keys = bucket_keys or bucket_width(keys, key, BUCKET_KEYS)
     bucket = lambda c: F.floor(F.col(c) / bucket_keys).cast("long")
     points = left.select(F.col(at).alias("v")).where("v is not null").distinct().withColumn("b", bucket("v"))
     both = points.withColumn("k", F.lit(None).cast(keys.schema[key].dataType)).unionByName(keys.select(F.col(key).cast(left.schema[at].dataType).alias("v"), F.col(key).alias("k")).withColumn("b", bucket("v")).select("v", "b", "k"))
@@ -23,7 +26,7 @@ def next_key(left: DataFrame, at: str, keys: DataFrame, key: str, name: str, buc
     inside = both.withColumn("n", F.min("k").over(ahead)).where("k is null").select("v", "b", "n")
     firsts = keys.groupBy(bucket(key).alias("b")).agg(F.min(key).alias("first"))
     # one row a bucket, however many keys there are
-    used = points.select("b").distinct().join(firsts, "b", "full_outer")
+    used = points.where(F.col("v") <= keys.agg(F.max(key)).first()[0]).select("b").distinct().join(firsts, "b", "full_outer") if firsts.limit(1).count() else firsts
     later = used.withColumn("later", F.min("first").over(Window.orderBy("b").rowsBetween(1, Window.unboundedFollowing))).select("b", "later")
     found = inside.join(later, "b", "left").select(F.col("v").alias(at), F.coalesce("n", "later").alias(name))
     return left.join(found, at, "left")

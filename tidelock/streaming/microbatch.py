@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.aggregates import RUN_BUCKET
+from ..operators.aggregates import running_max_before
 from ..operators.apply import merge
 from ..sources.versions import Store
 
@@ -46,14 +46,6 @@ def windowed_counts(stream: DataFrame, time: str, delay: str, width: str, group:
     return stream.withColumn("_t", F.col(time).cast("timestamp")).withWatermark("_t", delay).groupBy(F.window("_t", width), group).agg(F.count("*").alias("n"))
 
 
-def late_rows(rows: DataFrame, key: str, time: str, delay: str, bucket: int = RUN_BUCKET) -> DataFrame:
+def late_rows(rows: DataFrame, key: str, time: str, delay: str) -> DataFrame:
     """Rows that come later than a watermark of `delay` behind the latest time seen before them would let in."""
-    from pyspark.sql import Window
-
-    keyed = rows.withColumn("_b", F.floor(F.col(key) / bucket))
-    tops = keyed.groupBy("_b").agg(F.max(time).alias("_top"))
-    # a row a bucket of 65,536 ids
-    earlier = tops.withColumn("_earlier", F.max("_top").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))).drop("_top")
-    inside = keyed.withColumn("_before", F.max(time).over(Window.partitionBy("_b").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)))
-    seen = inside.join(earlier, "_b").withColumn("_seen", F.greatest("_before", "_earlier"))
-    return seen.where(F.col(time) < F.col("_seen") - F.expr(delay)).drop("_b", "_before", "_earlier", "_seen")
+    return running_max_before(rows, key, time, "_seen").where(F.col(time) < F.col("_seen") - F.expr(delay)).drop("_seen")

@@ -44,6 +44,12 @@ _ENDS = {t: re.compile(rf"</{t}\s*[^>]*>", re.I) for t in RAW}
 _PART = re.compile(r"[a-z]+")
 
 
+def _name_parts(attributes: str) -> set[str]:
+    """Parts of class, id and role names; a name such as `has-sidebar` tells of something else on the page."""
+    names = (n for m in _NAMES.finditer(attributes) for n in (m[1] or m[2] or m[3] or "").lower().split())
+    return {p for n in names if not n.startswith(("has-", "with-", "no-", "without-", "is-")) for p in _PART.findall(n)}
+
+
 @dataclass
 class Block:
     text: str
@@ -117,14 +123,14 @@ def blocks(page: str) -> list[Block]:
             stack.pop()
         if tag == "tr" and stack and stack[-1][0] == "tr":
             stack.pop()
-        parts = {p for m in _NAMES.finditer(attributes) for p in _PART.findall((m[1] or m[2] or m[3] or "").lower())} if attributes else ()
+        parts = _name_parts(attributes) if attributes and tag not in ("html", "body") else ()
         header = tag == "header" and not any(s[0] in MAIN for s in stack)
         stack.append((tag, tag in MAIN, tag in BESIDE or header, bool(MAIN_NAMES.intersection(parts)), bool(BESIDE_NAMES.intersection(parts))))
     close()
     return out
 
 
-FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "main", "beside", "named_main", "named_beside", "heading", "item", "paragraph", "page_has_main", "page_has_named_main")
+FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "main", "beside", "named_main", "named_beside", "heading", "item", "paragraph", "page_scoped", "in_scope")
 
 
 def features(found: list[Block]) -> np.ndarray:
@@ -141,8 +147,13 @@ def features(found: list[Block]) -> np.ndarray:
     out[:, 6:10] = [(b.main, b.beside, b.named_main, b.named_beside) for b in found]
     out[:, 10:13] = [(b.tag in HEADINGS, b.tag in ITEMS, b.tag in ("p", "blockquote", "pre")) for b in found]
     own = ~(out[:, 7].astype(bool) | out[:, 9].astype(bool))
-    out[:, 13] = (out[:, 6].astype(bool) & own).any()
-    out[:, 14] = (out[:, 8].astype(bool) & own).any()
+    # what the page marks as main: by an element, else by a name, else all of it
+    for column in (6, 8):
+        marked = out[:, column].astype(bool)
+        if (marked & own).any():
+            out[:, 13], out[:, 14] = 1, marked
+            return out
+    out[:, 14] = 1
     return out
 
 
@@ -196,9 +207,9 @@ def train_tree(x: np.ndarray, y: np.ndarray, depth: int = 7, least: int = 1) ->
 
 
 def sample_table(pages: list[list[tuple[int, str]]] = PAGES) -> tuple[np.ndarray, np.ndarray]:
-    """The labelled blocks as features and labels."""
+    """The labelled blocks as features and labels; each page also begins and ends at each of its fragments, if main text is left."""
     x, y = [], []
-    for fragments in pages:
+    for fragments in [p[a:b] for p in pages for a in range(len(p)) for b in range(a + 1, len(p) + 1) if any(label for label, _ in p[a:b])]:
         found = blocks("".join(f for _, f in fragments))
         edges = np.cumsum([len(f) for _, f in fragments])
         x.append(features(found))

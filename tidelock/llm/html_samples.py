@@ -34,4 +34,13 @@ PAGES: list[list[tuple[int, str]]] = [
     [(0, f"<body>{_NAV}<div class='banner'>{_S}</div>"), (1, f"<article><p>One.</p><p><a href='/x'>A link that is a paragraph</a></p><p>{_L}</p><h2>Two</h2><p>Three words here.</p></article>"), (0, f"<ul class='comment-list'><li>{_S}</li><li>Good.</li></ul><div class='disqus'>{_S}</div>")],
     # comments that are articles themselves
     [(0, f"<body>{_NAV}"), (1, f"<article><h1>Clay</h1><p>{_L}</p><p>Fire.</p></article>"), (0, f"<section id='comments'><article class='comment'><p>{_L}</p></article><article class='comment'><p>Me too.</p></article></section><div class='popup'>{_S}</div>")],
+    # names that hold parts of either kind
+    [(0, f"<body class='has-sidebar'>{_MENU}"), (1, f"<div class='post-content has-comments'><h1>Bread</h1><p>{_L}</p><p>Rye.</p></div>"), (0, f"<div class='comment-body'><p>{_L}</p></div><div class='comment-content'><p>Yes.</p></div><div class='footer-text'><p>{_S}</p></div>")],
+    [(0, f"<body>{_NAV}<div class='ad-content'><p>{_S}</p></div>"), (1, f"<article><div class='entry-content'><p>{_S}</p><p>Hay.</p>"), (0, f"<div class='ad-text'>{_S}</div>"), (1, f"<p>{_L}</p></div></article>"), (0, f"<div class='sidebar-content'><p>{_L}</p></div><div class='newsletter-body'>{_S}</div>")],
+    [(0, f"<body><div id='site-header'>{_S}</div>"), (1, f"<div class='story-body'><p>{_S}</p><p>Ice.</p></div>"), (0, f"<div class='related-story'><p>{_S}</p></div><div class='cookie-main'>{_L}</div>")],
+    # what nothing marks, beside what something marks
+    [(0, f"<body><div>{_S}</div><p>Seen 12 times.</p>"), (1, f"<article><h1>Peat</h1><p>{_S}</p><p>Cut.</p></article>"), (0, _NAV), (0, f"<div>{_S}</div><p>{_L}</p>")],
+    [(0, f"<body><p>{_L}</p>"), (1, f"<article><p>{_L}</p><p><a href='/x'>Source</a></p><ul><li>Dry.</li></ul></article>"), (0, f"<p>{_S}</p><p><a href='/y'>Back to the list</a></p>")],
+    [(0, f"<body><div>{_S}</div>"), (1, f"<main><h1>Tar</h1><p>Black.</p><p>{_S}</p><p>Hot.</p></main>"), (0, _NAV), (0, f"<p>{_S}</p>")],
+    [(0, f"<body><div>{_L}</div>"), (1, f"<div class='post-content'><p>{_S}</p><p><a href='/x'>The map</a></p><p>Then on.</p></div>"), (0, f"<p>{_S}</p>{_NAV}")],
 ]

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 from .shared import Scratch, only, utf8
-from .tokens import Vocabulary
+from .tokens import ENCODE_BYTES, Vocabulary
 
 SEQUENCE_TOKENS = 2048
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, nth long"
@@ -58,20 +59,25 @@ def shortest_pack_first(counts: np.ndarray, room: int) -> list[tuple[int, list[i
 
 
 class Places:
-    """Where the pieces of each length go: ranges of ranks with the first one's sequence, and their offset."""
+    """Where the pieces of each length go: ranges of ranks with the first one's sequence, their offset, and how often the
+    length stands in the pattern.
+
+    A pattern has at most 63 different lengths, whose sum is a sequence's 2048 tokens at most, and every bin adds at
+    most two patterns, so there are below 260,000 ranges of 40 bytes however large the corpus is.
+    """
 
     def __init__(self, patterns: list[tuple[int, list[int]]]):
         rows, used, sequence = [], {}, 0
         for count, lengths in patterns:
             offset = 0
-            for length in lengths:
-                rank = used.get(length, 0)
-                rows.append((length, rank, sequence, offset))
-                used[length] = rank + count
-                offset += length
+            for length, same in groupby(lengths):
+                times, rank = len(list(same)), used.get(length, 0)
+                rows.append((length, rank, sequence, offset, times))
+                used[length] = rank + count * times
+                offset += length * times
             sequence += count
         rows.sort()
-        self.length, self.rank, self.sequence, self.offset = np.array(rows, np.int64).reshape(-1, 4).T
+        self.length, self.rank, self.sequence, self.offset, self.times = np.array(rows, np.int64).reshape(-1, 5).T
         self.first = np.searchsorted(self.length, np.arange(self.length.max(initial=0) + 2))
 
     def find(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,14 +89,15 @@ class Places:
         for a, b in zip(edges, [*edges[1:], len(n)], strict=True):
             lo, hi = self.first[n[a]], self.first[n[a] + 1]
             at[order[a:b]] = lo + np.searchsorted(self.rank[lo:hi], r[a:b], "right") - 1
-        return self.sequence[at] + rank - self.rank[at], self.offset[at]
+        nth = rank - self.rank[at]
+        return self.sequence[at] + nth // self.times[at], self.offset[at] + nth % self.times[at] * length
 
 
 def _cut(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, end_id: int, room: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     encoder, part, seen = vocabulary.encoder(), TaskContext.get().partitionId(), np.zeros(room + 1, np.int64)
     end = np.array([end_id], "<u4")
     names = [f.split()[0] for f in PIECES.split(", ")]
-    for batch, buf, offsets in tv.steps(batches, "text"):
+    for batch, buf, offsets in tv.steps(batches, "text", ENCODE_BYTES):
         all_ids, at = encoder.encode(buf, offsets)
         rows, ids = [], []
         for doc_id, a, b in zip(batch.column(0).to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):

@@ -18,6 +18,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,9 @@ FAR_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9
 #: A vocabulary file is sent to the tasks; a larger one is refused.
 VOCABULARY_BYTES = 64 << 20
 #: Pieces whose ids a task remembers.
-REMEMBERED = 800_000
+REMEMBERED = 2_500_000
+#: Bytes of text that are cut into pieces at once: the more, the more of them are repeats.
+ENCODE_BYTES = 3 << 20
 #: Ids in a shard, at most, but for a single longer document.
 SHARD_IDS = 16 << 20
 
@@ -62,9 +65,9 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+        # sorted hashes, and the place and number of each piece's ids in the pool: about 40 bytes a piece
+        self.keys, self.start, self.size = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint32)
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.place = np.zeros((2, 1 << 16), np.int64)  # start and length in the pool
 
     def _library(self, texts: list[bytes]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
@@ -75,11 +78,13 @@ class Encoder:
         if self.cut == "dropped":
             return words.starts, words.ends
         before = np.append(buf, 0)[words.starts - 1] if len(words.starts) else words.starts
-        inside = ~np.isin(words.starts, offsets)  # has a byte of its text before it
+        edge = np.zeros(len(buf) + 1, bool)
+        edge[offsets] = True
+        inside = ~edge[words.starts]  # has a byte of its text before it
         starts = words.starts - (inside & (before == 0x20))
         # what is left of the runs of white space: all but the last character, and the last where it is no space
         gaps = tv.Runs(buf, offsets, ~tv.SPACED)
-        at_end = np.isin(gaps.ends, offsets)
+        at_end = edge[gaps.ends]
         last = gaps.ends - 1
         space = buf[last] == 0x20
         lead_ends = np.where(at_end, gaps.ends, last)
@@ -90,27 +95,25 @@ class Encoder:
         order = np.argsort(all_starts, kind="stable")
         return all_starts[order], all_ends[order]
 
-    def _known(self, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: bytes) -> np.ndarray:
-        """Numbers of the pieces with these distinct keys; new ones are encoded."""
-        get = self.known.get
-        number = np.array([get(k, -1) for k in keys.tolist()], np.int64)
-        new = np.flatnonzero(number < 0)
-        if len(new):
-            ids = self._library([data[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
-            count = len(self.known)
-            while self.used + len(flat) > len(self.pool):
-                self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
-            while count + len(new) > self.place.shape[1]:
-                self.place = np.concatenate((self.place, np.zeros_like(self.place)), 1)
-            self.pool[self.used : self.used + len(flat)] = flat
-            self.place[0, count : count + len(new)] = self.used + np.cumsum(sizes) - sizes
-            self.place[1, count : count + len(new)] = sizes
-            self.used += len(flat)
-            number[new] = np.arange(count, count + len(new))
-            self.known.update(zip(keys[new].tolist(), number[new].tolist(), strict=True))
-        return number
+    def _learn(self, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: bytes) -> None:
+        """Encodes those of the distinct, sorted keys that are not known yet."""
+        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+        new = np.flatnonzero(self.keys[at] != keys) if len(self.keys) else np.arange(len(keys))
+        if not len(new):
+            return
+        ids = self._library([data[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
+        sizes = np.fromiter(map(len, ids), np.uint32, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        if self.used + len(flat) > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.zeros(max(len(flat), len(self.pool) // 2), np.uint32)))
+        self.pool[self.used : self.used + len(flat)] = flat
+        begin = self.used + np.cumsum(sizes, dtype=np.int64) - sizes
+        self.used += len(flat)
+        both = np.concatenate((self.keys, keys[new]))
+        order = np.argsort(both, kind="stable")
+        self.keys = both[order]
+        self.start = np.concatenate((self.start, begin.astype(np.uint32)))[order]
+        self.size = np.concatenate((self.size, sizes))[order]
 
     def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and the offsets at which each text's ids begin."""
@@ -133,11 +136,12 @@ class Encoder:
 
     def _cut_and_encode(self, buf: np.ndarray, offsets: np.ndarray, data: bytes) -> tuple[np.ndarray, np.ndarray]:
         starts, ends = self._pieces(buf, offsets)
-        if len(self.known) > REMEMBERED:
-            self._forget()
         keys, first, which = np.unique(tv.span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
-        number = self._known(keys, starts[first], ends[first], data)[which]
-        begin, sizes = self.place[0][number], self.place[1][number]
+        if len(self.keys) + len(keys) > REMEMBERED:
+            self._forget()
+        self._learn(keys, starts[first], ends[first], data)
+        number = np.searchsorted(self.keys, keys)[which]
+        begin, sizes = self.start[number].astype(np.int64), self.size[number].astype(np.int64)
         done = np.concatenate(([0], np.cumsum(sizes)))
         ids = self.pool[np.repeat(begin - done[:-1], sizes) + np.arange(done[-1])]
         return ids, done[np.searchsorted(starts, offsets)]
@@ -270,7 +274,7 @@ def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
 def _write(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, end_id: int, folder: str, shard_ids: int) -> Iterator[pa.RecordBatch]:
     encoder, end, part = vocabulary.encoder(), np.array([end_id], np.uint32), TaskContext.get().partitionId()
     shard, done = None, []
-    for batch, buf, offsets in tv.steps(batches, "text"):
+    for batch, buf, offsets in tv.steps(batches, "text", ENCODE_BYTES):
         ids, at = encoder.encode(buf, offsets)
         for doc_id, a, b in zip(batch.column(0).to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
             if shard and shard.ids and shard.ids + b - a >= shard_ids:

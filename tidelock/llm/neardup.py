@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 from .components import components
-from .shared import Scratch, only, utf8
+from .shared import Scratch, only, small_batches, utf8
 
 _U = np.uint64
 BANDS, ROWS = 32, 5
@@ -233,6 +233,11 @@ def near_duplicates(docs: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
     doc_id are in one component; all of them have the same kept.  A null doc_id is linked with nothing and kept.
     Other columns are not read.  An empty table gives no rows.
     """
+    with small_batches(docs.sparkSession):
+        return _near_duplicates(docs, rule, scratch)
+
+
+def _near_duplicates(docs: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
     source = only(docs, doc_id=F.col("doc_id").cast("long"), text=utf8("text"))
     features = scratch.keep(source.mapInArrow(lambda b: _features(b, rule), FEATURES), "features")
     usable = features.where("doc_id is not null and size > 0")

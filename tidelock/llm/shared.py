@@ -6,6 +6,7 @@ import atexit
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,18 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """Fewer rows a batch to and from Python while tables with large rows are written; the session's setting comes back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), rows) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """A folder of one run in the shared folder; its tables survive lost executors.
 

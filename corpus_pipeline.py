@@ -43,7 +43,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that an earlier document has, or that stand earlier in the same one."""
-    passages = substring.repeated_passages(docs, Scratch(spark, "pipeline-passages"))
+    passages = substring.passages(docs, Scratch(spark, "pipeline-passages"))
     return _counted(substring.remove_passages(docs, passages), docs.columns)
 
 

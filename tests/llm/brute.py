@@ -78,6 +78,19 @@ def passages(docs, least):
     return out
 
 
+def repeated_words(docs, n):
+    """{doc_id: word numbers in windows of n words that stand earlier, too} for documents in rank order."""
+    first, out = {}, {}
+    for i, text in sorted((i, t or "") for i, t in docs):
+        words, hit = ALNUM.findall(text.translate(LOWER)), set()
+        for k in range(len(words) - n + 1):
+            j, at = first.setdefault(tuple(words[k : k + n]), (i, k))
+            if j != i or k - at >= n:
+                hit.update(range(k, k + n))
+        out[i] = hit
+    return out
+
+
 def base_statistics(text):
     words = SPACED.findall(text or "")
     lines = [x for x in (text or "").split("\n") if SPACED.search(x)]

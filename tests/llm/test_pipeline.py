@@ -61,6 +61,17 @@ def test_substring_stage(stages):
     assert all(r.n_chars == len(r.text) for r in after)
 
 
+def test_substring_stage_leaves_no_repeated_run(stages):
+    before, after, _ = stages["substring_dedup"]
+    docs = list(texts(before).items())
+    runs, whole = brute.repeated_words(docs, substring.RUN_WORDS), brute.passages(docs, substring.LEAST_WORDS)
+    words = {i: list(brute.ALNUM.finditer((t or "").translate(brute.LOWER))) for i, t in docs}
+    for i, _ in docs:
+        gone = runs[i] | {k for a, b, *_ in whole[i] for k, w in enumerate(words[i]) if a <= w.start() < b}
+        assert brute.ALNUM.findall(texts(after)[i].translate(brute.LOWER)) == [w[0] for k, w in enumerate(words[i]) if k not in gone]
+    assert any(runs.values()) and all(r.n_chars == len(r.text) for r in after)
+
+
 def test_decontamination_stage(spark, stages):
     before, after, _ = stages["benchmark_decontamination"]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]

@@ -119,6 +119,46 @@ def test_substring_dedup_of_repeated_rows_null_ids_and_empty_tables(spark, make_
     assert texts == sorted([long, "", "other alpha beta gamma delta. "])
 
 
+def test_substring_dedup_of_runs_within_sentences(spark, make_docs):
+    rng = random.Random(6)
+    plain = lambda n: " ".join(rng.choice(WORDS) + str(rng.randrange(1000)) for _ in range(n))
+    rows, cut = [], {}
+    for k, n in enumerate([49, 50, *range(51, 61)]):
+        passage = plain(n)
+        rows.append((k, f"{plain(7)} {passage} {plain(9)}"))
+        before, after = plain(11), plain(13)
+        rows.append((100 + k, f"{before} {passage.replace('n', 'N').replace(' ', ', ')} {after}"))
+        cut[100 + k] = f"{before}  {after}" if n > 50 else rows[-1][1]
+    rows += [(200, "x " * 102), (201, "ab cd " * 60), (202, plain(60) * 2), (203, None), (204, "")]
+    found = substring.passages(make_docs(rows).repartition(3), Scratch(spark, "t")).collect()
+    spans = {}
+    for r in found:
+        spans.setdefault(r.doc_id, []).append((r.first_word, r.first_word + r.n_words))
+    want = brute.repeated_words(rows, 51)
+    assert {i: {k for a, b in s for k in range(a, b)} for i, s in spans.items()} == {i: hit for i, hit in want.items() if hit}
+    assert sorted(spans) == [*range(102, 112), 200, 201, 202]
+    docs = make_docs(rows)
+    texts = {r.doc_id: r.text for r in substring.remove_passages(docs, substring.passages(docs, Scratch(spark, "t"))).collect()}
+    assert {i: t for i, t in texts.items() if i in cut} == cut
+
+
+def test_substring_dedup_leaves_no_repeated_window(spark, make_docs):
+    rows = awkward(4)
+    docs = make_docs(rows)
+    found = substring.passages(docs.repartition(3), Scratch(spark, "t"))
+    spans = {}
+    for r in found.collect():
+        spans.setdefault(r.doc_id, []).append((r.start, r.end, r.first_word, r.first_word + r.n_words))
+    runs, whole = brute.repeated_words(rows, 51), brute.passages(rows, substring.LEAST_WORDS)
+    words = {i: list(brute.ALNUM.finditer((t or "").translate(brute.LOWER))) for i, t in rows}
+    for i, text in rows:
+        want = runs[i] | {k for a, b, *_ in whole[i] for k, w in enumerate(words[i]) if a <= w.start() < b}
+        here = sorted(spans.get(i, []))
+        assert {k for *_, a, b in here for k in range(a, b)} == want
+        assert all(x[1] <= y[0] for x, y in zip(here, here[1:])) and all(a <= words[i][k].start() and words[i][m - 1].end() <= b for a, b, k, m in here)
+    assert sum(map(len, runs.values())) > 1000
+
+
 ITEMS = [(1, "What is the height of the tower that stands by the old river gate today"), (2, "short one"), (3, None), (4, "..."), (5, "the height of the tower that stands by the old river"), (12, "Короткий тест")]
 
 

@@ -12,7 +12,7 @@ from .shared import Scratch, table
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring.repeated_passages(table(spark, sf_dir, "documents"), Scratch(spark, "op1"))
+    return substring.passages(table(spark, sf_dir, "documents"), Scratch(spark, "op1"))
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

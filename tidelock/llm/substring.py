@@ -1,11 +1,17 @@
-"""Substring dedup by hashing lines, which are broken at sentence ends into units.
+"""Substring dedup: repeated units of lines, and repeated runs of words wherever they begin and end.
 
-A unit is normalised to its lower-cased letters and digits and gets a 128-bit
+Lines are broken at sentence ends into units.  A unit is normalised to its lower-cased letters and digits and gets a 128-bit
 digest.  Digests are grouped over the whole corpus, the earliest occurrence by
 (doc_id, place) stays and all later ones are marked.  Marked units that follow
 one another in a document make a passage; passages of enough words are removed,
 and their original offsets are kept.  Shorter repeats, such as a stock phrase or
 a licence line that happens to stand in many documents, are no passages.
+
+Runs of words know no units: each window of RUN_WORDS words that an earlier
+place has too is repeated, and the union of such windows is removed.  So that
+not all windows of the corpus are dealt out, a window is looked up by the least
+hash among its shorter grams, which equal windows share: only windows whose
+least gram also stands elsewhere are compared, and these by 96 bits of their own.
 """
 
 from __future__ import annotations
@@ -18,10 +24,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .shared import Scratch, only, utf8
+from .shared import Scratch, only, small_batches, utf8
 
-#: Words of the shortest passage that is removed: a passage of 50 words whose ends fall within sentences still has as many.
+#: Words of the fewest whole units in a row that are removed.
 LEAST_WORDS = 30
+#: Words of the shortest run that is removed wherever it begins and ends.
+RUN_WORDS = 51
+#: Words of a gram; a window of RUN_WORDS has 1 << _DOUBLINGS of them.
+_GRAM_WORDS, _DOUBLINGS = 20, 5
 _STOP = tv.is_byte_in((ord("."), ord(".")), (ord("!"), ord("!")), (ord("?"), ord("?")))
 _LEADING = ~tv.is_byte_in((0x80, 0xBF))
 _U = np.uint64
@@ -36,7 +46,7 @@ def _ends(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def units(buf: np.ndarray, offsets: np.ndarray):
-    """Per unit that has words: text, number in its text, digest (two columns), words, start and end in code points."""
+    """Per unit that has words: text, number in its text, digest (two columns), words, first word, start and end in code points."""
     low = tv.lower_ascii(buf)
     runs = tv.Runs(low, offsets, tv.ALNUM)
     edges = _ends(buf, offsets)
@@ -54,28 +64,33 @@ def units(buf: np.ndarray, offsets: np.ndarray):
     chars = np.concatenate(([0], np.cumsum(_LEADING[buf], dtype=np.int64)))
     base = chars[offsets[text]]
     number = np.arange(len(full)) - np.searchsorted(text, np.arange(len(offsets)))[text]
-    return text, number, digests[0], digests[1], n_words[full], chars[edges[:-1][full]] - base, chars[edges[1:][full]] - base
+    return text, number, digests[0], digests[1], n_words[full], first[full] - runs.first[text], chars[edges[:-1][full]] - base, chars[edges[1:][full]] - base
+
 
+def _versions(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Rows of one doc_id are told apart by their texts."""
+    return (tv.span_hashes(buf, offsets[:-1], offsets[1:]) >> _U(33)).astype(np.int64)
 
-UNITS = "h1 long, h2 long, doc_id long, place long, words int, start int, end int"
+
+UNITS = "h1 long, h2 long, doc_id long, place long, words int, word int, start int, end int"
 
 
 def _units(batches: Iterator[pa.RecordBatch], full: bool) -> Iterator[pa.RecordBatch]:
     for batch, buf, offsets in tv.steps(batches, "text"):
-        text, number, h1, h2, n_words, start, end = units(buf, offsets)
+        text, number, h1, h2, n_words, word, start, end = units(buf, offsets)
         doc = batch.column(0).to_numpy()[text]
-        # rows of one doc_id are told apart by their texts
-        version = (tv.span_hashes(buf, offsets[:-1], offsets[1:]) >> _U(33)).astype(np.int64)[text]
+        version = _versions(buf, offsets)[text]
         columns = {"h1": h1, "h2": h2, "doc_id": doc, "place": version << 32 | number}
         if full:
-            columns |= {"words": n_words.astype(np.int32), "start": start.astype(np.int32), "end": end.astype(np.int32)}
+            columns |= {"words": n_words.astype(np.int32), "word": word.astype(np.int32), "start": start.astype(np.int32), "end": end.astype(np.int32)}
         yield pa.RecordBatch.from_pydict(columns)
 
 
 def repeated_passages(docs: DataFrame, scratch: Scratch, least_words: int = LEAST_WORDS) -> DataFrame:
-    """A row per passage to remove: doc_id, version, start, end (code points), n_words, n_units and first_doc_id.
+    """A row per passage of whole units: doc_id, version, start, end (code points), n_words, n_units, first_doc_id and first_word.
 
-    first_doc_id: the smallest document that one of its units was first seen in.  Null and empty texts have no units.
+    first_doc_id: the smallest document that one of its units was first seen in.  first_word: the number of words before
+    it in its text.  Null and empty texts have no units.
     Rows that repeat a doc_id with the same text count as one document, with other texts as further ones (version
     tells them apart); rows whose doc_id is null neither remove nor are removed.  Other columns are not read.
     An empty table gives no rows.
@@ -91,11 +106,120 @@ def repeated_passages(docs: DataFrame, scratch: Scratch, least_words: int = LEAS
     # equal rows give equal units, which have one rank and count once
     later = later.withColumn("island", F.col("number") - F.dense_rank().over(inside)).withColumn("again", F.coalesce(F.lag("number").over(inside) == F.col("number"), F.lit(False)))
     passages = later.groupBy("doc_id", "version", "island").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.sum(F.when(~F.col("again"), F.col("words"))).alias("n_words"), F.count_if(~F.col("again")).alias("n_units"), F.min("first_doc_id").alias("first_doc_id")
+        F.min("start").alias("start"), F.max("end").alias("end"), F.sum(F.when(~F.col("again"), F.col("words"))).alias("n_words"), F.count_if(~F.col("again")).alias("n_units"), F.min("first_doc_id").alias("first_doc_id"), F.min("word").alias("first_word")
     )
     return passages.where(F.col("n_words") >= least_words).drop("island")
 
 
+class Windows:
+    """The windows of RUN_WORDS words of texts, none across two texts, and the grams that they are looked up by."""
+
+    def __init__(self, buf: np.ndarray, offsets: np.ndarray):
+        low = tv.lower_ascii(buf)
+        self.runs = tv.Runs(low, offsets, tv.ALNUM)
+        self.words = tv.span_hashes(low, self.runs.starts, self.runs.ends)
+        self.grams = tv.window_hashes(self.words, _GRAM_WORDS)
+        #: first word (counted over all texts) and text of each window
+        self.at, self.text = tv.window_starts(self.runs.first, self.runs.count, RUN_WORDS)
+        least = self.grams
+        for k in range(_DOUBLINGS):
+            least = np.minimum(least[: -(1 << k)], least[1 << k :])
+        self.least = least[self.at]
+
+    def chosen(self) -> np.ndarray:
+        """Positions of the grams that are the least of a window, ties included."""
+        if not len(self.at):
+            return np.zeros(0, np.int64)
+        size = 1 << _DOUBLINGS
+        most = np.zeros(len(self.grams) + size - 1, _U)
+        most[self.at + size - 1] = self.least
+        for k in range(_DOUBLINGS):
+            most = np.maximum(most[: -(1 << k)], most[1 << k :])
+        return np.flatnonzero(most == self.grams)
+
+
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch, buf, offsets in tv.steps(batches, "text"):
+        windows = Windows(buf, offsets)
+        at = windows.chosen()
+        text = np.searchsorted(windows.runs.first, at, "right") - 1
+        place = _versions(buf, offsets)[text] << 32 | (at - windows.runs.first[text])
+        yield pa.RecordBatch.from_pydict({"gram": windows.grams[at].view(np.int64), "doc_id": batch.column(0).to_numpy()[text], "place": place})
+
+
+BLOCKS = "gram long, doc_id long, place long, digests array<long>, starts array<int>, ends array<int>"
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows whose least gram is one of the row's `grams`; those that follow one another and share it are a row."""
+    for batch, buf, offsets in tv.steps(batches, "text"):
+        windows = Windows(buf, offsets)
+        grams = batch.column(2)
+        row = tv.splitmix(np.arange(batch.num_rows, dtype=_U))
+        known = grams.flatten().to_numpy().view(_U) ^ np.repeat(row, grams.value_lengths().to_numpy())
+        hit = np.flatnonzero(np.isin(windows.least ^ row[windows.text], known))
+        at, text, least = windows.at[hit], windows.text[hit], windows.least[hit]
+        new = np.ones(len(at), bool)
+        new[1:] = (np.diff(at) != 1) | (np.diff(text) != 0) | (least[1:] != least[:-1])
+        head = np.flatnonzero(new)
+        lists = pa.array(np.append(head, len(at)), pa.int32())
+        chars = np.concatenate(([0], np.cumsum(_LEADING[buf], dtype=np.int64)))
+        base = chars[offsets[text]]
+        place = _versions(buf, offsets)[text[head]] << 32 | (at[head] - windows.runs.first[text[head]])
+        values = (
+            tv.window_hashes(windows.words, RUN_WORDS)[at].view(np.int64),
+            (chars[windows.runs.starts[at]] - base).astype(np.int32),
+            (chars[windows.runs.ends[at + RUN_WORDS - 1]] - base).astype(np.int32),
+        )
+        digests, starts, ends = (pa.ListArray.from_arrays(lists, pa.array(v)) for v in values)
+        yield pa.RecordBatch.from_pydict({"gram": least[head].view(np.int64), "doc_id": batch.column(0).to_numpy()[text[head]], "place": place, "digests": digests, "starts": starts, "ends": ends})
+
+
+def repeated_runs(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """A row per piece of a repeated run of words: the columns of repeated_passages, n_units being 0.  Pieces overlap.
+
+    A window is repeated if an earlier document has the same RUN_WORDS words, or the same one has them earlier and
+    apart from it; a piece is the words of repeated windows that follow one another.  start and end are those of its
+    first and last word.  Rows as in repeated_passages.
+    """
+    source = only(docs, doc_id=F.col("doc_id").cast("long"), text=utf8("text")).where("doc_id is not null")
+    place = F.struct("doc_id", "place")
+    same = Window.partitionBy("gram").orderBy("doc_id", "place")
+    seen = source.mapInArrow(_grams, "gram long, doc_id long, place long")
+    # a gram that stands at two places has a neighbour at another one, at both
+    seen = seen.select("gram", "doc_id", (F.lag(place).over(same) != place).alias("before"), (F.lead(place).over(same) != place).alias("after")).where("before or after")
+    seen = scratch.keep(seen.groupBy("doc_id").agg(F.collect_set("gram").alias("grams")), "grams")
+    # all windows of a gram come to one task as lists and are compared there
+    found = source.join(seen, "doc_id").select("doc_id", "text", "grams").mapInArrow(_blocks, BLOCKS).repartition("gram")
+    found = found.select("gram", "doc_id", "place", F.posexplode(F.arrays_zip("digests", "starts", "ends")).alias("k", "w"))
+    found = found.select("gram", "doc_id", (F.col("place") + F.col("k")).alias("place"), F.col("w.digests").alias("digest"), F.col("w.starts").alias("start"), F.col("w.ends").alias("end"))
+    same = Window.partitionBy("gram", "digest").orderBy("doc_id", "place")
+    found = found.withColumn("first", F.first(place).over(same.rowsBetween(Window.unboundedPreceding, 0)))
+    own = (F.col("first.doc_id") == F.col("doc_id")) & F.expr("shiftright(first.place, 32) = shiftright(place, 32)")
+    later = found.where(~own | (F.col("place") - F.col("first.place") >= RUN_WORDS))
+    later = later.select("gram", "doc_id", "place", "start", "end", F.col("first.doc_id").alias("first_doc_id"))
+    later = later.withColumn("island", F.col("place") - F.dense_rank().over(Window.partitionBy("gram", "doc_id").orderBy("place")))
+    pieces = later.groupBy("gram", "doc_id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("place").alias("place"), F.max("place").alias("last"), F.min("first_doc_id").alias("first_doc_id"))
+    pieces = pieces.select(
+        "doc_id", F.expr("shiftright(place, 32)").alias("version"), "start", "end", (F.col("last") - F.col("place") + RUN_WORDS).alias("n_words"), F.lit(0).cast("long").alias("n_units"), "first_doc_id", F.expr("int(place & 4294967295L)").alias("first_word")
+    )
+    with small_batches(docs.sparkSession):
+        return scratch.keep(pieces, "runs")
+
+
+def passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """All that is to be removed: passages of whole units and runs of words, those that meet made one; columns of repeated_passages."""
+    found = repeated_runs(docs, scratch).unionByName(repeated_passages(docs, scratch))
+    stop = F.col("first_word") + F.col("n_words")
+    before = Window.partitionBy("doc_id", "version").orderBy("first_word", "start").rowsBetween(Window.unboundedPreceding, -1)
+    found = found.withColumn("new", F.coalesce(F.col("first_word") > F.max(stop).over(before), F.lit(False)).cast("int"))
+    found = found.withColumn("island", F.sum("new").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = found.groupBy("doc_id", "version", "island").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), (F.max(stop) - F.min("first_word")).alias("n_words"), F.sum("n_units").alias("n_units"), F.min("first_doc_id").alias("first_doc_id"), F.min("first_word").alias("first_word")
+    )
+    return whole.drop("island")
+
+
 def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """The documents without the passages; others stay as they are, and all columns do."""
     cut = passages.groupBy("doc_id", "version").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cut"))

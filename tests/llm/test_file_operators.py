@@ -205,6 +205,19 @@ def test_html_leaves_out_what_stands_beside(beside):
     assert main_text(f"<html><body>{beside}<article><h1>Piers</h1><p>{LONG}</p><p>Calm.</p></article>{beside}</body></html>") == ["Piers", LONG, "Calm."]
 
 
+@pytest.mark.parametrize("head", ["<head><title>T</title>", "<head><title>T</title></head>", '<head><meta charset="utf-8"><style>p{}</style><body>', ""])
+def test_html_head_ends_with_or_without_its_tag(head):
+    page = f"<html>{head}<article><header><h1>On piers</h1></header><p>{LONG}</p><section><header><h2>Oil</h2></header><p>{LONG}</p></section></article></html>"
+    assert main_text(page) == ["On piers", LONG, "Oil", LONG]
+    assert [b.main for b in html.blocks(page)] == [True] * 4
+
+
+def test_html_formulas_and_media_are_inline_text():
+    formula = "<math><semantics><mrow><msup><mi>x</mi><mn>2</mn></msup><mo>=</mo><mn>4</mn></mrow><annotation encoding='tex'>x^2 = 4</annotation></semantics></math>"
+    for inner, text in ((formula, "x2=4"), ('<object data="a"><param name="b">a map</object>', "a map"), ("<canvas>a chart</canvas>", "a chart"), ('<video><source src="a"><track src="b">a film</video>', "a film"), ("<audio>a song</audio>", "a song")):
+        assert main_text(f"<html><body>{NAV}<article><h1>Piers</h1><p>{LONG} Here {inner} stands. {LONG}</p></article>") == ["Piers", f"{LONG} Here {text} stands. {LONG}"]
+
+
 def test_html_held_out_pages():
     x, y = html.sample_table()
     right = total = 0

@@ -23,9 +23,12 @@ from .html_samples import PAGES
 from .shared import only
 
 # Element names of the HTML standard by how they are treated.
-RAW = frozenset("script style noscript template textarea title select svg iframe canvas object audio video head math".split())
+RAW = frozenset("script style noscript template textarea title select svg iframe annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr input br".split())
+#: Formulas and media are read as inline text; annotations repeat a formula in another notation.
+INLINE |= frozenset("math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mtd mlabeledtr mspace maction menclose mfenced semantics annotation annotation-xml".split())
+INLINE |= frozenset("canvas object audio video source track param embed".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ITEMS = frozenset("li td th dt dd caption".split())
 MAIN = frozenset("article main".split())
@@ -40,7 +43,7 @@ BESIDE_NAMES = frozenset(
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>"']*)[^>]*+>""", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_ENDS = {t: re.compile(rf"</{t}\s*[^>]*>", re.I) for t in RAW}
+_ENDS = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW}
 _PART = re.compile(r"[a-z]+")
 
 
@@ -64,7 +67,7 @@ class Block:
 
 
 def blocks(page: str) -> list[Block]:
-    """The flat text blocks of a page; head, scripts, styles and comments are left out."""
+    """The flat text blocks of a page; titles, scripts, styles and comments are left out, so a head with or without an end has no text."""
     out: list[Block] = []
     held: list[str] = []
     stack: list[tuple[str, bool, bool, bool, bool]] = []  # tag, main, beside, named main, named beside

@@ -188,6 +188,15 @@ def test_decontamination_of_repeated_rows_and_empty_tables(spark, make_docs):
     assert decontaminate.find_contamination(docs, items.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_decontamination_searches_items_without_an_id(spark, make_docs):
+    items = spark.createDataFrame([(None, "one two three"), (None, None), (None, "Four five"), (4, "four five")], "item_id long, text string")
+    docs = make_docs([(1, "x one two three y"), (2, "four five z"), (3, "clean")])
+    for per_pass in (200_000, 2):
+        found = decontaminate.find_contamination(docs, items, phrases_per_pass=per_pass)
+        assert sorted((r.doc_id, r.n_hit, r["items"]) for r in found.collect()) == [(1, 3, []), (2, 2, ["4"]), (3, 0, [])]
+        assert sorted(r.text for r in decontaminate.remove_spans(docs, found).collect()) == sorted(["x  y", " z", "clean"])
+
+
 def test_fm_index_against_search():
     rng = np.random.default_rng(1)
     for n in (1, 5, 70, 900):

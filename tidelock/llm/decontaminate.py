@@ -130,7 +130,7 @@ class FMIndex:
 class Phrases:
     """Windows of test items as word-id sequences, and the items that hold each."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW_WORDS):
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int = WINDOW_WORDS):
         vocabulary: dict[bytes, int] = {}
         held: dict[tuple[int, ...], set[str]] = {}
         for item, text in items:
@@ -152,7 +152,7 @@ class Phrases:
         self.matrix = np.zeros((len(held), window), np.int64)
         for row, p in enumerate(held):
             self.matrix[row, window - len(p) :] = p
-        self.items = [sorted(x) for x in held.values()]
+        self.items = [sorted(i for i in x if i is not None) for x in held.values()]
         self.shortest = int(self.lengths.min(initial=window))
 
     def ids_of(self, words: np.ndarray) -> np.ndarray:
@@ -234,12 +234,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     """Per document: doc_id, n_words, n_hit, items (sorted ids) and spans (merged, in bytes of the UTF-8 text).
 
     Null and empty texts have no words and no hits; rows that repeat a doc_id are judged each for itself; other
-    columns of either table are not read; an empty benchmark finds nothing.  Items come to the driver in blocks of
+    columns of either table are not read; an empty benchmark finds nothing.  An item whose id is null is searched like
+    others, but adds no id to items.  Items come to the driver in blocks of
     phrases_per_pass words, so a larger benchmark takes more passes, not larger broadcasts; the spans of several passes
     are merged by document.  text_md5 tells rows of one doc_id apart.
     """
     # the test set is read in its order by id, a block at a time
-    rows = only(benchmark, item_id=F.col("item_id").cast("string"), text=F.col("text").cast("string")).where("item_id is not null and text is not null").orderBy("item_id", "text").toLocalIterator(prefetchPartitions=False)
+    rows = only(benchmark, item_id=F.col("item_id").cast("string"), text=F.col("text").cast("string")).where("text is not null").orderBy("item_id", "text").toLocalIterator(prefetchPartitions=False)
     blocks, block, size = [], [], 0
     source = only(docs, doc_id=F.col("doc_id").cast("long"), text_md5=F.md5("text"), text=utf8("text"))
     for item in rows:

@@ -134,7 +134,7 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, end_id: int, scratch: Scratch,
     # a task has at most one row a length here, and each window has a row a task
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = scratch.keep(held.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n"), "base")
-    ranked = pieces.join(base, ["length", "part"]).withColumn("rank", F.col("before") + F.col("nth"))
+    ranked = pieces.join(base.hint("merge"), ["length", "part"]).withColumn("rank", F.col("before") + F.col("nth"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -43,6 +43,8 @@ REMEMBERED = 2_500_000
 ENCODE_BYTES = 3 << 20
 #: Ids in a shard, at most, but for a single longer document.
 SHARD_IDS = 16 << 20
+#: Documents whose places a reading task looks up at once.
+READ_DOCS = 4096
 
 
 def vocabulary_path(name: str) -> str:
@@ -52,7 +54,11 @@ def vocabulary_path(name: str) -> str:
 
 
 class Encoder:
-    """Ids of a tokenizers file; each piece of text goes through the library once and is then known by its 64-bit hash."""
+    """Ids of a tokenizers file, as the library gives them for whole texts.
+
+    Each piece of text goes through the library once and is then known by 128 bits of hashes.  Texts that may hold one
+    of the file's added tokens, such as an end mark in plain letters, go through it as a whole.
+    """
 
     def __init__(self, definition: str, cut: str | None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -60,13 +66,16 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_padding(), self.tokenizer.no_truncation()
-        self.tokenizer.encode_special_tokens = True
         self.cut = cut
+        # the beginnings of added tokens in either case: normalisers may change the rest
+        marks = {t["content"][:2] for t in json.loads(definition).get("added_tokens", ()) if t["content"]}
+        odd = [FAR_SPACE.pattern, *(re.escape(m.encode()) for m in sorted(marks))]
+        self.whole = re.compile(b"|".join(odd), re.I)
         self._forget()
 
     def _forget(self) -> None:
-        # sorted hashes, and the place and number of each piece's ids in the pool: about 40 bytes a piece
-        self.keys, self.start, self.size = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint32)
+        # sorted hashes, a second hash, and the place and number of each piece's ids in the pool: about 50 bytes a piece
+        self.keys, self.checks, self.start, self.size = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint32)
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def _library(self, texts: list[bytes]) -> list[list[int]]:
@@ -95,7 +104,7 @@ class Encoder:
         order = np.argsort(all_starts, kind="stable")
         return all_starts[order], all_ends[order]
 
-    def _learn(self, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: bytes) -> None:
+    def _learn(self, keys: np.ndarray, checks: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: bytes) -> None:
         """Encodes those of the distinct, sorted keys that are not known yet."""
         at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
         new = np.flatnonzero(self.keys[at] != keys) if len(self.keys) else np.arange(len(keys))
@@ -112,39 +121,54 @@ class Encoder:
         both = np.concatenate((self.keys, keys[new]))
         order = np.argsort(both, kind="stable")
         self.keys = both[order]
+        self.checks = np.concatenate((self.checks, checks[new]))[order]
         self.start = np.concatenate((self.start, begin.astype(np.uint32)))[order]
         self.size = np.concatenate((self.size, sizes))[order]
 
     def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and the offsets at which each text's ids begin."""
         data = buf.tobytes()
-        if not self.cut or FAR_SPACE.search(data):
-            whole = [data[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            odd = [k for k, t in enumerate(whole) if not self.cut or FAR_SPACE.search(t)]
-            parts: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(whole)
-            for k, ids in zip(odd, self._library([whole[k] for k in odd]), strict=True):
-                parts[k] = np.array(ids, np.uint32)
-            if len(odd) < len(whole):
-                plain = np.ones(len(whole), bool)
-                plain[odd] = False
-                lengths = np.where(plain, np.diff(offsets), 0)
-                ids, at = self._cut_and_encode(buf[np.repeat(plain, np.diff(offsets))], np.concatenate(([0], np.cumsum(lengths))), b"".join(t for t, p in zip(whole, plain, strict=True) if p))
-                for k in np.flatnonzero(plain).tolist():
-                    parts[k] = ids[at[k] : at[k + 1]]
-            return np.concatenate(parts) if parts else np.zeros(0, np.uint32), np.cumsum([0, *map(len, parts)])
+        if not self.cut or self.whole.search(data):
+            texts = [data[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            odd = [k for k, t in enumerate(texts) if not self.cut or self.whole.search(t)]
+            return self._some_whole(buf, offsets, texts, odd)
         return self._cut_and_encode(buf, offsets, data)
 
+    def _some_whole(self, buf: np.ndarray, offsets: np.ndarray, texts: list[bytes], odd: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """The texts with the odd numbers are not cut, the others are."""
+        parts: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
+        for k, ids in zip(odd, self._library([texts[k] for k in odd]), strict=True):
+            parts[k] = np.array(ids, np.uint32)
+        plain = np.ones(len(texts), bool)
+        plain[odd] = False
+        if plain.any():
+            lengths = np.where(plain, np.diff(offsets), 0)
+            ids, at = self._cut_and_encode(buf[np.repeat(plain, np.diff(offsets))], np.concatenate(([0], np.cumsum(lengths))), b"".join(t for t, p in zip(texts, plain, strict=True) if p))
+            for k in np.flatnonzero(plain).tolist():
+                parts[k] = ids[at[k] : at[k + 1]]
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint32), np.cumsum([0, *map(len, parts)])
+
     def _cut_and_encode(self, buf: np.ndarray, offsets: np.ndarray, data: bytes) -> tuple[np.ndarray, np.ndarray]:
         starts, ends = self._pieces(buf, offsets)
         keys, first, which = np.unique(tv.span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+        checks = tv.span_hashes(buf, starts, ends, 1)
         if len(self.keys) + len(keys) > REMEMBERED:
             self._forget()
-        self._learn(keys, starts[first], ends[first], data)
+        self._learn(keys, checks[first], starts[first], ends[first], data)
         number = np.searchsorted(self.keys, keys)[which]
         begin, sizes = self.start[number].astype(np.int64), self.size[number].astype(np.int64)
         done = np.concatenate(([0], np.cumsum(sizes)))
         ids = self.pool[np.repeat(begin - done[:-1], sizes) + np.arange(done[-1])]
-        return ids, done[np.searchsorted(starts, offsets)]
+        at = done[np.searchsorted(starts, offsets)]
+        other = self.checks[number] != checks
+        if not other.any():
+            return ids, at
+        # pieces whose first hash another piece has: their texts go through the library
+        texts = np.unique(np.searchsorted(offsets, starts[other], "right") - 1).tolist()
+        parts = [ids[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        for k, found in zip(texts, self._library([data[offsets[k] : offsets[k + 1]] for k in texts]), strict=True):
+            parts[k] = np.array(found, np.uint32)
+        return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
 
 
 class Vocabulary:
@@ -194,34 +218,24 @@ class EliasFano:
         return cls(n, limit, np.packbits(low.ravel(), bitorder="little"), np.packbits(high, bitorder="little"))
 
     def select(self, i: int) -> int:
-        """Value i, from the counts of ones and one block of 512 bits."""
+        """Value i."""
         if not 0 <= i < self.n:
             raise IndexError(i)
-        block = int(np.searchsorted(self.ones, i, "right")) - 1
-        left = i - int(self.ones[block])
-        for w in range(block * 8, block * 8 + 8):
-            word = int(self.words[w])
-            here = word.bit_count()
-            if left < here:
-                break
-            left -= here
-        for _ in range(left):
-            word &= word - 1
-        at = w * 64 + (word & -word).bit_length() - 1
-        value = (at - i) << self.bits
-        for b in range(self.bits):
-            p = i * self.bits + b
-            value |= ((int(self.low[p >> 3]) >> (p & 7)) & 1) << b
-        return value
-
-    def values(self) -> np.ndarray:
-        """All values."""
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        out = (ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.bits)
-        if self.bits:
-            low = np.unpackbits(self.low, count=self.n * self.bits, bitorder="little").reshape(self.n, self.bits).astype(np.uint64)
-            out |= (low << np.arange(self.bits, dtype=np.uint64)).sum(1, dtype=np.uint64)
-        return out
+        return int(self.select_many(np.array([i]))[0])
+
+    def select_many(self, i: np.ndarray) -> np.ndarray:
+        """Values by their numbers, each from the counts of ones and one block of 512 bits."""
+        block = np.searchsorted(self.ones, i, "right") - 1
+        left = i - self.ones[block].astype(np.int64)
+        words = self.words[block[:, None] * 8 + np.arange(8)]
+        before = np.cumsum(np.bitwise_count(words), axis=1, dtype=np.int64)
+        word = (before <= left[:, None]).sum(1)
+        left = left - np.where(word > 0, np.take_along_axis(before, np.maximum(word - 1, 0)[:, None], 1)[:, 0], 0)
+        bits = np.unpackbits(np.take_along_axis(words, word[:, None], 1).view(np.uint8), axis=1, bitorder="little")
+        bit = (np.cumsum(bits, axis=1, dtype=np.int64) <= left[:, None]).sum(1)
+        value = (block * self.EVERY + word * 64 + bit - i) << self.bits
+        at = i[:, None] * self.bits + np.arange(self.bits)
+        return value | (((self.low[at >> 3].astype(np.int64) >> (at & 7)) & 1) << np.arange(self.bits)).sum(1)
 
     def to_bytes(self) -> bytes:
         return struct.pack("<QQQQ", self.n, self.limit, len(self.low), len(self.high)) + self.low.tobytes() + self.high.tobytes()
@@ -268,7 +282,8 @@ class _Shard:
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
+    """The file system of a path that has its scheme; Hadoop's names of S3 are known as such."""
+    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
 
 
 def _write(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, end_id: int, folder: str, shard_ids: int) -> Iterator[pa.RecordBatch]:
@@ -290,12 +305,14 @@ def _write(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, end_id: in
 def write_ids(docs: DataFrame, vocabulary: Vocabulary, end_id: int, folder: str, scratch: Scratch, shard_ids: int = SHARD_IDS) -> DataFrame:
     """Writes shards in ascending doc_id order and returns their manifest: path, docs, ids and base (ids in shards before).
 
-    Documents are dealt by ranges of doc_id, not gathered; rows that repeat a doc_id stay together, ordered by text.
+    Documents are dealt by ranges of doc_id and then of the hash of the text, in which they are ordered, too, so that not
+    even a doc_id that very many rows have, or null, is one task's.
     A null doc_id sorts first; a null text is empty and has the end id alone; other columns are not read; an empty
     table writes no shard.
     """
     source = only(docs, doc_id=F.col("doc_id").cast("long"), text=utf8("text"))
-    ordered = source.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    source = source.withColumn("hash", F.xxhash64("text"))
+    ordered = source.repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash", "text").select("doc_id", "text")
     listed = scratch.keep(ordered.mapInArrow(lambda b: _write(b, vocabulary, end_id, folder, shard_ids), "part long, shard long, path string, docs long, ids long"), "manifest")
     # a row a shard, of millions of ids each
     before = Window.orderBy("part", "shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -323,18 +340,24 @@ class Shard:
         end = self.starts.select(i + 1) if i + 1 < self.head["docs"] else self.head["ids"]
         return self.ids[self.starts.select(i) : end]
 
-    def doc_ids(self) -> list[int | None]:
-        return [None] * self.head["null_doc_ids"] + (self.known.values().astype(np.int64) + self.head["least_doc_id"]).tolist()
+    def places(self, a: int, b: int) -> tuple[pa.Array, np.ndarray]:
+        """doc_ids of documents a to b, and their starts with the end of the last, all by select."""
+        number = np.arange(a, b)
+        null = number < self.head["null_doc_ids"]
+        known = np.zeros(b - a, np.int64)
+        known[~null] = self.known.select_many(number[~null] - self.head["null_doc_ids"]) + self.head["least_doc_id"]
+        end = self.starts.select(b) if b < self.head["docs"] else self.head["ids"]
+        return pa.array(known, pa.int64(), mask=null), np.append(self.starts.select_many(number), end)
 
 
 def _read(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             shard = Shard(folder, row["path"])
-            starts = shard.starts.values().astype(np.int64)
-            ends = np.append(starts[1:], shard.head["ids"])
-            crcs = [zlib.crc32(shard.ids[a:b].astype("<u4")) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(shard.doc_ids(), pa.int64()), pa.array(starts + row["base"]), pa.array(ends - starts), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            for a in range(0, shard.head["docs"], READ_DOCS):
+                doc_ids, at = shard.places(a, min(a + READ_DOCS, shard.head["docs"]))
+                crcs = [zlib.crc32(shard.ids[x:y].astype("<u4")) for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([doc_ids, pa.array(at[:-1] + row["base"]), pa.array(np.diff(at)), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
 def read_documents(manifest: DataFrame, folder: str) -> DataFrame:

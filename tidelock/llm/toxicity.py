@@ -2,14 +2,18 @@
 
 Categories are predicted one after another; the linear model of each sees the
 text's features and the probabilities of all categories before it.  In training
-those probabilities are out of fold: the model of a category is fitted on four
-fifths of the sample to predict the last one, so that later models learn from
-predictions such as they will get, not from fitted labels.
+those probabilities are out of fold: features are chosen, categories derived and
+the model of a category fitted on four fifths of the sample to predict the last
+one, so that later models learn from predictions such as they will get, not from
+fitted labels.
+
+The labels have one category, toxic, which the chain ends with.  The two before it
+are derived from the labels: features that hardly ever stand in texts that are
+not toxic are markers; toxic texts with a marker are `marked`, others `unmarked`.
 
 Features are the lower-cased words of a text and their first bytes (4 to 7),
-which also catch inflected and compounded words, as 64-bit hashes.  A sample of
-labelled documents picks those that go with any category and fits the models;
-scoring is a scan without a shuffle.
+which also catch inflected and compounded words, as 64-bit hashes.  Scoring is a
+scan without a shuffle.
 """
 
 from __future__ import annotations
@@ -28,16 +32,16 @@ from .shared import Scratch, only, utf8
 _U = np.uint64
 #: Labelled documents that the chain is trained on, at most: those with the smallest hashes of their ids.
 TRAIN_ROWS = 12_000
-#: Features that the models keep, at most, and documents of the sample that a feature must stand in.
-KEPT_FEATURES, LEAST_DOCS = 512, 3
+#: Documents of the sample that a feature must stand in, and the chi-square that it must reach (one in a thousand by chance).
+LEAST_DOCS, LEAST_CHI = 3, 10.8
+#: A marker's share of toxic texts among those that it stands in, at least.
+MARKER_SHARE = 0.9
 FOLDS = 5
 PREFIXES = (4, 5, 6, 7)
 #: A category is assigned from this probability.
 TOXIC_FROM = 0.4
-#: Plain insults that tell the category `insult` from `covert`, the labels having one category only (fixed values).
-INSULTS = ("clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless")
-#: In the chain's order: an insult in plain words, toxic text without one, and toxic text of either kind.
-CATEGORIES = ("insult", "covert", "toxic")
+#: In the chain's order.
+CATEGORIES = ("marked", "unmarked", "toxic")
 
 
 def text_features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,94 +111,125 @@ class Chain:
         return out
 
 
-def fit_chain(kept: np.ndarray, texts: list[np.ndarray], labels: np.ndarray, categories: tuple[str, ...] = CATEGORIES, folds: int = FOLDS) -> Chain:
-    """kept: sorted feature hashes; texts: which of them (by number) each labelled text has; labels: a column a category."""
+@dataclass
+class Choice:
+    """Features that go with toxic texts in a part of the sample, and which of them are markers there."""
+
+    chosen: np.ndarray
+    markers: np.ndarray
+
+    @classmethod
+    def of(cls, docs: np.ndarray, toxic: np.ndarray, n: int, n_toxic: int) -> Choice:
+        """docs, toxic: how many of the part's n texts, and of its n_toxic toxic ones, each feature stands in."""
+        share = n_toxic / max(n, 1)
+        expected = docs * share
+        chi = (toxic - expected) ** 2 / np.maximum(expected * (1 - share) * np.maximum(1 - docs / max(n, 1), 1e-9), 1e-9)
+        chosen = (docs >= LEAST_DOCS) & (chi > LEAST_CHI)
+        return cls(chosen, chosen & (toxic >= MARKER_SHARE * docs))
+
+    def labels(self, rows: np.ndarray, columns: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+        """A column for each of CATEGORIES."""
+        marked = np.bincount(rows, self.markers[columns], len(toxic)) > 0
+        return np.column_stack((toxic & marked, toxic & ~marked, toxic)).astype(float)
+
+
+def fit_chain(keys: np.ndarray, choices: list[Choice], texts: list[np.ndarray], toxic: np.ndarray, fold: np.ndarray) -> Chain:
+    """keys: sorted feature hashes; choices: of the whole sample, then without each fold; texts: which features (by number) each labelled text has."""
     n = len(texts)
     rows = np.repeat(np.arange(n), [len(t) for t in texts])
     columns = np.concatenate(texts).astype(np.int64) if n else np.zeros(0, np.int64)
-    chain = Chain(categories, kept, [])
-    before = np.zeros((n, 0))
-    fold = np.arange(n) % folds
-    for k in range(labels.shape[1]):
-        y = labels[:, k].astype(float)
-        chain.models.append(fit_linear(rows, columns, len(kept), before, y))
+    known = np.flatnonzero(choices[0].chosen)
+    chain, before = Chain(CATEGORIES, keys[known], []), np.zeros((n, 0))
+    labels = [c.labels(rows, columns, toxic) for c in choices]
+    for k in range(len(CATEGORIES)):
+        use = choices[0].chosen[columns]
+        chain.models.append(fit_linear(rows[use], np.searchsorted(known, columns[use]), len(known), before, labels[0][:, k]))
         held_out = np.zeros(n)
-        for f in range(folds):
-            inside, number = fold != f, np.cumsum(fold != f) - 1
-            use = inside[rows]
-            model = fit_linear(number[rows[use]], columns[use], len(kept), before[inside], y[inside])
-            held_out[fold == f] = model.probabilities(rows, columns, n, before)[fold == f]
+        for f, choice in enumerate(choices[1:]):
+            inside, number, use = fold != f, np.cumsum(fold != f) - 1, choice.chosen[columns]
+            own = use & inside[rows]
+            model = fit_linear(number[rows[own]], columns[own], len(keys), before[inside], labels[f + 1][inside, k])
+            held_out[fold == f] = model.probabilities(rows[use], columns[use], n, before)[fold == f]
         before = np.column_stack((before, held_out))
     return chain
 
 
-def _insult_hashes() -> np.ndarray:
-    data = [w.encode() for w in INSULTS]
-    ends = np.cumsum([len(w) for w in data])
-    return tv.span_hashes(np.frombuffer(b"".join(data), np.uint8), np.concatenate(([0], ends[:-1])), ends)
-
-
 def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    insults = _insult_hashes()
     for batch, buf, offsets in tv.steps(batches, "text"):
         keys, text = tv.distinct(*text_features(buf, offsets))
         cut = np.searchsorted(text, np.arange(batch.num_rows + 1))
-        plain = np.bincount(text[np.isin(keys, insults)], minlength=batch.num_rows) > 0
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(plain), pa.array([keys[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], names=["doc_id", "label", "plain", "keys"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), pa.array([keys[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], names=["doc_id", "hash", "label", "keys"])
 
 
-def _category_labels(label: np.ndarray, plain: np.ndarray) -> np.ndarray:
-    """A column for each of CATEGORIES."""
-    toxic = label.astype(np.int64) > 0
-    return np.column_stack((toxic & plain, toxic & ~plain, toxic)).astype(np.int64)
+_COUNTS = [f"{kind}_{f}" for f in range(FOLDS) for kind in ("docs", "toxic")]
 
 
 def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts that a feature stands in, in all and in each category."""
+    """Texts, and toxic ones, that a feature stands in, in each fold."""
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             some = batch.slice(at, 500)
             keys = [np.frombuffer(k, _U) for k in some.column("keys").to_pylist()]
-            labels = np.repeat(_category_labels(some.column("label").to_numpy(), some.column("plain").to_numpy(zero_copy_only=False)), [len(k) for k in keys], axis=0)
+            sizes = [len(k) for k in keys]
+            fold, toxic = np.repeat(some.column("fold").to_numpy(), sizes), np.repeat(some.column("label").to_numpy() > 0, sizes)
             distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
-            sums = [np.bincount(which, labels[:, k], len(distinct)).astype(np.int64) for k in range(labels.shape[1])]
-            yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(np.bincount(which, minlength=len(distinct))), *map(pa.array, sums)], names=["key", "docs", *(f"in_{c}" for c in CATEGORIES)])
+            sums = [np.bincount(which[part], minlength=len(distinct)).astype(np.int32) for f in range(FOLDS) for part in (fold == f, (fold == f) & toxic)]
+            yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), *map(pa.array, sums)], names=["key", *_COUNTS])
 
 
 def _numbered(batches: Iterator[pa.RecordBatch], kept: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The numbers of the kept features that each text has."""
     for batch in batches:
         found = [np.flatnonzero(np.isin(kept, np.frombuffer(k, _U))).astype(np.int32).tobytes() for k in batch.column("keys").to_pylist()]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "label", "plain")), pa.array(found, pa.binary())], names=["doc_id", "label", "plain", "numbers"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "label", "fold")), pa.array(found, pa.binary())], names=["doc_id", "label", "fold", "numbers"])
 
 
 def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, bound: int = TRAIN_ROWS) -> Chain | None:
     """A chain for labels.toxic from at most `bound` labelled documents; None where labels lack a class.
 
-    Features are counted over the cluster; the driver gets the chosen ones and their numbers in each text of the sample.
+    A doc_id counts once: toxic if any of its labels says so, and with that of its texts that has the smallest hash.
+    Features are counted over the cluster; the driver gets those that pass the test in some part of the sample, which the
+    sample bounds, and their numbers in each of its texts.
     """
     picked = only(labels, doc_id=F.col("doc_id").cast("long"), label=F.col("toxic").cast("int")).where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
     picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     # two numbers a row and at most `bound` rows
-    sample = only(docs, doc_id=F.col("doc_id").cast("long"), text=utf8("text")).join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text")
-    sample = scratch.keep(sample.mapInArrow(_training_rows, "doc_id long, label int, plain boolean, keys binary"), "sample")
-    toxic = F.col("label") > 0
-    totals = sample.agg(F.count("*").alias("n"), F.count_if(toxic & F.col("plain")).alias("insult"), F.count_if(toxic & ~F.col("plain")).alias("covert"), F.count_if(toxic).alias("toxic")).first()
-    if totals.n < 2 * FOLDS or totals.toxic in (0, totals.n):
+    sample = only(docs, doc_id=F.col("doc_id").cast("long"), text=utf8("text")).join(F.broadcast(picked), "doc_id").select("doc_id", F.xxhash64("text").alias("hash"), "label", "text")
+    sample = sample.mapInArrow(_training_rows, "doc_id long, hash long, label int, keys binary").groupBy("doc_id").agg(F.min(F.struct("hash", "label", "keys")).alias("one"))
+    sample = scratch.keep(sample.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold"), "one.label", "one.keys"), "sample")
+    held = np.zeros((FOLDS, 2), np.int64)
+    for row in sample.groupBy("fold").agg(F.count("*").alias("n"), F.count_if(F.col("label") > 0).alias("toxic")).collect():
+        held[row.fold] = row.n, row.toxic
+    n, n_toxic = held.sum(0)
+    if n < 2 * FOLDS or n_toxic in (0, n):
         return None
-    # features that stand in enough texts and go with some category, by the chi-square of a 2 x 2 table
-    counts = sample.mapInArrow(_feature_counts, "key long, docs long, " + ", ".join(f"in_{c} long" for c in CATEGORIES)).groupBy("key").agg(*(F.sum(c).alias(c) for c in ("docs", *(f"in_{c}" for c in CATEGORIES))))
-    chi = F.lit(0.0)
-    for c in CATEGORIES:
-        share = totals[c] / totals.n
-        if 0 < share < 1:
-            expected = F.col("docs") * share
-            chi = F.greatest(chi, F.pow(F.col(f"in_{c}") - expected, 2) / (expected * (1 - share) * F.greatest(1 - F.col("docs") / totals.n, F.lit(1e-9))))
-    chosen = counts.where(F.col("docs") >= LEAST_DOCS).withColumn("chi", chi).where("chi > 10.8").orderBy(F.desc("chi"), "key").limit(KEPT_FEATURES).select("key").toPandas()
-    kept = np.sort(chosen["key"].to_numpy(np.int64).view(_U))
-    rows = sample.mapInArrow(lambda b: _numbered(b, kept), "doc_id long, label int, plain boolean, numbers binary").toPandas().sort_values(["doc_id", "numbers"])
-    texts = [np.frombuffer(x, np.int32) for x in rows["numbers"]]
-    return fit_chain(kept, texts, _category_labels(rows["label"].to_numpy(), rows["plain"].to_numpy(bool)))
+    counts = sample.mapInArrow(_feature_counts, "key long, " + ", ".join(f"{c} int" for c in _COUNTS)).groupBy("key").agg(*(F.sum(c).cast("int").alias(c) for c in _COUNTS))
+    counts = counts.where(" + ".join(f"docs_{f}" for f in range(FOLDS)) + f" >= {LEAST_DOCS}")
+    keys, found = _passing(counts, held)
+    choices = [Choice.of(found[:, :, 0].sum(1), found[:, :, 1].sum(1), n, n_toxic)]
+    for f in range(FOLDS):
+        rest = np.arange(FOLDS) != f
+        choices.append(Choice.of(found[:, rest, 0].sum(1), found[:, rest, 1].sum(1), *held[rest].sum(0)))
+    rows = sample.mapInArrow(lambda b: _numbered(b, keys), "doc_id long, label int, fold int, numbers binary").toPandas().sort_values("doc_id")
+    return fit_chain(keys, choices, [np.frombuffer(x, np.int32) for x in rows["numbers"]], rows["label"].to_numpy() > 0, rows["fold"].to_numpy())
+
+
+def _passing(counts: DataFrame, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted features that pass the test in the sample or without one of its folds, and their counts by fold (texts, toxic ones)."""
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = np.stack([batch.column(c).to_numpy() for c in _COUNTS], 1).reshape(-1, FOLDS, 2)
+            passes = np.zeros(len(each), bool)
+            for left_out in range(-1, FOLDS):
+                rest = np.arange(FOLDS) != left_out
+                passes |= Choice.of(each[:, rest, 0].sum(1), each[:, rest, 1].sum(1), *held[rest].sum(0)).chosen
+            yield batch.filter(pa.array(passes))
+
+    found = counts.mapInArrow(test, counts.schema).toArrow().sort_by("key")
+    keys = found.column("key").to_numpy().view(_U)
+    order = np.argsort(keys)
+    return keys[order], np.stack([found.column(c).to_numpy() for c in _COUNTS], 1).reshape(-1, FOLDS, 2)[order]
 
 
 def _score(batches: Iterator[pa.RecordBatch], chain: Chain | None, toxic_from: float) -> Iterator[pa.RecordBatch]:

@@ -22,8 +22,8 @@ from .shared import only
 
 #: Rules that one sweep holds; more rules take more sweeps.
 RULES_PER_SWEEP = 20_000
-#: Urls are dealt to this many sweeps a partition of the cluster, by hash, so no host makes one of them large.
-BLOCKS_PER_PARTITION = 1
+#: Urls are dealt to blocks of about so many points, by hash, so no host makes one of them large.
+POINTS_PER_BLOCK = 500_000
 
 
 def host_of(url: Column) -> Column:
@@ -43,13 +43,18 @@ def reversed_host(host: Column) -> Column:
 
 
 def _key(path: Column, host: Column) -> Column:
-    """Bytes of a path, an end mark that sorts below any text, and bytes of a reversed host."""
-    return F.concat(F.encode(path, "UTF-8"), F.lit(b"\x00"), F.encode(host, "UTF-8"))
+    """Bytes of a path, an end mark that no written path has, and bytes of a reversed host.
+
+    NUL and the byte after it are written as two bytes each, so that the first NUL of a key ends its path.
+    """
+    written = F.replace(F.replace(path, F.lit("\x01"), F.lit("\x01\x02")), F.lit("\x00"), F.lit("\x01\x01"))
+    return F.concat(F.encode(written, "UTF-8"), F.lit(b"\x00"), F.encode(host, "UTF-8"))
 
 
 def rule_table(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
-    """Rules (verdict, "host/path") as a table."""
-    return spark.createDataFrame([(v, r.split("/", 1)[0], "/" + r.split("/", 1)[1], r) for v, r in rules], "verdict string, host string, path string, rule string")
+    """Rules (verdict, "host/path") as a table of literals."""
+    rows = [F.struct(F.lit(v).alias("verdict"), F.lit(r.split("/", 1)[0]).alias("host"), F.lit("/" + r.split("/", 1)[1]).alias("path"), F.lit(r).alias("rule")) for v, r in rules]
+    return spark.range(1).select(F.inline(F.array(*rows))) if rows else spark.sql("SELECT '' AS verdict, '' AS host, '' AS path, '' AS rule WHERE false")
 
 
 def judge_urls(urls: DataFrame, rules: DataFrame, default: str = "allow", rules_per_sweep: int = RULES_PER_SWEEP) -> DataFrame:
@@ -68,15 +73,16 @@ def judge_urls(urls: DataFrame, rules: DataFrame, default: str = "allow", rules_
     points = only(urls, page_id="page_id", url=F.col("url").cast("string")).select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     # a row number that a page_id can't clash in; it only tells rows apart
     points = points.withColumn("row", F.monotonically_increasing_id())
-    blocks = int(spark.conf.get("spark.sql.shuffle.partitions")) * BLOCKS_PER_PARTITION
-    points = points.withColumn("block", F.pmod(F.xxhash64("row", "page_id"), F.lit(blocks)).cast("int"))
     lengths = [r[0] for r in rules.select(F.length("rule_path").alias("n")).distinct().orderBy("n").collect()]
+    # by the number of urls, and no fewer than the cluster can run at once
+    blocks = max(spark.sparkContext.defaultParallelism, -(-urls.count() * max(1, len(lengths)) // POINTS_PER_BLOCK))
+    points = points.withColumn("block", F.pmod(F.xxhash64("row", "page_id"), F.lit(blocks)).cast("int"))
     best = None
     for k in range(sweeps):
         some = rules.where(F.pmod(F.xxhash64("rule_host", "rule_path"), F.lit(sweeps)) == k) if sweeps > 1 else rules
         found = _sweep(points, some, lengths, blocks)
         if best is not None:
-            found = found.unionByName(best).groupBy("block", "row", "page_id", "host", "path").agg(F.max("won").alias("won"))
+            found = found.unionByName(best).groupBy("block", "row", "page_id", "host", "path").agg(F.min("won").alias("won"))
         best = found
     rule = F.col("won.rule")
     return best.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(F.col("won.rule_verdict"), F.lit(default)).alias("verdict"))
@@ -101,5 +107,6 @@ def _sweep(points: DataFrame, rules: DataFrame, lengths: list[int], blocks: int)
     events = events.withColumn("height", F.sum("step").over(Window.partitionBy("block").orderBy("key", "order").rowsBetween(Window.unboundedPreceding, 0)))
     inner = F.last("opened", ignorenulls=True).over(Window.partitionBy("block", "height").orderBy("key", "order").rowsBetween(Window.unboundedPreceding, 0))
     swept = events.withColumn("inner", F.when(F.col("height") > 0, inner)).where("order = 1")
-    fits = F.when(F.col("inner").isNotNull(), F.struct(F.col("inner.n").alias("n"), F.col("inner.rule").alias("rule"), F.col("inner.rule_verdict").alias("rule_verdict")))
-    return swept.groupBy("block", "row", "page_id", "host", "path").agg(F.max(fits).alias("won"))
+    # the least is the longest rule, of equally long ones the first by text
+    fits = F.when(F.col("inner").isNotNull(), F.struct(F.negative("inner.n").alias("order"), F.col("inner.rule").alias("rule"), F.col("inner.rule_verdict").alias("rule_verdict")))
+    return swept.groupBy("block", "row", "page_id", "host", "path").agg(F.min(fits).alias("won"))

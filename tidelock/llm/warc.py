@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Scratch, only
+from .shared import Marks, Scratch, only
 from .tokens import filesystem
 
 #: Bytes after which a task begins another archive file, and bytes of a file that a reading task looks through.
@@ -60,23 +60,21 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, file_bytes: int) -> I
     fs, at = filesystem(folder)
     fs.create_dir(at, recursive=True)
     part, out, size, done = TaskContext.get().partitionId(), None, 0, []
-    for batch in batches:
-        columns = [batch.column(k) for k in range(batch.num_columns)]
-        for k in range(batch.num_rows):
-            page_id, url, payload, refers_to = (c[k].as_py() for c in columns)
-            payload = payload or b""
-            kind = "response" if refers_to is None else "revisit"
-            pack = zlib.compressobj(6, zlib.DEFLATED, 31)
-            member = pack.compress(_record(kind, page_id, url, payload, base32_sha1(payload), len(payload), refers_to)) + pack.flush()
-            if out is None:
-                path, size = f"{at}/{part:06d}-{uuid.uuid4().hex}.warc.gz", 0
-                out = fs.open_output_stream(path, compression=None)
-            out.write(member)
-            size += len(member)
-            if size >= file_bytes:
-                out.close()
-                done.append((path, size))
-                out = None
+    rows = (row for batch in batches for k in range(0, batch.num_rows, 200) for row in zip(*(c.to_pylist() for c in batch.slice(k, 200).columns), strict=True))
+    for page_id, url, payload, refers_to in rows:
+        payload = payload or b""
+        kind = "response" if refers_to is None else "revisit"
+        pack = zlib.compressobj(6, zlib.DEFLATED, 31)
+        member = pack.compress(_record(kind, page_id, url, payload, base32_sha1(payload), len(payload), refers_to)) + pack.flush()
+        if out is None:
+            path, size = f"{at}/{part:06d}-{uuid.uuid4().hex}.warc.gz", 0
+            out = fs.open_output_stream(path, compression=None)
+        out.write(member)
+        size += len(member)
+        if size >= file_bytes:
+            out.close()
+            done.append((path, size))
+            out = None
     if out is not None:
         out.close()
         done.append((path, size))
@@ -92,13 +90,16 @@ def write_archives(pages: DataFrame, folder: str, scratch: Scratch, least_bytes:
     nothing.  Files of lost or repeated tasks are not in the manifest.
     """
     source = only(pages, page_id=F.col("page_id").cast("long"), url=F.col("url").cast("string"), payload=F.coalesce(F.encode(F.col("html").cast("string"), "UTF-8"), F.lit(b"")))
-    key = F.sha2("payload", 256)
-    # group sizes and largest ids first: only payloads that repeat go into the join, in shares
-    repeated = source.where((F.length("payload") >= least_bytes) & F.col("page_id").isNotNull()).select(key.alias("key"), "page_id")
-    repeated = repeated.groupBy("key").agg(F.max("page_id").alias("response"), F.count("*").alias("n")).where("n > 1").select("key", "response")
+    source = source.withColumn("key", F.unhex(F.sha2("payload", 256)))
+    named = (F.length("payload") >= least_bytes) & F.col("page_id").isNotNull()
+    repeated = source.where(named).groupBy("key").agg(F.max("page_id").alias("response"), F.count("*").alias("n")).where("n > 1")
+    repeated = scratch.keep(repeated.select("key", "response"), "repeated")
+    # payloads that stand once are written where they are read; the others meet their group's largest id, in shares
+    told = source.withColumn("again", Marks(repeated, "key").has("key") & named)
+    salted = told.where("again").withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
     repeated = repeated.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = source.withColumn("key", key).withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
-    told = salted.join(repeated.hint("merge"), ["key", "salt"], "left").select("page_id", "url", "payload", F.when(F.col("page_id") != F.col("response"), F.col("response")).alias("refers_to"))
+    joined = salted.join(repeated.hint("merge"), ["key", "salt"], "left").select("page_id", "url", "payload", F.when(F.col("page_id") != F.col("response"), F.col("response")).alias("refers_to"))
+    told = told.where("not again").select("page_id", "url", "payload", F.lit(None).cast("long").alias("refers_to")).unionByName(joined)
     return scratch.keep(told.mapInArrow(lambda b: _write(b, folder, file_bytes), "path string, size long"), "manifest")
 
 

@@ -40,6 +40,10 @@ MAIN_NAMES = frozenset("article content post entry story main body text".split()
 BESIDE_NAMES = frozenset(
     "ad ads advert advertisement adsense sponsor sponsored promo banner cookie cookies consent notice notification alert comment comments disqus reply replies respond sidebar nav navbar navigation menu footer header masthead breadcrumb breadcrumbs share sharing social related recommended newsletter subscribe subscription signup widget popup modal overlay dialog login search pagination pager copyright toolbar".split()
 )
+#: Parts that say where or in what shape something stands, not what it is; what stands before them counts.
+SHAPE_NAMES = frozenset(
+    "list lists box area wrap wrapper bar block section container item items left right top bottom inner outer primary secondary global site page form button buttons link links icon icons panel group row col column heading title label thread tree unit slot strip tray zone region module component holder message posts articles stories news body content text main story".split()
+)
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>"']*)[^>]*+>""", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -47,10 +51,22 @@ _ENDS = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW}
 _PART = re.compile(r"[a-z]+")
 
 
-def _name_parts(attributes: str) -> set[str]:
-    """Parts of class, id and role names; a name such as `has-sidebar` tells of something else on the page."""
+def _names(attributes: str) -> list[list[str]]:
+    """The parts of each class, id and role name; a name such as `has-sidebar` tells of something else on the page."""
     names = (n for m in _NAMES.finditer(attributes) for n in (m[1] or m[2] or m[3] or "").lower().split())
-    return {p for n in names if not n.startswith(("has-", "with-", "no-", "without-", "is-")) for p in _PART.findall(n)}
+    return [_PART.findall(n) for n in names if not n.startswith(("has-", "with-", "no-", "without-", "is-"))]
+
+
+def _named_beside(parts: list[str]) -> bool:
+    """Whether a name's head, its last part but for those of shape, is one of what stands beside main text.
+
+    So `social-share` and `comment-list` are; `social-policy`, `alert-history` and `sidebar-none` are about something else,
+    and a `post-reply` is a post.
+    """
+    head = next((k for k in range(len(parts) - 1, -1, -1) if parts[k] not in SHAPE_NAMES), -1)
+    if head < 0 or parts[head] not in BESIDE_NAMES:
+        return False
+    return not (parts[head] == "reply" and head and parts[head - 1] in MAIN_NAMES)
 
 
 @dataclass
@@ -102,8 +118,8 @@ def blocks(page: str) -> list[Block]:
             continue
         tag = tag.lower()
         if tag in RAW and not ends:
-            if tag not in INLINE:
-                close()
+            if tag in ("select", "svg", "iframe", "textarea"):  # these take room in a line
+                held.append(" ")
             end = _ENDS[tag].search(page, at)
             at = end.end() if end else (len(page) if tag in ("script", "style") else at)
             continue
@@ -126,9 +142,9 @@ def blocks(page: str) -> list[Block]:
             stack.pop()
         if tag == "tr" and stack and stack[-1][0] == "tr":
             stack.pop()
-        parts = _name_parts(attributes) if attributes and tag not in ("html", "body") else ()
+        names = _names(attributes) if attributes and tag not in ("html", "body") else []
         header = tag == "header" and not any(s[0] in MAIN for s in stack)
-        stack.append((tag, tag in MAIN, tag in BESIDE or header, bool(MAIN_NAMES.intersection(parts)), bool(BESIDE_NAMES.intersection(parts))))
+        stack.append((tag, tag in MAIN, tag in BESIDE or header, any(MAIN_NAMES.intersection(n) for n in names), any(map(_named_beside, names))))
     close()
     return out
 

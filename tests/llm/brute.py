@@ -78,6 +78,31 @@ def passages(docs, least):
     return out
 
 
+def without(text, spans):
+    """The text without spans, which are in order and apart."""
+    parts, at = [], 0
+    for start, end in spans:
+        parts.append(text[at:start])
+        at = end
+    return "".join([*parts, text[at:]])
+
+
+def spans_to_remove(text, hit, whole):
+    """Character spans of whole-unit passages and of runs of hit words, those that meet in words made one."""
+    words = [m.span() for m in ALNUM.finditer(text.translate(LOWER))]
+    parts = [(k, k + 1, *words[k]) for k in hit]
+    for a, b, *_ in whole:
+        inside = [k for k, (x, _) in enumerate(words) if a <= x < b]
+        parts.append((inside[0], inside[-1] + 1, a, b))
+    out = []
+    for first, stop, a, b in sorted(parts):
+        if out and first <= out[-1][0]:
+            out[-1] = (max(stop, out[-1][0]), min(a, out[-1][1]), max(b, out[-1][2]))
+        else:
+            out.append((stop, a, b))
+    return [x[1:] for x in out]
+
+
 def repeated_words(docs, n):
     """{doc_id: word numbers in windows of n words that stand earlier, too} for documents in rank order."""
     first, out = {}, {}

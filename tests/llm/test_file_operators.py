@@ -4,8 +4,10 @@ import base64
 import collections
 import gzip
 import hashlib
+import os
 import random
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -14,12 +16,12 @@ from tidelock.llm import html, packing, tokens, urlfilter, warc
 from tidelock.llm.shared import Scratch
 
 tokenizers = pytest.importorskip("tokenizers")
-TEXTS = [None, "", " ", "\n\n a  b\tc ", "Hello world, it's 12 o'clock", "naïve é 漢字　x\u2003y\x85z", "word " * 3000, "a", "a", "<|endoftext|> x", "tail  "]
+SMALL = "/root/testdata/sf0.001"
+TEXTS = [None, "", " ", "\n\n a  b\tc ", "Hello world, it's 12 o'clock", "naïve é 漢字　x\u2003y\x85z", "word " * 3000, "a", "a", "<|endoftext|> x", "hi <|endoftext|> x<|startoftext|>", "<|STARTOFTEXT|> <| y", "tail  "]
 
 
 def ids_of(name, texts):
     t = tokenizers.Tokenizer.from_file(tokens.vocabulary_path(name))
-    t.encode_special_tokens = True
     return [t.encode(x or "", add_special_tokens=False).ids for x in texts]
 
 
@@ -35,7 +37,9 @@ def test_token_shards_round_trip(spark, make_docs, shard_ids):
     vocabulary = tokens.Vocabulary(spark, tokens.vocabulary_path("byte_bpe_50k.json"))
     manifest = tokens.write_ids(make_docs(rows).repartition(3), vocabulary, 2, f"{scratch.path}/s", scratch, shard_ids)
     got = tokens.read_documents(manifest, f"{scratch.path}/s").orderBy("start").collect()
-    rows.sort(key=lambda r: (r[0], r[1] or ""))
+    # rows of one doc_id stand in the order of a hash of their texts
+    ties = [r.ids_crc32 for r in got if r.doc_id == 5]
+    rows.sort(key=lambda r: (r[0], r[0] == 5 and ties.index(crc([*ids_of("byte_bpe_50k.json", [r[1]])[0], 2]))))
     at, want = 0, []
     for (i, _), ids in zip(rows, ids_of("byte_bpe_50k.json", [t for _, t in rows])):
         want.append((i, at, len(ids) + 1, crc([*ids, 2])))
@@ -56,13 +60,46 @@ def test_token_shards_of_null_ids_and_empty_tables(spark, make_docs):
 @pytest.mark.parametrize(("values", "limit"), [([], 1), ([0], 1), ([5], 10**12), ([0, 0, 3, 3, 9], 10), (sorted(random.Random(2).choices(range(10**6), k=4000)), 10**6), (list(range(3000)), 3000)])
 def test_elias_fano(values, limit):
     e, used = tokens.EliasFano.from_bytes(memoryview(tokens.EliasFano.of(np.array(values, np.int64), limit).to_bytes() + b"tail"))
-    assert e.values().tolist() == values == [e.select(k) for k in range(len(values))]
+    assert e.select_many(np.arange(len(values))).tolist() == values == [e.select(k) for k in range(len(values))]
     if len(values) > 1000:
         assert 8 * used < len(values) * (3 + np.log2(limit / len(values) + 1)) + 600
     with pytest.raises(IndexError):
         e.select(len(values))
 
 
+def test_tokens_of_added_tokens_and_of_long_words_alike(spark):
+    # two words whose sums of powers of any odd number are equal modulo 2**64
+    thue = "".join("ab"[bin(k).count("1") % 2] for k in range(2048))
+    texts = [f"x {thue} y {thue.translate(str.maketrans('ab', 'ba'))} z", "a <|endoftext|>b", "<|startoftext|>", "end<|endoftext|>", "<|EndOfText|> c", "plain"]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        encoder = tokens.Encoder(open(tokens.vocabulary_path(name), encoding="utf-8").read(), tokens.CUTS[name])
+        data = [t.encode() for t in texts]
+        ids, at = encoder.encode(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == ids_of(name, texts)
+
+
+def test_token_pieces_with_one_hash_are_told_apart(monkeypatch):
+    name, whole = "byte_bpe_50k.json", tokens.tv.span_hashes
+    encoder = tokens.Encoder(open(tokens.vocabulary_path(name), encoding="utf-8").read(), tokens.CUTS[name])
+    monkeypatch.setattr(tokens.tv, "span_hashes", lambda b, s, e, seed=0: whole(b, s, e, seed) if seed else whole(b, s, e) & np.uint64(3))
+    texts = ["one two three four five six", "seven", "two eight nine"] * 2
+    data = [t.encode() for t in texts]
+    for _ in range(2):
+        ids, at = encoder.encode(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == ids_of(name, texts)
+
+
+def test_reading_shards_looks_up_few_places_at_a_time(spark, make_docs, monkeypatch):
+    scratch, asked = Scratch(spark, "t"), []
+    vocabulary = tokens.Vocabulary(spark, tokens.vocabulary_path("byte_bpe_50k.json"))
+    manifest = tokens.write_ids(make_docs([(k, f"text {k}") for k in range(50)]).coalesce(1), vocabulary, 2, f"{scratch.path}/s", scratch)
+    many = tokens.EliasFano.select_many
+    monkeypatch.setattr(tokens.EliasFano, "select_many", lambda self, i: asked.append(len(i)) or many(self, i))
+    monkeypatch.setattr(tokens, "READ_DOCS", 4)
+    rows = [r for b in tokens._read(iter([tokens.pa.RecordBatch.from_pylist([r.asDict() for r in manifest.collect()])]), f"{scratch.path}/s") for r in b.to_pylist()]
+    assert sorted(r["doc_id"] for r in rows) == list(range(50)) and 0 < max(asked) <= 4
+
+
 def check_packing(rows, texts, name, end, room):
     by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
     for r in rows:
@@ -126,7 +163,7 @@ def judge(url, rules):
         host, tail = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:cut]), rest[cut:]
         path = tail[: min([tail.find(c) for c in "?#" if c in tail], default=len(tail))]
     fits = [(len(r), r, v) for v, r in rules if (host == r.split("/", 1)[0] or host.endswith("." + r.split("/", 1)[0])) and path.startswith("/" + r.split("/", 1)[1])]
-    best = max(fits, default=None)
+    best = min(fits, key=lambda f: (-f[0], f[1]), default=None)
     return host, path, best and best[1], best[2] if best else "allow"
 
 
@@ -144,6 +181,16 @@ def test_url_filters(spark, per_sweep):
     assert {r.verdict for r in urlfilter.judge_urls(table, rules.limit(0), default="block").collect()} == {"block"}
 
 
+def test_url_rules_with_odd_paths_and_ties(spark):
+    rules = [("block", "net/"), ("allow", "evil.com/abcdef"), ("block", "a.org/bbb"), ("allow", "aa.a.org/"), ("allow", "org/\x00net.zz"), ("block", "x.com/\x01"), ("allow", "com/")]
+    urls = ["http://evil.com/\x00net.zz", "http://evil.com/\x00net.zzz/", "http://aa.a.org/bbb", "http://a.org/\x00net.zz", "http://x.com/\x01\x02", "http://x.com/\x02", "http://b.net/\x00"]
+    table = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in urlfilter.judge_urls(table, urlfilter.rule_table(spark, rules)).collect()}
+    assert got == {k: judge(u, rules)[2:] for k, u in enumerate(urls)}
+    # of equally long rules the first by text
+    assert got[2] == ("a.org/bbb", "block") and got[0] == ("com/", "allow")
+
+
 def page_rows():
     rng = random.Random(8)
     same = "<p>same payload</p>"
@@ -234,3 +281,82 @@ def test_html_of_awkward_pages(spark):
     assert len(got) == len(rows) and all(r.n_chars == len(r.text) for r in got)
     assert {r.page_id: r.text for r in got if r.page_id in (2, 3)} == {2: " ".join(["plain text without any tag"] * 20), 3: "cut off in <b"}
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+class TreeReader(HTMLParser):
+    """Block texts by building the page's tree first."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = self.at = ("root", None, [])
+
+    def handle_starttag(self, tag, attrs):
+        node = (tag, self.at, [])
+        self.at[2].append(node)
+        if tag not in html.VOID:
+            self.at = node
+
+    def handle_endtag(self, tag):
+        node = self.at
+        while node and node[0] != tag:
+            node = node[1]
+        if node and tag not in html.VOID:
+            self.at = node[1]
+
+    def handle_data(self, data):
+        self.at[2].append(data)
+
+    def texts(self):
+        out, held = [], []
+
+        def flush():
+            if text := " ".join("".join(held).split()):
+                out.append(text)
+            held.clear()
+
+        def walk(node):
+            tag, _, inside = node
+            if tag in html.RAW:
+                held.append(" " * (tag in ("select", "svg", "iframe", "textarea")))
+                return
+            block = tag not in html.INLINE
+            if block:
+                flush()
+            held.append(" " * (tag == "br"))
+            for x in inside:
+                held.append(x) if isinstance(x, str) else walk(x)
+            if block:
+                flush()
+
+        walk(self.root)
+        flush()
+        return out
+
+
+ODD_PAGES = [
+    "<article><p>One two<script>x('<p>')</script> three</p><p>a <svg><path d='m'/></svg>b <math><mi>x</mi><mo>=</mo><mn>2</mn></math> c</p></article>",
+    "<div>text <style>p {}</style>goes on<p>new <b>bold</b>,<br>line</p>tail &amp; &#233;</div>",
+    "<ul><li>one</li><li>two <a href='#'>link</a></li></ul><table><tr><td>1</td><td>2</td></tr></table>",
+]
+
+
+def test_html_blocks_are_those_of_the_tree():
+    import pyarrow.parquet as pq
+
+    pages = ODD_PAGES + [fragment for page in html.PAGES for fragment in ["".join(f for _, f in page)]]
+    if os.path.isdir(SMALL):
+        pages += [h for h in pq.read_table(f"{SMALL}/pages.parquet", columns=["html"]).column(0).to_pylist() if h]
+    for page in pages:
+        reader = TreeReader()
+        reader.feed(page)
+        reader.close()
+        assert [b.text for b in html.blocks(page)] == reader.texts()
+
+
+@pytest.mark.parametrize(("name", "kept"), [("social-policy", True), ("alert-history", True), ("main-story sidebar-none", True), ("post-reply", True), ("comment-list", False), ("share-buttons", False), ("sidebar", False), ("post-comments", False)])
+def test_html_class_names_count_by_their_heads(name, kept):
+    text = "A paragraph of main text that tells readers of the plan for the new bridge and what it will cost the town."
+    page = f"<nav><a href=x>Home</a></nav><article><h1>Title</h1><p>{text}</p><div class='{name}'><p>{text} Twice.</p><p>{text} Thrice.</p></div></article>"
+    found = html.blocks(page)
+    left = [b.text for b, good in zip(found, html.default_tree().predict(html.features(found))) if good]
+    assert left == ["Title", text] + [f"{text} Twice.", f"{text} Thrice."] * kept

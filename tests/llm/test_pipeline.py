@@ -56,8 +56,9 @@ def test_near_duplicate_stage(stages):
 
 def test_substring_stage(stages):
     before, after, _ = stages["substring_dedup"]
-    found = brute.passages(list(texts(before).items()), substring.LEAST_WORDS)
-    assert texts(after) == {i: substring.without(t, [p[:2] for p in found[i]]) for i, t in texts(before).items()}
+    docs = list(texts(before).items())
+    runs, whole = brute.repeated_words(docs, substring.RUN_WORDS), brute.passages(docs, substring.LEAST_WORDS)
+    assert texts(after) == {i: brute.without(t, brute.spans_to_remove(t, runs[i], whole[i])) for i, t in docs}
     assert all(r.n_chars == len(r.text) for r in after)
 
 

@@ -9,7 +9,9 @@ suffix positions, and what they cover is merged into removal spans.
 A word outside the vocabulary can't be part of an occurrence and neither can a
 run of vocabulary words that is shorter than the shortest phrase.  Both stand
 as one separator, which keeps the index small without losing an occurrence.
-Documents are not shuffled.  Phrases are broadcast in blocks of a checked size.
+Documents are not shuffled.  Phrases are broadcast in blocks of a checked size,
+one at a time: where a benchmark takes several, each pass is written before the
+next one's phrases are made.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .shared import only, utf8
+from .shared import Marks, Scratch, only, packed, utf8
 
 #: Phrases (windows of test items) that are searched in one pass over the documents.
 PHRASES_PER_PASS = 200_000
@@ -202,63 +204,79 @@ def _occurrences(ids: np.ndarray, text: np.ndarray, phrases: Phrases) -> tuple[n
 FOUND = "doc_id long, text_md5 string, n_words long, n_hit long, items array<string>, spans array<struct<start:int,end:int,word:int,end_word:int>>"
 
 
+_SPANS = pa.list_(pa.struct([(k, pa.int32()) for k in ("start", "end", "word", "end_word")]))
+
+
+def _found(rows: int, buf: np.ndarray, offsets: np.ndarray, phrases: Phrases) -> tuple[pa.Array, pa.Array, pa.Array, pa.Array]:
+    """n_words, n_hit, items and spans of the texts of one shard."""
+    buf = tv.lower_ascii(buf)
+    runs = tv.Runs(buf, offsets, tv.ALNUM)
+    text = runs.text_of()
+    place, phrase = _occurrences(phrases.ids_of(tv.span_hashes(buf, runs.starts, runs.ends)), text, phrases)
+    change = np.zeros(len(text) + 1, np.int64)
+    np.add.at(change, place, 1)
+    np.add.at(change, place + phrases.lengths[phrase], -1)
+    hit = np.cumsum(change[:-1]) > 0
+    n_hit = np.bincount(text[hit], minlength=rows)
+    items: list[set[str]] = [set() for _ in range(rows)]
+    seen = np.unique(np.stack([text[place], phrase], 1), axis=0) if len(place) else np.zeros((0, 2), np.int64)
+    for t, p in seen.tolist():
+        items[t].update(phrases.items[p])
+    spans: list[list[dict]] = [[] for _ in range(rows)]
+    first = hit & np.concatenate(([True], ~hit[:-1] | (text[1:] != text[:-1])))[: len(hit)]
+    last = hit & np.concatenate((~hit[1:] | (text[1:] != text[:-1]), [True]))[: len(hit)]
+    for a, b in zip(np.flatnonzero(first).tolist(), np.flatnonzero(last).tolist(), strict=True):
+        t = int(text[a])
+        spans[t].append({"start": int(runs.starts[a] - offsets[t]), "end": int(runs.ends[b] - offsets[t]), "word": a - int(runs.first[t]), "end_word": b + 1 - int(runs.first[t])})
+    return pa.array(runs.count, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array(spans, _SPANS)
+
+
 def _search(batches: Iterator[pa.RecordBatch], phrases: Phrases) -> Iterator[pa.RecordBatch]:
-    span = pa.list_(pa.struct([(k, pa.int32()) for k in ("start", "end", "word", "end_word")]))
     for batch, buf, offsets in tv.steps(batches, "text"):
-        buf = tv.lower_ascii(buf)
-        runs = tv.Runs(buf, offsets, tv.ALNUM)
-        text = runs.text_of()
-        place, phrase = _occurrences(phrases.ids_of(tv.span_hashes(buf, runs.starts, runs.ends)), text, phrases)
-        change = np.zeros(len(text) + 1, np.int64)
-        np.add.at(change, place, 1)
-        np.add.at(change, place + phrases.lengths[phrase], -1)
-        hit = np.cumsum(change[:-1]) > 0
-        n_hit = np.bincount(text[hit], minlength=batch.num_rows)
-        items: list[set[str]] = [set() for _ in range(batch.num_rows)]
-        seen = np.unique(np.stack([text[place], phrase], 1), axis=0) if len(place) else np.zeros((0, 2), np.int64)
-        for t, p in seen.tolist():
-            items[t].update(phrases.items[p])
-        spans: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-        first = hit & np.concatenate(([True], ~hit[:-1] | (text[1:] != text[:-1])))[: len(hit)]
-        last = hit & np.concatenate((~hit[1:] | (text[1:] != text[:-1]), [True]))[: len(hit)]
-        for a, b in zip(np.flatnonzero(first).tolist(), np.flatnonzero(last).tolist(), strict=True):
-            t = int(text[a])
-            spans[t].append({"start": int(runs.starts[a] - offsets[t]), "end": int(runs.ends[b] - offsets[t]), "word": a - int(runs.first[t]), "end_word": b + 1 - int(runs.first[t])})
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(runs.count, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array(spans, span)],
-            names=["doc_id", "text_md5", "n_words", "n_hit", "items", "spans"],
-        )
-
-
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, phrases_per_pass: int = PHRASES_PER_PASS) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, items (sorted ids) and spans (merged, in bytes of the UTF-8 text).
+        columns = _found(batch.num_rows, buf, offsets, phrases)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["doc_id", "text_md5", "n_words", "n_hit", "items", "spans"])
 
-    Null and empty texts have no words and no hits; rows that repeat a doc_id are judged each for itself; other
-    columns of either table are not read; an empty benchmark finds nothing.  An item whose id is null is searched like
-    others, but adds no id to items.  Items come to the driver in blocks of
-    phrases_per_pass words, so a larger benchmark takes more passes, not larger broadcasts; the spans of several passes
-    are merged by document.  text_md5 tells rows of one doc_id apart.
-    """
-    # the test set is read in its order by id, a block at a time
+
+def _blocks(benchmark: DataFrame, phrases_per_pass: int) -> Iterator[list[tuple[str | None, str]]]:
+    """The test items in their order by id, in blocks of about so many words; one block if there are none."""
     rows = only(benchmark, item_id=F.col("item_id").cast("string"), text=F.col("text").cast("string")).where("text is not null").orderBy("item_id", "text").toLocalIterator(prefetchPartitions=False)
-    blocks, block, size = [], [], 0
-    source = only(docs, doc_id=F.col("doc_id").cast("long"), text_md5=F.md5("text"), text=utf8("text"))
+    block, size, none = [], 0, True
     for item in rows:
         block.append((item.item_id, item.text))
         size += item.text.count(" ") + item.text.count("\n") + 1
         if size >= phrases_per_pass:
-            blocks.append(_pass(source, Phrases(block, window)))
-            block, size = [], 0
-    if block or not blocks:
-        blocks.append(_pass(source, Phrases(block, window)))
-    if len(blocks) == 1:
-        return blocks[0]
-    return _merge(blocks)
+            yield block
+            block, size, none = [], 0, False
+    if block or none:
+        yield block
+
 
+def find_contamination(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, window: int = WINDOW_WORDS, phrases_per_pass: int = PHRASES_PER_PASS) -> DataFrame:
+    """Per document: doc_id, n_words, n_hit, items (sorted ids) and spans (merged, in bytes of the UTF-8 text).
 
-def _pass(source: DataFrame, phrases: Phrases) -> DataFrame:
+    Null and empty texts have no words and no hits; rows that repeat a doc_id are judged each for itself; other
+    columns of either table are not read; an empty benchmark finds nothing.  An item whose id is null is searched like
+    others, but adds no id to items.  Items come to the driver in blocks of phrases_per_pass words.  A larger benchmark
+    takes more passes, each written before the next begins, never more at once; the spans of several passes are merged by
+    document.  text_md5 tells rows of one doc_id apart.
+    """
+    source = only(docs, doc_id=F.col("doc_id").cast("long"), text_md5=F.md5("text"), text=utf8("text"))
+    blocks = _blocks(benchmark, phrases_per_pass)
+    block, following = next(blocks), next(blocks, None)
+    if following is None:
+        return _pass(source, Phrases(block, window))[0]
+    passes = []
+    while block is not None:
+        found, shared = _pass(source, Phrases(block, window))
+        passes.append(scratch.keep(found, f"pass-{len(passes)}"))
+        shared.destroy()
+        block, following = following, next(blocks, None)
+    return _merge(passes)
+
+
+def _pass(source: DataFrame, phrases: Phrases) -> tuple[DataFrame, object]:
     shared = source.sparkSession.sparkContext.broadcast(phrases)
-    return source.mapInArrow(lambda batches: _search(batches, shared.value), FOUND)
+    return source.mapInArrow(lambda batches: _search(batches, shared.value), FOUND), shared
 
 
 def _merge(blocks: list[DataFrame]) -> DataFrame:
@@ -266,23 +284,50 @@ def _merge(blocks: list[DataFrame]) -> DataFrame:
     union = blocks[0]
     for b in blocks[1:]:
         union = union.unionByName(b)
-    covered = """aggregate(array_sort(flatten(collect_list(spans))), cast(array() as array<struct<start:int,end:int,word:int,end_word:int>>),
+    covered = """aggregate(array_sort(flatten(collect_set(spans))), cast(array() as array<struct<start:int,end:int,word:int,end_word:int>>),
         (acc, x) -> if(size(acc) > 0 and element_at(acc, -1).end_word >= x.word,
             concat(slice(acc, 1, size(acc) - 1), array(named_struct('start', element_at(acc, -1).start, 'end', greatest(element_at(acc, -1).end, x.end), 'word', element_at(acc, -1).word, 'end_word', greatest(element_at(acc, -1).end_word, x.end_word)))),
             concat(acc, array(x))))"""
+    # rows of equal texts found the same in each pass: a set has one of them a pass, however many there are
     grouped = union.groupBy("doc_id", "text_md5").agg(
-        F.first("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.expr(covered).alias("spans"), F.count("*").alias("_rows")
+        F.first("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), F.expr(covered).alias("spans"), F.count("*").alias("_rows")
     )
     hit = F.expr("aggregate(spans, 0L, (n, x) -> n + x.end_word - x.word)")
     return grouped.withColumn("_copy", F.explode(F.sequence(F.lit(1), (F.col("_rows") / len(blocks)).cast("int")))).select("doc_id", "text_md5", "n_words", hit.alias("n_hit"), "items", "spans")
 
 
+def _without(rows: DataFrame) -> DataFrame:
+    """The rows with spans cut out of their texts, all that lies between them joined."""
+    left = F.expr("""array_join(transform(sequence(0, size(spans)), k -> decode(substring(text,
+        if(k = 0, 0, spans[k - 1].end) + 1, if(k = size(spans), length(text), spans[k].start) - if(k = 0, 0, spans[k - 1].end)), 'UTF-8')), '')""")
+    return rows.withColumn("row", F.col("row").withField("text", F.when(F.size("spans") > 0, left).otherwise(F.col("row.text")))).select("row.*")
+
+
 def remove_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The documents with the spans cut out of their texts; others stay as they are, and all columns do."""
-    cut = found.where(F.size("spans") > 0).groupBy(F.col("doc_id").alias("_id"), F.col("text_md5").alias("_md5")).agg(F.first("spans").alias("_spans"))
-    kept = F.expr("""decode(aggregate(
-        _spans, named_struct('kept', cast('' as binary), 'at', 0),
-        (acc, s) -> named_struct('kept', concat(acc.kept, substring(encode(text, 'UTF-8'), acc.at + 1, s.start - acc.at)), 'at', s.end),
-        acc -> concat(acc.kept, substring(encode(text, 'UTF-8'), acc.at + 1))), 'UTF-8')""")
-    joined = docs.join(cut, (F.md5(docs["text"]) == cut["_md5"]) & docs["doc_id"].cast("long").eqNullSafe(cut["_id"]), "left")
-    return joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(kept)).select(docs.columns)
+    """The documents with the spans cut out of their texts; others stay as they are, and all columns do.
+
+    found: find_contamination's result as a written table.  Only documents with spans are shuffled.
+    """
+    cut = found.where(F.size("spans") > 0).groupBy("doc_id", "text_md5").agg(F.first("spans").alias("spans"))
+    rows = packed(docs, id=F.col("doc_id").cast("long"), md5=F.md5("text"), text=utf8("text")).withColumn("cut", Marks(cut, "doc_id", "text_md5").has("id", "md5"))
+    known = cut.select(F.col("doc_id").alias("of"), F.col("text_md5").alias("of_md5"), "spans").hint("merge")
+    joined = rows.where("cut").join(known, (F.col("md5") == F.col("of_md5")) & F.col("id").eqNullSafe(F.col("of")), "left")
+    return rows.where("not cut").select("row.*").unionByName(_without(joined))
+
+
+def remove_contamination(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, window: int = WINDOW_WORDS, phrases_per_pass: int = PHRASES_PER_PASS) -> DataFrame:
+    """The documents without the words that windows of test items cover, with all their columns; rows as in find_contamination.
+
+    Where one pass holds all items, texts are searched and cut where they are read; else the passes' spans are joined.
+    """
+    blocks = _blocks(benchmark, phrases_per_pass)
+    block, following = next(blocks), next(blocks, None)
+    if following is not None:
+        return remove_spans(docs, scratch.keep(find_contamination(docs, benchmark, scratch, window, phrases_per_pass), "found"))
+    shared = docs.sparkSession.sparkContext.broadcast(Phrases(block, window))
+
+    def spans(texts: pa.Array) -> pa.Array:
+        return pa.concat_arrays([pa.array([], _SPANS), *(_found(end - at, buf, offsets, shared.value)[3] for at, end, buf, offsets in tv.text_steps(texts))])
+
+    spans_of = F.arrow_udf(spans, "array<struct<start:int,end:int,word:int,end_word:int>>")
+    return _without(packed(docs, text=utf8("text")).withColumn("spans", spans_of("text")))

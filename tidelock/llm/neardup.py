@@ -8,9 +8,10 @@
    in which two sets differ, which tells high similarities apart well; it refuses pairs far below the threshold.
 4. Every bucket has a hub.  Its members are compared with it on full sets, which joins nearly all of them in a number
    of comparisons that is linear in the bucket.
-5. Buckets that still hold several components are searched for the rest: members of different components meet in
-   blocks of bounded size, are refused by size, by the distances to the hub (Jaccard distance is a metric) and by
-   sketch, or else compared on full sets.  A block returns a spanning forest of its links, never its pairs.
+5. Buckets that still hold several components are searched for the rest: the members outside of a bucket's largest
+   component meet all others in blocks of bounded size, are refused by size, by the distances to the hub (Jaccard
+   distance is a metric) and by sketch, or else compared on full sets.  Members of the largest component never meet
+   each other.  A block returns a spanning forest of its links, never its pairs.
 6. Components of all links give each document the smallest doc_id that it reaches.
 """
 
@@ -28,17 +29,18 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 from .components import components
-from .shared import Scratch, only, small_batches, utf8
+from .shared import Marks, Scratch, only, packed, utf8
 
 _U = np.uint64
 BANDS, ROWS = 32, 5
 SKETCH_BITS = 256
-#: Sketches refuse a pair only if they put its similarity this far below the threshold, over six standard errors.
+#: Sketches refuse a pair only if they put its similarity this far below the threshold: five standard errors, as 4,000
+#: pairs of similarity 0.85 differ in at most 66 bits (standard deviation 7.1), and 76 are refused.
 MARGIN = 0.2
 #: Shingles that one side of a block holds, about; a single larger set is a side of its own.
 BLOCK_SHINGLES = 400_000
-#: Bits of the map that tells which texts are needed again, 8 MB at any size of corpus.
-SLOTS = 1 << 26
+#: A class with more than this share of all rows is joined apart, by broadcast: there are fewer such classes than this.
+HOT_CLASSES = 1024
 
 
 @dataclass(frozen=True)
@@ -111,7 +113,11 @@ def band_keys(samples: np.ndarray, bands: int) -> np.ndarray:
 
 
 SKETCH = tuple(f"s{k}" for k in range(SKETCH_BITS // 64))
-FEATURES = "doc_id long, digest binary, size long, " + ", ".join(f"{s} long" for s in SKETCH) + ", bands array<long>"
+FEATURES = "doc_id long, text_hash long, digest binary, size long, " + ", ".join(f"{s} long" for s in SKETCH) + ", bands array<long>"
+
+
+def _digest(keys: bytes) -> bytes:
+    return hashlib.blake2b(keys, digest_size=16).digest()
 
 
 def _features(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
@@ -127,34 +133,24 @@ def _features(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Reco
             samples = min_samples(keys, np.append(cut[full], cut[-1]), rule.samples)
             sketches[full] = odd_sketches(samples).view(np.int64)
             for i, b in zip(full.tolist(), band_keys(samples, rule.bands), strict=True):
-                digests[i], bands[i] = hashlib.blake2b(keys[cut[i] : cut[i + 1]].tobytes(), digest_size=16).digest(), b
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), *(pa.array(sketches[:, k]) for k in range(len(SKETCH))), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "digest", "size", *SKETCH, "bands"])
+                digests[i], bands[i] = _digest(keys[cut[i] : cut[i + 1]].tobytes()), b
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), *(pa.array(sketches[:, k]) for k in range(len(SKETCH))), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "digest", "size", *SKETCH, "bands"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch], rule: Rule, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Shingle sets of the texts whose slot the bitmap marks."""
-    for whole in batches:
-        slot = whole.column("slot").to_numpy()
-        marked = whole.filter(pa.array((wanted[slot >> 6] >> (slot & 63)) & 1 == 1))
-        for batch, buf, offsets in tv.steps([marked], "text"):
-            keys, text = shingle_sets(buf, offsets, rule.words)
-            cut = np.searchsorted(text, np.arange(batch.num_rows + 1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([keys[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], names=["doc_id", "keys"])
-
+def _sets(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """Shingle sets of texts, named by their digests."""
+    for batch, buf, offsets in tv.steps(batches, "text"):
+        keys, text = shingle_sets(buf, offsets, rule.words)
+        cut = np.searchsorted(text, np.arange(batch.num_rows + 1))
+        sets = [keys[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array([_digest(x) for x in sets], pa.binary()), pa.array(sets, pa.binary())], names=["digest", "keys"])
 
-def _sets_of(source: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
-    """The shingle sets (doc_id, keys) of documents.
 
-    A bitmap of fixed size lets most other texts go before they are shuffled, the join the rest: ids that meet in a slot
-    cost some shuffle, no result.
-    """
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
-    bits = wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits")).toPandas()
-    bitmap = np.zeros(SLOTS >> 6, np.int64)
-    bitmap[bits["at"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64)
-    shared = source.sparkSession.sparkContext.broadcast(bitmap)
-    found = source.withColumn("slot", slot).mapInArrow(lambda b: _sets(b, rule, shared.value), "doc_id long, keys binary")
-    return found.join(wanted.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+def _sets_of(source: DataFrame, classes: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
+    """The shingle sets (node, keys) of the classes whose nodes are wanted; other texts are neither shuffled nor hashed again."""
+    wanted = classes.select("node", "rep", "digest").join(wanted.hint("merge"), "node", "left_semi")
+    found = source.where(Marks(wanted, "rep").has("doc_id")).select("text").mapInArrow(lambda b: _sets(b, rule), "digest binary, keys binary")
+    return found.join(wanted.select("digest", "node").hint("merge"), "digest").dropDuplicates(["node"]).select("node", "keys")
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -167,47 +163,47 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 
 def _with_hub(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     """The similarity of members with their hubs."""
-    for batch in batches:
-        mine, hubs = batch.column("keys").to_pylist(), batch.column("hub_keys").to_pylist()
-        common = [_common(np.frombuffer(x, _U), np.frombuffer(y, _U)) for x, y in zip(mine, hubs, strict=True)]
-        size = [len(x) + len(y) >> 3 for x, y in zip(mine, hubs, strict=True)]
-        away = [1 - c / max(1, n - c) for c, n in zip(common, size, strict=True)]
-        linked = [100 * c >= rule.percent * (n - c) for c, n in zip(common, size, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("hub"), pa.array(away, pa.float64()), pa.array(linked, pa.bool_())], names=["rep", "hub", "away", "linked"])
+    for whole in batches:
+        for at in range(0, whole.num_rows, 500):
+            batch = whole.slice(at, 500)
+            mine, hubs = batch.column("keys").to_pylist(), batch.column("hub_keys").to_pylist()
+            common = [_common(np.frombuffer(x, _U), np.frombuffer(y, _U)) for x, y in zip(mine, hubs, strict=True)]
+            size = [len(x) + len(y) >> 3 for x, y in zip(mine, hubs, strict=True)]
+            away = [1 - c / max(1, n - c) for c, n in zip(common, size, strict=True)]
+            linked = [100 * c >= rule.percent * (n - c) for c, n in zip(common, size, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("hub"), pa.array(away, pa.float64()), pa.array(linked, pa.bool_())], names=["node", "hub", "away", "linked"])
 
 
-def _near(i: int, group: np.ndarray, side: np.ndarray, size: np.ndarray, away: np.ndarray, sketch: np.ndarray, rule: Rule) -> np.ndarray:
-    """Members of a block that member i may be linked with: of the other side, or later ones where there is one side."""
-    near = (group != group[i]) & ~(np.abs(away - away[i]) > 1 - rule.percent / 100 + 1e-9) & (100 * np.minimum(size, size[i]) >= rule.percent * np.maximum(size, size[i]))
-    if side.min() == side.max():
-        near[: i + 1] = False
-    elif side[i] == side.min():
-        near &= side != side[i]
-    else:
-        near[:] = False
-    near = np.flatnonzero(near)
-    return near[np.bitwise_count(sketch[near] ^ sketch[i]).sum(1) < rule.refused_from()]
+class _Block:
+    """Rows of a block: `left` ones, which are outside of their bucket's largest component, meet those that are not."""
 
+    def __init__(self, rows: pd.DataFrame, rule: Rule):
+        self.rule, self.node, self.group = rule, rows["node"].to_numpy(), rows["root"].to_numpy().copy()
+        self.left, self.minor, self.size = rows["left"].to_numpy(bool), rows["minor"].to_numpy(bool), rows["size"].to_numpy()
+        self.away, self.sketch = rows["away"].to_numpy(float), rows[list(SKETCH)].to_numpy(np.int64)
 
-def _columns(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
-    return (*(rows[c].to_numpy() for c in ("root", "side", "size")), rows["away"].to_numpy(float)) + (rows[list(SKETCH)].to_numpy(np.int64),)
+    def near(self, i: int) -> np.ndarray:
+        """Members that the left member i may be linked with; two outside members meet once."""
+        rule, size, away = self.rule, self.size, self.away
+        near = ~self.left & (self.group != self.group[i]) & ~(np.abs(away - away[i]) > 1 - rule.percent / 100 + 1e-9) & (100 * np.minimum(size, size[i]) >= rule.percent * np.maximum(size, size[i]))
+        near = np.flatnonzero(near & (~self.minor | (self.node > self.node[i])))
+        return near[np.bitwise_count(self.sketch[near] ^ self.sketch[i]).sum(1) < rule.refused_from()]
 
 
 def _hopeful(rows: pd.DataFrame, rule: Rule) -> pd.DataFrame:
     """Members of a block that sizes, distances to the hub and sketches leave a partner in another component."""
-    group, side, size, away, sketch = _columns(rows)
-    some = np.zeros(len(rows), bool)
-    for i in range(len(rows)):
-        near = _near(i, group, side, size, away, sketch, rule)
+    block, some = _Block(rows, rule), np.zeros(len(rows), bool)
+    for i in np.flatnonzero(block.left):
+        near = block.near(i)
         some[near] = True
-        some[i] |= len(near) > 0
+        some[i] = len(near) > 0
     return rows[some]
 
 
-def _block(rows: pd.DataFrame, rule: Rule) -> pd.DataFrame:
-    """A spanning forest of the links between a block's two sides (or within its one) that join different components."""
-    rep, keys = rows["rep"].to_numpy(), [np.frombuffer(x, _U) for x in rows["keys"]]
-    roots, side, size, away, sketch = _columns(rows)
+def _linked(rows: pd.DataFrame, rule: Rule) -> pd.DataFrame:
+    """A spanning forest of the links of a block that join different components."""
+    block, keys = _Block(rows, rule), [np.frombuffer(x, _U) for x in rows["keys"]]
+    roots = block.group.copy()
     root = dict(zip(roots, roots, strict=True))
 
     def find(x):
@@ -215,79 +211,130 @@ def _block(rows: pd.DataFrame, rule: Rule) -> pd.DataFrame:
             root[x] = x = root[root[x]]
         return x
 
-    found, group = [], roots.copy()
-    for i in range(len(rows)):
-        for j in _near(i, group, side, size, away, sketch, rule).tolist():
+    found = []
+    for i in np.flatnonzero(block.left):
+        for j in block.near(i).tolist():
             a, b = find(roots[i]), find(roots[j])
-            if a != b and rule.linked(_common(keys[i], keys[j]), size[i], size[j]):
+            if a != b and rule.linked(_common(keys[i], keys[j]), block.size[i], block.size[j]):
                 root[max(a, b)] = min(a, b)
-                found.append((rep[i], rep[j]))
-                group[group == max(a, b)] = min(a, b)
+                found.append((block.node[i], block.node[j]))
+                block.group[block.group == max(a, b)] = min(a, b)
     return pd.DataFrame(found, columns=["a", "b"])
 
 
-def near_duplicates(docs: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (the smallest doc_id that it reaches) and kept (doc_id is that one).
+def _classes(features: DataFrame, scratch: Scratch) -> tuple[DataFrame, bool]:
+    """A row per distinct set: digest, node, rep (its smallest doc_id), copies, size, sketch and bands; and whether nodes differ from reps.
 
-    Null and empty texts and those without words have no shingles and are linked with nothing.  Rows that repeat a
-    doc_id are in one component; all of them have the same kept.  A null doc_id is linked with nothing and kept.
-    Other columns are not read.  An empty table gives no rows.
+    A node is the rep; only where rows of one doc_id hold different sets, classes share a rep, and all but one of them
+    get a number of their own above all doc_ids.
     """
-    with small_batches(docs.sparkSession):
-        return _near_duplicates(docs, rule, scratch)
-
-
-def _near_duplicates(docs: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
-    source = only(docs, doc_id=F.col("doc_id").cast("long"), text=utf8("text"))
-    features = scratch.keep(source.mapInArrow(lambda b: _features(b, rule), FEATURES), "features")
     usable = features.where("doc_id is not null and size > 0")
-    # a class of equal sets is named by its smallest doc_id; sketch and bands follow from the set
     classes = usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("size", *SKETCH, "bands")))
     classes = scratch.keep(classes, "classes")
-    sketches = classes.select("rep", *SKETCH)
-    member = classes.select(F.explode("bands").alias("key"), "rep")
+    shared = classes.groupBy("rep").agg(F.count("*").alias("n"), F.min("digest").alias("least")).where("n > 1").select("rep", "least")
+    if not shared.limit(1).count():
+        return classes.withColumn("node", F.col("rep")), False
+    free = F.lit(classes.agg(F.max("rep")).first()[0] + 1)
+    node = F.when(F.col("least").isNull() | (F.col("digest") == F.col("least")), F.col("rep")).otherwise(free + F.monotonically_increasing_id())
+    return scratch.keep(classes.join(shared.hint("merge"), "rep", "left").withColumn("node", node).drop("least"), "nodes"), True
+
+
+def near_duplicates(docs: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
+    """Per row: doc_id, text_hash, n_shingles, component_id (the smallest doc_id that it reaches) and kept.
+
+    kept: it is the document that component_id names.  Null and empty texts and those without words have no shingles and
+    are linked with nothing.  Rows that repeat a doc_id with the same set are one document and have the same verdict;
+    with other sets they are documents of their own, told apart by text_hash, of which one may be kept and the other not.
+    A null doc_id is linked with nothing and kept.  Other columns are not read.  An empty table gives no rows.
+    """
+    source = only(docs, doc_id=F.col("doc_id").cast("long"), text_hash=F.xxhash64(F.col("text").cast("string")), text=utf8("text"))
+    features = scratch.keep(source.mapInArrow(lambda b: _features(b, rule), FEATURES), "features")
+    classes, shared = _classes(features, scratch)
+    sketches = classes.select("node", *SKETCH)
+    member = classes.select(F.explode("bands").alias("key"), "node")
     # buckets with the same members are one
-    buckets = member.groupBy("key").agg(F.count("*").alias("members"), F.min("rep").alias("least"), F.expr("bit_xor(xxhash64(rep))").alias("same")).where("members > 1")
+    buckets = member.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("least"), F.expr("bit_xor(xxhash64(node))").alias("same")).where("members > 1")
     buckets = scratch.keep(buckets.groupBy("members", "least", "same").agg(F.min("key").alias("key")).select("key", "members"), "buckets")
-    meets = scratch.keep(member.join(buckets.hint("merge"), "key").join(classes.select("rep", "size", "copies"), "rep"), "meets")
+    meets = scratch.keep(member.join(buckets.hint("merge"), "key").join(classes.select("node", "size", "copies"), "node"), "meets")
     # the hub is the class with most copies
-    hubs = meets.groupBy("key").agg(F.max(F.struct("copies", F.negative("rep").alias("order"))).alias("top"), F.sum("size").alias("shingles"))
+    hubs = meets.groupBy("key").agg(F.max(F.struct("copies", F.negative("node").alias("order"))).alias("top"), F.sum("size").alias("shingles"))
     hubs = scratch.keep(hubs.select("key", F.negative("top.order").alias("hub"), "shingles"), "hubs")
     meets = scratch.keep(meets.drop("copies").join(hubs, "key"), "members")
 
-    theirs = sketches.select(F.col("rep").alias("hub"), *(F.col(c).alias(f"hub_{c}") for c in SKETCH))
+    theirs = sketches.select(F.col("node").alias("hub"), *(F.col(c).alias(f"hub_{c}") for c in SKETCH))
     differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"hub_{c}"))) for c in SKETCH), F.lit(0))
-    pairs = meets.where("rep <> hub").select("rep", "hub").distinct().join(sketches, "rep").join(theirs, "hub").where(differ < rule.refused_from()).select("rep", "hub")
+    pairs = meets.where("node <> hub").select("node", "hub").distinct().join(sketches, "node").join(theirs, "hub").where(differ < rule.refused_from()).select("node", "hub")
     pairs = scratch.keep(pairs, "pairs")
-    sets = scratch.keep(_sets_of(source, pairs.select(F.explode(F.array("rep", "hub")).alias("doc_id")).distinct(), rule), "sets")
-    compared = pairs.join(sets.select(F.col("doc_id").alias("rep"), "keys"), "rep").join(sets.select(F.col("doc_id").alias("hub"), F.col("keys").alias("hub_keys")), "hub")
-    compared = scratch.keep(compared.mapInArrow(lambda b: _with_hub(b, rule), "rep long, hub long, away double, linked boolean"), "compared")
-    first = scratch.keep(components(compared.where("linked").select(F.col("rep").alias("a"), F.col("hub").alias("b")), scratch, "first"), "roots")
+    sets = scratch.keep(_sets_of(source, classes, pairs.select(F.explode(F.array("node", "hub")).alias("node")).distinct(), rule), "sets")
+    compared = pairs.join(sets, "node").join(sets.select(F.col("node").alias("hub"), F.col("keys").alias("hub_keys")), "hub")
+    compared = scratch.keep(compared.mapInArrow(lambda b: _with_hub(b, rule), "node long, hub long, away double, linked boolean"), "compared")
+    first = scratch.keep(components(compared.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b")), scratch, "first"), "roots")
 
-    # members of buckets that hold several components yet
-    placed = meets.where("members > 2").join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    # buckets that hold several components yet: who is outside of the largest one
+    placed = meets.where("members > 2").join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = scratch.keep(placed, "placed")
-    several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
+    largest = placed.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("size").alias("held")).groupBy("key").agg(F.max(F.struct("n", "root", "held")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+    largest = scratch.keep(largest.select("key", F.col("top.root").alias("largest"), F.col("top.held").alias("held")), "largest")
     # without a distance to the hub, where sketches refused the pair, that test is left out
-    known = compared.select("rep", "hub", "away")
-    rest = placed.join(several, "key").join(known, ["rep", "hub"], "left").withColumn("away", F.when(F.col("rep") == F.col("hub"), F.lit(0.0)).otherwise(F.col("away")))
-    # sides of a bucket by hash, and a block for every two sides
-    sides = F.ceil(F.col("shingles") / BLOCK_SHINGLES).cast("int")
-    rest = rest.withColumn("sides", F.greatest(F.lit(1), F.least(sides, F.col("members").cast("int")))).withColumn("side", F.pmod(F.xxhash64("rep"), F.col("sides")).cast("int"))
-    rest = rest.join(sketches, "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
-    rest = rest.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "rep", "side", "size", "away", "root", *SKETCH)
+    known = compared.select("node", "hub", "away")
+    rest = placed.join(largest, "key").join(known, ["node", "hub"], "left").withColumn("away", F.when(F.col("node") == F.col("hub"), F.lit(0.0)).otherwise(F.col("away")))
+    # a block holds a side of the outside members, and a side of all; outside members stand in it as either
+    sides = lambda held: F.greatest(F.lit(1), F.least(F.ceil(held / BLOCK_SHINGLES).cast("int"), F.col("members").cast("int")))
+    rest = rest.withColumn("minor", F.col("root") != F.col("largest")).withColumn("outside", sides(F.col("shingles") - F.col("held"))).withColumn("all", sides(F.col("shingles")))
+    side = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
+    rest = rest.join(sketches, "node").withColumn("i", side("outside", 1)).withColumn("j", side("all", 2))
+    as_left = rest.where("minor").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("all") - 1))).withColumn("left", F.lit(True))
+    as_right = rest.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("outside") - 1))).withColumn("left", F.lit(False))
+    rest = as_left.unionByName(as_right).select("key", "i", "j", "left", "minor", "node", "size", "away", "root", *SKETCH)
     hopeful = scratch.keep(rest.groupBy("key", "i", "j").applyInPandas(lambda rows: _hopeful(rows, rule), rest.schema), "hopeful")
-    sets = scratch.keep(_sets_of(source, hopeful.select(F.col("rep").alias("doc_id")).distinct(), rule), "more-sets")
-    blocks = hopeful.join(sets.select(F.col("doc_id").alias("rep"), "keys"), "rep").groupBy("key", "i", "j")
-    more = scratch.keep(blocks.applyInPandas(lambda rows: _block(rows, rule), "a long, b long"), "more")
+    sets = scratch.keep(_sets_of(source, classes, hopeful.select("node").distinct(), rule), "more-sets")
+    more = hopeful.join(sets, "node").groupBy("key", "i", "j").applyInPandas(lambda rows: _linked(rows, rule), "a long, b long")
+    more = scratch.keep(more, "more")
     links = first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
     roots = scratch.keep(components(links, scratch, "last"), "components")
 
-    named = classes.where("copies > 1").select("digest", "rep").unionByName(classes.where("copies = 1").join(roots.select(F.col("node").alias("rep")), "rep", "left_semi").select("digest", "rep"))
-    named = named.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("component_id"))
-    named = scratch.keep(named, "named")
-    for name in ("buckets", "meets", "hubs", "members", "pairs", "sets", "compared", "placed", "hopeful", "more-sets", "more"):
+    named = _names(classes, roots, scratch, shared)
+    for name in ("buckets", "meets", "hubs", "members", "pairs", "sets", "compared", "placed", "largest", "hopeful", "more-sets", "more"):
         scratch.drop(name)
-    out = features.select("doc_id", "digest", "size").join(named, "digest", "left")
-    component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return _verdicts(features, named)
+
+
+def _names(classes: DataFrame, roots: DataFrame, scratch: Scratch, shared: bool) -> DataFrame:
+    """digest, copies, component_id and keeps (its smallest doc_id is the component's) of classes with copies or links, or which share a doc_id."""
+    placed = classes.select("digest", "copies", "node", "rep").join(roots, "node", "left").where("copies > 1 or root is not null" + " or true" * shared)
+    if not shared:
+        return scratch.keep(placed.select("digest", "copies", F.coalesce("root", "node").alias("component_id"), F.coalesce(F.col("root") == F.col("node"), F.lit(True)).alias("keeps")), "named")
+    placed = scratch.keep(placed.withColumn("root", F.coalesce("root", "node")), "placed-classes")
+    least = placed.groupBy("root").agg(F.min(F.struct("rep", "node")).alias("least"))
+    return scratch.keep(placed.join(least, "root").select("digest", "copies", F.col("least.rep").alias("component_id"), (F.col("least.node") == F.col("node")).alias("keeps")), "named")
+
+
+def _verdicts(features: DataFrame, named: DataFrame) -> DataFrame:
+    """Rows with the names of their classes; rows without a set, and classes with very many copies, stay out of the shuffle."""
+    rows = features.select("doc_id", "text_hash", "digest", F.col("size").alias("n_shingles"))
+    # fewer than HOT_CLASSES rows by this condition
+    hot = named.where(F.col("copies") > features.count() // HOT_CLASSES + 1)
+    plain = F.col("digest").isNull() | F.col("doc_id").isNull()
+    alone = rows.where(plain).withColumn("component_id", F.col("doc_id")).withColumn("keeps", F.lit(True))
+    many = rows.where(~plain).join(F.broadcast(hot.drop("copies")), "digest")
+    few = rows.where(~plain).join(F.broadcast(hot.select("digest")), "digest", "left_anti").join(named.join(F.broadcast(hot.select("digest")), "digest", "left_anti").drop("copies"), "digest", "left")
+    out = alone.unionByName(many).unionByName(few)
+    component = F.coalesce("component_id", "doc_id")
+    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), (F.coalesce("keeps", F.lit(True)) & F.coalesce(F.col("doc_id") == component, F.lit(True))).alias("kept"))
+
+
+def keep_firsts(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The documents that near_duplicates keeps, with all their columns; found is its result over them as a written table.
+
+    One row of each document stays: of rows with one doc_id and equal sets the one with the smallest hash of its text.
+    Rows whose doc_id is null all stay.  Only rows of which some may go are shuffled.
+    """
+    found = found.where("doc_id is not null")
+    kept = found.where("kept").groupBy("doc_id", "component_id", "n_shingles").agg(F.min("text_hash").alias("stays"), F.count("*").alias("n"))
+    several = kept.where("n > 1").select("doc_id", "component_id", "n_shingles", "stays")
+    others = found.where("kept").join(several.hint("merge"), ["doc_id", "component_id", "n_shingles"]).where("text_hash <> stays")
+    gone = found.where("not kept").select("doc_id", "text_hash").unionByName(others.select("doc_id", "text_hash")).distinct()
+    touched = Marks(gone.select("doc_id").unionByName(several.select("doc_id")), "doc_id")
+    rows = packed(docs, doc_id=F.col("doc_id").cast("long"), text_hash=F.xxhash64(F.col("text").cast("string"))).withColumn("touched", touched.has("doc_id") & F.col("doc_id").isNotNull())
+    left = rows.where("touched").join(gone.hint("merge"), ["doc_id", "text_hash"], "left_anti").dropDuplicates(["doc_id", "text_hash"])
+    return rows.where("not touched").select("row.*").unionByName(left.select("row.*"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from . import boosting
 from . import textvec as tv
-from .shared import only, utf8
+from .shared import only, packed, utf8
 
 #: Labelled documents that the trees are trained on, at most: those with the smallest hashes of their ids.
 TRAIN_ROWS = 20_000
@@ -111,20 +111,27 @@ def _judge(batches: Iterator[pa.RecordBatch], model: boosting.FlatTrees | None,
 def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, buf, offsets in tv.steps(batches, "text"):
         counts, features = statistics(buf, offsets)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_base_failed(counts)), pa.array(features.tolist(), pa.list_(pa.float64()))], names=["good", "failed", "features"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), pa.array(_base_failed(counts)), pa.array(features.tolist(), pa.list_(pa.float64()))], names=["doc_id", "hash", "good", "failed", "features"])
 
 
 def labelled(docs: DataFrame, labels: DataFrame, column: str, bound: int) -> DataFrame:
-    """At most `bound` labelled documents (label, text): those with the smallest hashes of their ids, of any size of corpus."""
-    picked = only(labels, doc_id=F.col("doc_id").cast("long"), label=F.col(column).cast("int")).where("doc_id is not null and label is not null").dropDuplicates(["doc_id"])
+    """The texts of at most `bound` labelled documents (doc_id, hash, label, text), those with the smallest hashes of their ids.
+
+    A doc_id with several labels has the least of them.
+    """
+    picked = only(labels, doc_id=F.col("doc_id").cast("long"), label=F.col(column).cast("int")).where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.min("label").alias("label"))
     picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     # two numbers a row and at most `bound` rows
-    return only(docs, doc_id=F.col("doc_id").cast("long"), text=utf8("text")).join(F.broadcast(picked), "doc_id").select("label", "text")
+    return only(docs, doc_id=F.col("doc_id").cast("long"), text=utf8("text")).join(F.broadcast(picked), "doc_id").select("doc_id", F.xxhash64("text").alias("hash"), "label", "text")
 
 
 def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS, **settings) -> boosting.FlatTrees | None:
-    """Trees for labels.quality; None, which keeps all that passes the base rule, where labels lack a class."""
-    rows = labelled(docs, labels, "quality", bound).mapInArrow(_training_rows, "good int, failed boolean, features array<double>").where("not failed").toPandas()
+    """Trees for labels.quality; None, which keeps all that passes the base rule, where labels lack a class.
+
+    A doc_id counts once: with the least of its labels, and of its texts that with the smallest hash.
+    """
+    rows = labelled(docs, labels, "quality", bound).mapInArrow(_training_rows, "doc_id long, hash long, good int, failed boolean, features array<double>")
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("hash", "good", "failed", "features")).alias("one")).select("one.*").where("not failed").toPandas()
     rows = rows.iloc[rows["features"].map(tuple).argsort(kind="stable").to_numpy()] if len(rows) else rows
     y = rows["good"].to_numpy(float)
     if len(rows) < 20 or y.min() == y.max():
@@ -143,12 +150,14 @@ def judge(docs: DataFrame, model: boosting.FlatTrees | None, keep_from: float =
 
 
 def keep_documents(docs: DataFrame, model: boosting.FlatTrees | None, keep_from: float = KEEP_FROM) -> DataFrame:
-    """The rows of docs, with all their columns, that judge() keeps; nothing is joined or shuffled."""
+    """The rows of docs, with all their columns, that judge() keeps; nothing is joined or shuffled, and Python gets texts alone."""
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, buf, offsets in tv.steps(batches, "text"):
+    def keep(texts: pa.Array) -> pa.Array:
+        parts = [pa.array([], pa.bool_())]
+        for _, _, buf, offsets in tv.text_steps(texts):
             counts, features = statistics(buf, offsets)
             score = model.probabilities(features) if model else np.ones(len(counts))
-            yield batch.filter(pa.array(~_base_failed(counts) & (score >= keep_from)))
+            parts.append(pa.array(~_base_failed(counts) & (score >= keep_from)))
+        return pa.concat_arrays(parts)
 
-    return docs.mapInArrow(apply, docs.schema)
+    return packed(docs, text=utf8("text")).where(F.arrow_udf(keep, "boolean")("text")).select("row.*")

@@ -6,8 +6,9 @@ import atexit
 import re
 import tempfile
 import uuid
-from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,16 +24,11 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int = 1000):
-    """Fewer rows a batch to and from Python while tables with large rows are written; the session's setting comes back."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), rows) if int(before) > 0 else rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme: one without belongs to the cluster's default file system, not to a local one."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    full = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+    return re.sub(r"^file:/+", "file:///", full)
 
 
 class Scratch:
@@ -42,7 +38,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.path = spark, f"{shared_root(spark)}/tidelock-{name}-{uuid.uuid4().hex}"
+        self.spark, self.path = spark, qualified(spark, f"{shared_root(spark)}/tidelock-{name}-{uuid.uuid4().hex}")
         atexit.register(self.drop)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
@@ -59,6 +55,43 @@ class Scratch:
             pass
 
 
+class Marks:
+    """A bitmap of the hashes of a table's rows, which tells most other rows apart before they are shuffled.
+
+    It has 16 bits a row, but 64 MB at most.  Rows that meet in a bit cost some shuffle and no result: where it matters
+    a join decides.  Beyond some 10**8 rows it lets ever more through, up to all of them.
+    """
+
+    MOST_BITS = 1 << 29
+
+    def __init__(self, rows: DataFrame, *columns: str):
+        n = rows.count()
+        self.bits = min(self.MOST_BITS, 1 << max(16, (16 * n).bit_length()))
+        at = self.slot(*columns).alias("at")
+        found = rows.select(at).groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits")).toArrow()
+        bitmap = np.zeros(self.bits >> 6, np.int64)
+        bitmap[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+        self.shared = rows.sparkSession.sparkContext.broadcast(bitmap)
+
+    def slot(self, *columns: str) -> Column:
+        return F.pmod(F.xxhash64(*columns), F.lit(self.bits))
+
+    def has(self, *columns: str) -> Column:
+        """Whether a row may be one of them: false only if it is not.  Python gets the hash alone."""
+        shared = self.shared
+
+        def marked(slot: pa.Array) -> pa.Array:
+            at = slot.to_numpy()
+            return pa.array((shared.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+        return F.arrow_udf(marked, "boolean")(self.slot(*columns))
+
+
+def packed(df: DataFrame, **columns: Column) -> DataFrame:
+    """All columns of a table as one, `row`, beside the operator's own, which its names can't clash with."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(k) for k, c in columns.items()])
+
+
 def only(df: DataFrame, **columns: Column | str) -> DataFrame:
     """Just these columns, under these names: further columns of the input can't clash with the operator's own."""
     return df.select(*[(F.col(_quoted(c)) if isinstance(c, str) else c).alias(k) for k, c in columns.items()])

@@ -20,16 +20,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .shared import Scratch, only, small_batches, utf8
+from .shared import Marks, Scratch, only, packed, utf8
 
 #: Words of the fewest whole units in a row that are removed.
 LEAST_WORDS = 30
 #: Words of the shortest run that is removed wherever it begins and ends.
 RUN_WORDS = 51
+#: Places of a gram whose windows are compared in one task; windows of more frequent ones are aggregated first.
+HOT_PLACES = 4096
 #: Words of a gram; a window of RUN_WORDS has 1 << _DOUBLINGS of them.
 _GRAM_WORDS, _DOUBLINGS = 20, 5
 _STOP = tv.is_byte_in((ord("."), ord(".")), (ord("!"), ord("!")), (ord("?"), ord("?")))
@@ -54,13 +57,8 @@ def units(buf: np.ndarray, offsets: np.ndarray):
     n_words = np.diff(first)
     full = np.flatnonzero(n_words)
     text = np.searchsorted(offsets, edges[:-1][full], "right") - 1
-    words = tv.span_hashes(low, runs.starts, runs.ends)
-    power, inverse = tv._power_tables(len(words) + 1)
-    digests = []
-    for values in (words, tv.splitmix(words ^ _U(0x5DEECE66D))):
-        sums = np.zeros(len(words) + 1, _U)
-        np.cumsum(values * power[:-1], out=sums[1:])
-        digests.append(tv.splitmix((sums[first[full + 1]] - sums[first[full]]) * inverse[first[full]] + n_words[full].astype(_U)).view(np.int64))
+    # two hashes of the words, each with its own hashes of them
+    digests = [tv.sequence_hashes(tv.span_hashes(low, runs.starts, runs.ends, seed), first[full], first[full + 1], seed).view(np.int64) for seed in (0, 1)]
     chars = np.concatenate(([0], np.cumsum(_LEADING[buf], dtype=np.int64)))
     base = chars[offsets[text]]
     number = np.arange(len(full)) - np.searchsorted(text, np.arange(len(offsets)))[text]
@@ -86,6 +84,13 @@ def _units(batches: Iterator[pa.RecordBatch], full: bool) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_pydict(columns)
 
 
+def _source(docs: DataFrame) -> DataFrame:
+    """doc_id and text, each once: rows that repeat both are one document, so no window of one document gets them all."""
+    source = only(docs, doc_id=F.col("doc_id").cast("long"), text=utf8("text")).where("doc_id is not null")
+    twice = source.groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+    return source.distinct() if twice else source
+
+
 def repeated_passages(docs: DataFrame, scratch: Scratch, least_words: int = LEAST_WORDS) -> DataFrame:
     """A row per passage of whole units: doc_id, version, start, end (code points), n_words, n_units, first_doc_id and first_word.
 
@@ -95,18 +100,22 @@ def repeated_passages(docs: DataFrame, scratch: Scratch, least_words: int = LEAS
     tells them apart); rows whose doc_id is null neither remove nor are removed.  Other columns are not read.
     An empty table gives no rows.
     """
-    source = only(docs, doc_id=F.col("doc_id").cast("long"), text=utf8("text")).where("doc_id is not null")
+    return _repeated_passages(_source(docs), scratch, least_words)
+
+
+def _repeated_passages(source: DataFrame, scratch: Scratch, least_words: int) -> DataFrame:
     short = source.mapInArrow(lambda b: _units(b, False), "h1 long, h2 long, doc_id long, place long")
     seen = short.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.max(F.struct("doc_id", "place")).alias("last"))
     seen = scratch.keep(seen.where("first <> last").select("h1", "h2", F.col("first.doc_id").alias("first_doc_id"), F.col("first.place").alias("first_place")), "seen")
-    later = source.mapInArrow(lambda b: _units(b, True), UNITS).join(seen, ["h1", "h2"]).where("doc_id <> first_doc_id or place <> first_place")
+    # most units stand only once: they go before they are shuffled
+    later = source.mapInArrow(lambda b: _units(b, True), UNITS).where(Marks(seen, "h1", "h2").has("h1", "h2"))
+    later = later.join(seen.hint("merge"), ["h1", "h2"]).where("doc_id <> first_doc_id or place <> first_place")
     later = later.drop("h1", "h2", "first_place")
     later = later.withColumn("version", F.expr("shiftright(place, 32)")).withColumn("number", F.expr("place & 4294967295L"))
     inside = Window.partitionBy("doc_id", "version").orderBy("number")
-    # equal rows give equal units, which have one rank and count once
-    later = later.withColumn("island", F.col("number") - F.dense_rank().over(inside)).withColumn("again", F.coalesce(F.lag("number").over(inside) == F.col("number"), F.lit(False)))
+    later = later.withColumn("island", F.col("number") - F.row_number().over(inside))
     passages = later.groupBy("doc_id", "version", "island").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.sum(F.when(~F.col("again"), F.col("words"))).alias("n_words"), F.count_if(~F.col("again")).alias("n_units"), F.min("first_doc_id").alias("first_doc_id"), F.min("word").alias("first_word")
+        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("n_words"), F.count("*").alias("n_units"), F.min("first_doc_id").alias("first_doc_id"), F.min("word").alias("first_word")
     )
     return passages.where(F.col("n_words") >= least_words).drop("island")
 
@@ -147,17 +156,21 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"gram": windows.grams[at].view(np.int64), "doc_id": batch.column(0).to_numpy()[text], "place": place})
 
 
-BLOCKS = "gram long, doc_id long, place long, digests array<long>, starts array<int>, ends array<int>"
+BLOCKS = "gram long, hot boolean, doc_id long, place long, digests array<long>, starts array<int>, ends array<int>"
+
+
+def _of_row(lists: pa.Array) -> np.ndarray:
+    """The items of a list column, each mixed with the number of its row."""
+    row = tv.splitmix(np.arange(len(lists), dtype=_U))
+    return lists.flatten().to_numpy().view(_U) ^ np.repeat(row, lists.value_lengths().to_numpy())
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows whose least gram is one of the row's `grams`; those that follow one another and share it are a row."""
     for batch, buf, offsets in tv.steps(batches, "text"):
         windows = Windows(buf, offsets)
-        grams = batch.column(2)
-        row = tv.splitmix(np.arange(batch.num_rows, dtype=_U))
-        known = grams.flatten().to_numpy().view(_U) ^ np.repeat(row, grams.value_lengths().to_numpy())
-        hit = np.flatnonzero(np.isin(windows.least ^ row[windows.text], known))
+        mixed = windows.least ^ tv.splitmix(np.arange(batch.num_rows, dtype=_U))[windows.text]
+        hit = np.flatnonzero(np.isin(mixed, _of_row(batch.column(2))))
         at, text, least = windows.at[hit], windows.text[hit], windows.least[hit]
         new = np.ones(len(at), bool)
         new[1:] = (np.diff(at) != 1) | (np.diff(text) != 0) | (least[1:] != least[:-1])
@@ -172,7 +185,14 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             (chars[windows.runs.ends[at + RUN_WORDS - 1]] - base).astype(np.int32),
         )
         digests, starts, ends = (pa.ListArray.from_arrays(lists, pa.array(v)) for v in values)
-        yield pa.RecordBatch.from_pydict({"gram": least[head].view(np.int64), "doc_id": batch.column(0).to_numpy()[text[head]], "place": place, "digests": digests, "starts": starts, "ends": ends})
+        hot = np.isin(mixed[hit][head], _of_row(batch.column(3)))
+        yield pa.RecordBatch.from_pydict({"gram": least[head].view(np.int64), "hot": hot, "doc_id": batch.column(0).to_numpy()[text[head]], "place": place, "digests": digests, "starts": starts, "ends": ends})
+
+
+def _windows(blocks: DataFrame) -> DataFrame:
+    """A row per window of blocks."""
+    found = blocks.select("gram", "doc_id", "place", F.posexplode(F.arrays_zip("digests", "starts", "ends")).alias("k", "w"))
+    return found.select("gram", "doc_id", (F.col("place") + F.col("k")).alias("place"), F.col("w.digests").alias("digest"), F.col("w.starts").alias("start"), F.col("w.ends").alias("end"))
 
 
 def repeated_runs(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -182,34 +202,62 @@ def repeated_runs(docs: DataFrame, scratch: Scratch) -> DataFrame:
     apart from it; a piece is the words of repeated windows that follow one another.  start and end are those of its
     first and last word.  Rows as in repeated_passages.
     """
-    source = only(docs, doc_id=F.col("doc_id").cast("long"), text=utf8("text")).where("doc_id is not null")
+    return _repeated_runs(_source(docs), scratch)
+
+
+def _repeated_runs(source: DataFrame, scratch: Scratch, hot_places: int = HOT_PLACES) -> DataFrame:
     place = F.struct("doc_id", "place")
-    same = Window.partitionBy("gram").orderBy("doc_id", "place")
-    seen = source.mapInArrow(_grams, "gram long, doc_id long, place long")
-    # a gram that stands at two places has a neighbour at another one, at both
-    seen = seen.select("gram", "doc_id", (F.lag(place).over(same) != place).alias("before"), (F.lead(place).over(same) != place).alias("after")).where("before or after")
-    seen = scratch.keep(seen.groupBy("doc_id").agg(F.collect_set("gram").alias("grams")), "grams")
-    # all windows of a gram come to one task as lists and are compared there
-    found = source.join(seen, "doc_id").select("doc_id", "text", "grams").mapInArrow(_blocks, BLOCKS).repartition("gram")
-    found = found.select("gram", "doc_id", "place", F.posexplode(F.arrays_zip("digests", "starts", "ends")).alias("k", "w"))
-    found = found.select("gram", "doc_id", (F.col("place") + F.col("k")).alias("place"), F.col("w.digests").alias("digest"), F.col("w.starts").alias("start"), F.col("w.ends").alias("end"))
+    grams = scratch.keep(source.mapInArrow(_grams, "gram long, doc_id long, place long"), "all-grams")
+    # grams that stand at two places, and how many places these are
+    twice = grams.groupBy("gram").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("places")).where("first <> last")
+    twice = scratch.keep(twice.select("gram", (F.col("places") > hot_places).alias("hot")), "twice")
+    seen = grams.join(twice.hint("merge"), "gram").groupBy("doc_id").agg(F.collect_set("gram").alias("grams"), F.collect_set(F.when(F.col("hot"), F.col("gram"))).alias("hot"))
+    seen = scratch.keep(seen, "grams")
+    scratch.drop("all-grams")
+    # texts without such a gram stay where they are
+    marked = source.where(Marks(seen, "doc_id").has("doc_id"))
+    blocks = marked.join(seen.hint("merge"), "doc_id").select("doc_id", "text", "grams", "hot").mapInArrow(_blocks, BLOCKS)
+    if twice.where("hot").limit(1).count():
+        blocks = scratch.keep(blocks, "blocks")
+        pieces = _pieces(_firsts_of_few(blocks.where("not hot"))).unionByName(_pieces(_firsts_of_many(blocks.where("hot"))))
+    else:
+        pieces = _pieces(_firsts_of_few(blocks))
+    return scratch.keep(pieces, "runs")
+
+
+def _firsts_of_few(blocks: DataFrame) -> DataFrame:
+    """The windows with their first place, where the at most HOT_PLACES places of a gram come to one task as lists and are compared there."""
     same = Window.partitionBy("gram", "digest").orderBy("doc_id", "place")
-    found = found.withColumn("first", F.first(place).over(same.rowsBetween(Window.unboundedPreceding, 0)))
+    return _windows(blocks.repartition("gram")).withColumn("first", F.first(F.struct("doc_id", "place")).over(same.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def _firsts_of_many(blocks: DataFrame) -> DataFrame:
+    """The same for grams of any number of places: first places by a partial aggregate and joined back, which AQE may split."""
+    found = _windows(blocks)
+    place = F.struct("doc_id", "place")
+    firsts = found.groupBy("gram", "digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").drop("last")
+    return found.join(firsts.hint("merge"), ["gram", "digest"])
+
+
+def _pieces(found: DataFrame) -> DataFrame:
+    """Windows that are not the first ones, those that follow one another as one piece."""
     own = (F.col("first.doc_id") == F.col("doc_id")) & F.expr("shiftright(first.place, 32) = shiftright(place, 32)")
     later = found.where(~own | (F.col("place") - F.col("first.place") >= RUN_WORDS))
     later = later.select("gram", "doc_id", "place", "start", "end", F.col("first.doc_id").alias("first_doc_id"))
-    later = later.withColumn("island", F.col("place") - F.dense_rank().over(Window.partitionBy("gram", "doc_id").orderBy("place")))
+    later = later.withColumn("island", F.col("place") - F.row_number().over(Window.partitionBy("gram", "doc_id").orderBy("place")))
     pieces = later.groupBy("gram", "doc_id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("place").alias("place"), F.max("place").alias("last"), F.min("first_doc_id").alias("first_doc_id"))
-    pieces = pieces.select(
+    return pieces.select(
         "doc_id", F.expr("shiftright(place, 32)").alias("version"), "start", "end", (F.col("last") - F.col("place") + RUN_WORDS).alias("n_words"), F.lit(0).cast("long").alias("n_units"), "first_doc_id", F.expr("int(place & 4294967295L)").alias("first_word")
     )
-    with small_batches(docs.sparkSession):
-        return scratch.keep(pieces, "runs")
 
 
-def passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """All that is to be removed: passages of whole units and runs of words, those that meet made one; columns of repeated_passages."""
-    found = repeated_runs(docs, scratch).unionByName(repeated_passages(docs, scratch))
+def passages(docs: DataFrame, scratch: Scratch, least_words: int = LEAST_WORDS) -> DataFrame:
+    """All that is to be removed: passages of whole units and runs of words, those that meet made one; columns of repeated_passages.
+
+    least_words=1 removes every later unit, however short.
+    """
+    source = _source(docs)
+    found = _repeated_runs(source, scratch).unionByName(_repeated_passages(source, scratch, least_words))
     stop = F.col("first_word") + F.col("n_words")
     before = Window.partitionBy("doc_id", "version").orderBy("first_word", "start").rowsBetween(Window.unboundedPreceding, -1)
     found = found.withColumn("new", F.coalesce(F.col("first_word") > F.max(stop).over(before), F.lit(False)).cast("int"))
@@ -220,34 +268,36 @@ def passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return whole.drop("island")
 
 
+def _without(texts: pa.Array, cuts: pa.Array) -> pa.Array:
+    """The texts without their cuts (lists of version, start and end in code points), a step of them at a time."""
+    parts = [pa.array([], pa.string())]
+    for at, end, buf, offsets in tv.text_steps(texts):
+        lists, n = cuts.slice(at, end - at), end - at
+        spans = lists.flatten()
+        text = np.repeat(np.arange(n), lists.value_lengths().fill_null(0).to_numpy())
+        version, start, stop = (spans.field(k).to_numpy() for k in range(3))
+        own = version == _versions(buf, offsets)[text]
+        # where each code point begins
+        char = np.append(np.flatnonzero(_LEADING[buf]), len(buf))
+        first = np.searchsorted(char, offsets[:-1])[text[own]]
+        change = np.zeros(len(buf) + 1, np.int32)
+        np.add.at(change, char[first + start[own]], 1)
+        np.add.at(change, char[first + stop[own]], -1)
+        keep = np.cumsum(change[:-1]) == 0
+        left = np.concatenate(([0], np.cumsum(keep)))[offsets].astype(np.int32)
+        done = pa.StringArray.from_buffers(n, pa.py_buffer(left), pa.py_buffer(buf[keep]))
+        parts.append(pc.if_else(texts.slice(at, n).is_valid(), done, pa.scalar(None, pa.string())) if texts.null_count else done)
+    return pa.concat_arrays(parts)
+
+
 def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
-    """The documents without the passages; others stay as they are, and all columns do."""
-    cut = passages.groupBy("doc_id", "version").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cut"))
-    cut = cut.groupBy("doc_id").agg(F.collect_list(F.struct("version", "_cut")).alias("_versions"))
-    keyed = docs.join(cut, "doc_id", "left")
-    source = keyed.schema
-
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            texts, versions = batch.column(at).to_pylist(), batch.column(batch.schema.get_field_index("_versions")).to_pylist()
-            for k, known in enumerate(versions):
-                if known and texts[k]:
-                    data = np.frombuffer(texts[k].encode(), np.uint8)
-                    own = int(tv.span_hashes(data, np.array([0]), np.array([len(data)]))[0] >> _U(33))
-                    for v in known:
-                        if v["version"] == own:
-                            texts[k] = without(texts[k], [(x["start"], x["end"]) for x in v["_cut"]])
-            kept = [(f.name, batch.column(i)) for i, f in enumerate(batch.schema) if f.name != "_versions"]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, batch.schema.field(at).type) if n == "text" else c for n, c in kept], names=[n for n, _ in kept])
-
-    return keyed.mapInArrow(apply, type(source)([f for f in source if f.name != "_versions"])).select(docs.columns)
-
-
-def without(text: str, spans: list[tuple[int, int]]) -> str:
-    """The text without spans, which are in order and apart."""
-    parts, at = [], 0
-    for start, end in spans:
-        parts.append(text[at:start])
-        at = end
-    return "".join([*parts, text[at:]])
+    """The documents without the passages, a written table; others stay as they are, and all columns do.
+
+    Only documents with passages are shuffled and go through Python.  Rows whose doc_id is null are never cut.
+    """
+    cut = passages.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("version", "start", "end")).alias("cuts"))
+    rows = packed(docs, id=F.col("doc_id").cast("long"), text=utf8("text")).withColumn("cut", Marks(passages, "doc_id").has("id") & F.col("id").isNotNull())
+    cutter = F.arrow_udf(lambda t, c: _without(t, c), "string")
+    cut_rows = rows.where("cut").join(cut.hint("merge"), "id", "left").withColumn("cuts", F.coalesce("cuts", F.expr("cast(array() as array<struct<version:bigint,start:int,end:int>>)")))
+    cut_rows = cut_rows.withColumn("row", F.col("row").withField("text", cutter("text", "cuts")))
+    return rows.where("not cut").select("row.*").unionByName(cut_rows.select("row.*"))

@@ -1,8 +1,9 @@
 """Vectorised word and line work over the UTF-8 buffers of Arrow columns.
 
 Texts stay in one byte buffer; words are found with a 256-entry byte table and
-hashed with prefix sums, so no Python object is made per word.  All sums wrap
-modulo 2**64.
+hashed eight bytes at a time, all words of a step at once, so no Python object
+is made per word.  Hashes are chains of a bijective mixing step, which no
+structure in the input (such as the sums of powers have) makes collide.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark import TaskContext
 STEP_BYTES = 1 << 20
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-_BASE_INV = pow(_BASE, -1, 1 << 64)
+#: Bytes that are hashed in a chain; longer spans are hashes of the hashes of such blocks.
+BLOCK_BYTES = 64
 
 
 def splitmix(x: np.ndarray) -> np.ndarray:
@@ -29,21 +30,6 @@ def splitmix(x: np.ndarray) -> np.ndarray:
     return z ^ (z >> _U(31))
 
 
-_BYTE_VALUES = splitmix(np.arange(1, 257, dtype=_U))
-_powers = [np.ones(1, _U), np.ones(1, _U)]
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base and of its inverse."""
-    if len(_powers[0]) < n:
-        m = max(n, 1 << 16)
-        for k, b in enumerate((_BASE, _BASE_INV)):
-            steps = np.full(m, b, _U)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps, dtype=_U)
-    return _powers[0][:n], _powers[1][:n]
-
-
 def is_byte_in(*ranges: tuple[int, int]) -> np.ndarray:
     """Byte table that is true within the given inclusive ranges."""
     table = np.zeros(256, bool)
@@ -88,25 +74,30 @@ def steps(batches, column: str, limit: int = STEP_BYTES) -> Iterator[tuple[pa.Re
 
     Yields (slice, bytes, offsets): row i's text is bytes[offsets[i]:offsets[i + 1]]; null is empty.
     """
+    for batch in batches:
+        for at, end, data, offsets in text_steps(batch.column(batch.schema.get_field_index(column)), limit):
+            yield batch.slice(at, end - at), data, offsets
+
+
+def text_steps(col: pa.Array, limit: int = STEP_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, bytes, offsets) of slices of a column, as in steps."""
     if _kept["stage"] != _stage():
         _kept.clear()
         _kept["stage"] = _stage()
-    for batch in batches:
-        col = batch.column(batch.schema.get_field_index(column))
-        if not pa.types.is_large_binary(col.type):
-            col = col.cast(pa.large_binary())
-        if col.null_count:
-            col = col.fill_null(b"")
-        if not len(col):
-            continue
-        offsets = np.frombuffer(col.buffers()[1], np.int64)[col.offset : col.offset + len(col) + 1]
-        data = np.frombuffer(col.buffers()[2], np.uint8) if col.buffers()[2] is not None and col.buffers()[2].size else np.zeros(0, np.uint8)
-        at = 0
-        while at < len(col):
-            end = int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1
-            end = min(max(end, at + 1), len(col))
-            yield batch.slice(at, end - at), data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
-            at = end
+    if not pa.types.is_large_binary(col.type):
+        col = col.cast(pa.large_binary())
+    if col.null_count:
+        col = col.fill_null(b"")
+    if not len(col):
+        return
+    offsets = np.frombuffer(col.buffers()[1], np.int64)[col.offset : col.offset + len(col) + 1]
+    data = np.frombuffer(col.buffers()[2], np.uint8) if col.buffers()[2] is not None and col.buffers()[2].size else np.zeros(0, np.uint8)
+    at = 0
+    while at < len(col):
+        end = int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1
+        end = min(max(end, at + 1), len(col))
+        yield at, end, data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
+        at = end
 
 
 class Runs:
@@ -128,23 +119,57 @@ class Runs:
         return np.repeat(np.arange(len(self.count)), self.count)
 
 
-def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span."""
-    power, inverse = _power_tables(len(buf) + 1)
-    sums = np.zeros(len(buf) + 1, _U)
-    np.cumsum(_BYTE_VALUES[buf] * power[:-1], out=sums[1:])
-    return splitmix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(_U))
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], _U)
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each byte span; other seeds give independent ones."""
+    size = ends - starts
+    out = splitmix(size.astype(_U) + _U(seed << 48))
+    eight = np.ndarray((len(buf) + 1,), "<u8", np.concatenate((buf, np.zeros(8, np.uint8))), strides=(1,))
+    live = np.flatnonzero((size > 0) & (size <= BLOCK_BYTES))
+    at = 0
+    while len(live):
+        left = size[live] - at
+        out[live] = splitmix(out[live] ^ eight[starts[live] + at] & _KEEP[np.minimum(left, 8)])
+        at += 8
+        live = live[left > 8]
+    long = np.flatnonzero(size > BLOCK_BYTES)
+    if len(long):
+        blocks = -(-size[long] // BLOCK_BYTES)
+        first = np.concatenate(([0], np.cumsum(blocks)))
+        begin = np.repeat(starts[long] - first[:-1] * BLOCK_BYTES, blocks) + np.arange(first[-1]) * BLOCK_BYTES
+        each = span_hashes(buf, begin, np.minimum(begin + BLOCK_BYTES, np.repeat(ends[long], blocks)), seed)
+        out[long] = splitmix(out[long] ^ span_hashes(each.view(np.uint8), first[:-1] * 8, first[1:] * 8, seed))
+    return out
+
+
+def sequence_hashes(words: np.ndarray, first: np.ndarray, last: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each range of word hashes."""
+    return span_hashes(words.view(np.uint8), first * 8, last * 8, seed)
 
 
 def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
-    """A 64-bit hash of each n consecutive word hashes; item i is the window that starts at word i."""
+    """A 64-bit hash of each n consecutive word hashes; item i is the window that starts at word i.
+
+    Windows of twice the length are made from two of the length before, and n from those of its binary digits.
+    """
     if len(words) < n:
         return np.zeros(0, _U)
-    power, inverse = _power_tables(len(words) + 1)
-    sums = np.zeros(len(words) + 1, _U)
-    np.cumsum(words * power[:-1], out=sums[1:])
-    at = np.arange(len(words) - n + 1)
-    return splitmix((sums[at + n] - sums[at]) * inverse[at])
+    out, done, power, size = None, 0, words, 1
+    while True:
+        if n & size:
+            part = power[done : done + len(words) - n + 1]
+            out = part if out is None else _joined(out, part)
+            done += size
+        size *= 2
+        if size > n:
+            return splitmix(out)
+        power = _joined(power[: len(power) - size // 2], power[size // 2 :])
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return splitmix(a * _U(0xD6E8FEB86659FD93) + b)
 
 
 def window_starts(first: np.ndarray, count: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

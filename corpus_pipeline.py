@@ -33,24 +33,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near-duplicates, the one with the smallest doc_id.
 
-    Shingles of five words, similarity 0.8.  Rows that share a doc_id are one document; those whose doc_id is null all stay.
+    Shingles of five words, similarity 0.8.  Rows that share a doc_id and hold the same words are one document, those with
+    other texts are documents of their own; those whose doc_id is null all stay.
     """
-    found = neardup.near_duplicates(docs, neardup.Rule(words=5, percent=80), Scratch(spark, "pipeline-near"))
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    scratch = Scratch(spark, "pipeline-near")
+    found = scratch.keep(neardup.near_duplicates(docs, neardup.Rule(words=5, percent=80), scratch), "found")
+    return neardup.keep_firsts(docs, found)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that an earlier document has, or that stand earlier in the same one."""
-    passages = substring.passages(docs, Scratch(spark, "pipeline-passages"))
+    scratch = Scratch(spark, "pipeline-passages")
+    passages = scratch.keep(substring.passages(docs, scratch), "found")
     return _counted(substring.remove_passages(docs, passages), docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words that windows of test items cover."""
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _counted(decontaminate.remove_spans(docs, found), docs.columns)
+    return _counted(decontaminate.remove_contamination(docs, table(spark, sf_dir, "benchmark"), Scratch(spark, "pipeline-benchmark")), docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

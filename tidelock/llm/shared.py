@@ -64,7 +64,9 @@ class Marks:
 
     MOST_BITS = 1 << 29
 
-    def __init__(self, rows: DataFrame, *columns: str):
+    def __init__(self, rows: DataFrame, *columns: str, hashed: bool = False):
+        """hashed: the one column holds hashes itself, which Python code looks up with has_hashes."""
+        self.hashed = hashed
         n = rows.count()
         self.bits = min(self.MOST_BITS, 1 << max(16, (16 * n).bit_length()))
         at = self.slot(*columns).alias("at")
@@ -74,6 +76,8 @@ class Marks:
         self.shared = rows.sparkSession.sparkContext.broadcast(bitmap)
 
     def slot(self, *columns: str) -> Column:
+        if self.hashed:
+            return F.col(columns[0]).bitwiseAND(F.lit(self.bits - 1))
         return F.pmod(F.xxhash64(*columns), F.lit(self.bits))
 
     def has(self, *columns: str) -> Column:
@@ -87,6 +91,12 @@ class Marks:
         return F.arrow_udf(marked, "boolean")(self.slot(*columns))
 
 
+def has_hashes(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes a bitmap of Marks may have, for code that runs in Python anyway."""
+    at = hashes & (len(bitmap) * 64 - 1)
+    return (bitmap[at >> 6] >> (at & 63)) & 1 == 1
+
+
 def packed(df: DataFrame, **columns: Column) -> DataFrame:
     """All columns of a table as one, `row`, beside the operator's own, which its names can't clash with."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(k) for k, c in columns.items()])

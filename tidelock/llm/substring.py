@@ -25,14 +25,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .shared import Marks, Scratch, only, packed, utf8
+from .shared import Marks, Scratch, has_hashes, only, packed, utf8
 
 #: Words of the fewest whole units in a row that are removed.
 LEAST_WORDS = 30
 #: Words of the shortest run that is removed wherever it begins and ends.
 RUN_WORDS = 51
 #: Places of a gram whose windows are compared in one task; windows of more frequent ones are aggregated first.
-HOT_PLACES = 4096
+HOT_PLACES = 65_536
 #: Words of a gram; a window of RUN_WORDS has 1 << _DOUBLINGS of them.
 _GRAM_WORDS, _DOUBLINGS = 20, 5
 _STOP = tv.is_byte_in((ord("."), ord(".")), (ord("!"), ord("!")), (ord("?"), ord("?")))
@@ -73,9 +73,14 @@ def _versions(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 UNITS = "h1 long, h2 long, doc_id long, place long, words int, word int, start int, end int"
 
 
-def _units(batches: Iterator[pa.RecordBatch], full: bool) -> Iterator[pa.RecordBatch]:
+def _units(batches: Iterator[pa.RecordBatch], full: bool, repeated=None) -> Iterator[pa.RecordBatch]:
+    """The units of texts; with a bitmap of the hashes of those that repeat, these alone."""
     for batch, buf, offsets in tv.steps(batches, "text"):
-        text, number, h1, h2, n_words, word, start, end = units(buf, offsets)
+        found = units(buf, offsets)
+        if repeated is not None:
+            kept = has_hashes(repeated.value, found[2])
+            found = tuple(x[kept] for x in found)
+        text, number, h1, h2, n_words, word, start, end = found
         doc = batch.column(0).to_numpy()[text]
         version = _versions(buf, offsets)[text]
         columns = {"h1": h1, "h2": h2, "doc_id": doc, "place": version << 32 | number}
@@ -108,8 +113,8 @@ def _repeated_passages(source: DataFrame, scratch: Scratch, least_words: int) ->
     seen = short.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.max(F.struct("doc_id", "place")).alias("last"))
     seen = scratch.keep(seen.where("first <> last").select("h1", "h2", F.col("first.doc_id").alias("first_doc_id"), F.col("first.place").alias("first_place")), "seen")
     # most units stand only once: they go before they are shuffled
-    later = source.mapInArrow(lambda b: _units(b, True), UNITS).where(Marks(seen, "h1", "h2").has("h1", "h2"))
-    later = later.join(seen.hint("merge"), ["h1", "h2"]).where("doc_id <> first_doc_id or place <> first_place")
+    repeated = Marks(seen, "h1", hashed=True).shared
+    later = source.mapInArrow(lambda b: _units(b, True, repeated), UNITS).join(seen.hint("merge"), ["h1", "h2"]).where("doc_id <> first_doc_id or place <> first_place")
     later = later.drop("h1", "h2", "first_place")
     later = later.withColumn("version", F.expr("shiftright(place, 32)")).withColumn("number", F.expr("place & 4294967295L"))
     inside = Window.partitionBy("doc_id", "version").orderBy("number")
@@ -219,7 +224,7 @@ def _repeated_runs(source: DataFrame, scratch: Scratch, hot_places: int = HOT_PL
     blocks = marked.join(seen.hint("merge"), "doc_id").select("doc_id", "text", "grams", "hot").mapInArrow(_blocks, BLOCKS)
     if twice.where("hot").limit(1).count():
         blocks = scratch.keep(blocks, "blocks")
-        pieces = _pieces(_firsts_of_few(blocks.where("not hot"))).unionByName(_pieces(_firsts_of_many(blocks.where("hot"))))
+        pieces = _pieces(_firsts_of_few(blocks.where("not hot"))).unionByName(_pieces(_firsts_of_many(blocks.where("hot"), scratch)))
     else:
         pieces = _pieces(_firsts_of_few(blocks))
     return scratch.keep(pieces, "runs")
@@ -231,11 +236,12 @@ def _firsts_of_few(blocks: DataFrame) -> DataFrame:
     return _windows(blocks.repartition("gram")).withColumn("first", F.first(F.struct("doc_id", "place")).over(same.rowsBetween(Window.unboundedPreceding, 0)))
 
 
-def _firsts_of_many(blocks: DataFrame) -> DataFrame:
-    """The same for grams of any number of places: first places by a partial aggregate and joined back, which AQE may split."""
+def _firsts_of_many(blocks: DataFrame, scratch: Scratch) -> DataFrame:
+    """The same for grams of any number of places: first places by a partial aggregate, written and joined back, which AQE may split."""
     found = _windows(blocks)
     place = F.struct("doc_id", "place")
     firsts = found.groupBy("gram", "digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").drop("last")
+    firsts = scratch.keep(firsts, "firsts")
     return found.join(firsts.hint("merge"), ["gram", "digest"])
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 from .components import components
-from .shared import Marks, Scratch, only, packed, utf8
+from .shared import Marks, Scratch, has_hashes, only, packed, utf8
 
 _U = np.uint64
 BANDS, ROWS = 32, 5
@@ -137,9 +137,13 @@ def _features(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), *(pa.array(sketches[:, k]) for k in range(len(SKETCH))), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "digest", "size", *SKETCH, "bands"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    """Shingle sets of texts, named by their digests."""
-    for batch, buf, offsets in tv.steps(batches, "text"):
+def _sets(batches: Iterator[pa.RecordBatch], rule: Rule, wanted) -> Iterator[pa.RecordBatch]:
+    """Shingle sets, named by their digests, of the texts whose slots the bitmap has.
+
+    The bitmap is looked up here: a stage with two steps in Python would have twice as many workers in memory.
+    """
+    marked = (b.filter(pa.array(has_hashes(wanted.value, b.column("slot").to_numpy()))) for b in batches)
+    for batch, buf, offsets in tv.steps(marked, "text"):
         keys, text = shingle_sets(buf, offsets, rule.words)
         cut = np.searchsorted(text, np.arange(batch.num_rows + 1))
         sets = [keys[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
@@ -149,7 +153,9 @@ def _sets(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBa
 def _sets_of(source: DataFrame, classes: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     """The shingle sets (node, keys) of the classes whose nodes are wanted; other texts are neither shuffled nor hashed again."""
     wanted = classes.select("node", "rep", "digest").join(wanted.hint("merge"), "node", "left_semi")
-    found = source.where(Marks(wanted, "rep").has("doc_id")).select("text").mapInArrow(lambda b: _sets(b, rule), "digest binary, keys binary")
+    marks = Marks(wanted, "rep")
+    bitmap = marks.shared
+    found = source.select("text", marks.slot("doc_id").alias("slot")).mapInArrow(lambda b: _sets(b, rule, bitmap), "digest binary, keys binary")
     return found.join(wanted.select("digest", "node").hint("merge"), "digest").dropDuplicates(["node"]).select("node", "keys")
 
 

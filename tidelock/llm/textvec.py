@@ -8,7 +8,9 @@ structure in the input (such as the sums of powers have) makes collide.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +79,22 @@ def steps(batches, column: str, limit: int = STEP_BYTES) -> Iterator[tuple[pa.Re
     for batch in batches:
         for at, end, data, offsets in text_steps(batch.column(batch.schema.get_field_index(column)), limit):
             yield batch.slice(at, end - at), data, offsets
+    give_back()
+
+
+@cache
+def _libc():
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:
+        return None
+
+
+def give_back() -> None:
+    """Gives memory that is free to the system: workers live on between tasks, and several share an executor."""
+    pa.default_memory_pool().release_unused()
+    if libc := _libc():
+        libc.malloc_trim(0)
 
 
 def text_steps(col: pa.Array, limit: int = STEP_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -39,6 +39,8 @@ FAR_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9
 VOCABULARY_BYTES = 64 << 20
 #: Pieces whose ids a task remembers.
 REMEMBERED = 2_500_000
+#: Texts or pieces in a call of the library.
+LIBRARY_TEXTS = 2048
 #: Bytes of text that are cut into pieces at once: the more, the more of them are repeats.
 ENCODE_BYTES = 3 << 20
 #: Ids in a shard, at most, but for a single longer document.
@@ -79,7 +81,9 @@ class Encoder:
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def _library(self, texts: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
+        """Few texts at once, as the library keeps far more than their ids for each."""
+        some = (texts[k : k + LIBRARY_TEXTS] for k in range(0, len(texts), LIBRARY_TEXTS))
+        return [e.ids for part in some for e in self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in part], add_special_tokens=False)]
 
     def _pieces(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of the pieces of all texts, in order."""

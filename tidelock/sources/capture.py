@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .manifest import TableSpec
+from .versions import Store
 
 
 @dataclass
@@ -23,10 +24,21 @@ class Snapshot:
     fingerprint: str
     tables: dict[str, DataFrame]
     changes: dict[str, DataFrame] = field(default_factory=dict)
+    #: per table the version after which its log, which may be empty, has all changes
+    logged_since: dict[str, int] = field(default_factory=dict)
     _ceilings: dict[str, int | None] = field(default_factory=dict)
 
+    @classmethod
+    def of(cls, store: Store) -> Snapshot:
+        """The current version of a source that is kept as a store: its files are those that the version names, whatever is written meanwhile."""
+        now = store.current()
+        tables = {n: store.table(now, n) for n in now.tables if not n.startswith("_")}
+        return cls(store.spark, now.number, now.fingerprint, tables, {n: store.table(now, f"_changes_{n}") for n in tables if f"_changes_{n}" in now.tables}, {n: now.watermarks[f"_log_{n}"] for n in tables if f"_log_{n}" in now.watermarks})
+
     def oldest_answerable(self, table: str) -> int:
         """The earliest mark from which the retained log can tell all changes."""
+        if table in self.logged_since:
+            return self.logged_since[table]
         first = self.changes[table].agg(F.min("version")).first()[0] if table in self.changes else None
         return self.version if first is None else first - 1
 
@@ -48,7 +60,9 @@ class Snapshot:
         return rows.where(below if since is None else (F.col(spec.watermark) > since) & below)
 
     def net_changes(self, spec: TableSpec, since: int) -> DataFrame:
-        """One row a changed key since a mark: _op, key and, but for deletes, the values that it has now."""
+        """One row a changed key since a mark: _op, key and, but for deletes, the values that it has now; none without a log."""
+        if spec.name not in self.changes:
+            return self.full(spec).limit(0).select(F.lit("I").alias("_op"), *spec.columns)
         log = self.changes[spec.name].where((F.col("version") > since) & (F.col("version") <= self.version))
         return change_feed(net_ops(log, list(spec.key)), self.full(spec), spec)
 

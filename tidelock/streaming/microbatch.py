@@ -18,21 +18,23 @@ def latest_per_key(rows: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def upsert_batch(store: Store, name: str, key: str, order: str, batch: DataFrame, batch_id: int) -> None:
-    """Merges a micro-batch into the mirror and commits rows and batch id together; a batch that is in already is skipped."""
+    """Merges a micro-batch into the buckets that it touches and commits rows and batch id together; a batch that is in already is skipped."""
     old = store.current()
     if old.watermarks.get(f"_batch_{name}", -1) >= batch_id:
         return
     delta = latest_per_key(batch, key, order)
-    target = store.table(old, name)
-    if target is not None:
-        # a late batch must not put back what is newer
-        newer = target.select(key, F.col(order).alias("_have"))
-        delta = delta.join(newer, key, "left").where(F.col("_have").isNull() | (F.col("_have") < F.col(order))).drop("_have")
-        rows = merge(target.select(*delta.columns), delta.withColumn("_op", F.lit("U")), [key])
+    if name in old.tables:
+        entry = store.merge(name, old.tables[name], delta, lambda rows, new: _newer(rows, new, key, order)).entry
     else:
-        rows = delta
-    folder = store.append(name, None, rows)
-    store.commit(old, tables={**old.tables, name: folder}, watermarks={**old.watermarks, f"_batch_{name}": batch_id})
+        entry = store.write_keyed(name, delta, [key], delta.count())
+    store.commit(old, tables={**old.tables, name: entry}, watermarks={**old.watermarks, f"_batch_{name}": batch_id})
+
+
+def _newer(rows: DataFrame, delta: DataFrame, key: str, order: str) -> DataFrame:
+    """The rows after a batch, of which a late row does not put back what is newer."""
+    have = rows.select(key, F.col(order).alias("_have"))
+    delta = delta.join(have, key, "left").where(F.col("_have").isNull() | (F.col("_have") < F.col(order))).drop("_have")
+    return merge(rows, delta.withColumn("_op", F.lit("U")), [key])
 
 
 def mirror_stream(spark: SparkSession, source: str, schema, store: Store, name: str, key: str, order: str, checkpoint: str, files_per_batch: int = 1) -> StreamingQuery:

@@ -32,6 +32,11 @@ def _text(c: Column, kind: str) -> Column:
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss") if kind == "date" else c.cast("string")
 
 
+def exact_sum(c: Column, dtype: T.DataType) -> Column:
+    """The sum of whole or decimal numbers: all digits of the fraction, and room for more rows than there can be."""
+    return F.sum(c.cast(T.DecimalType(38, dtype.scale if isinstance(dtype, T.DecimalType) else 0)))
+
+
 def column_aggregates(name: str, dtype: T.DataType) -> list[tuple[str, Column]]:
     """(label, aggregate as text) of a column by its kind; none for inexact ones."""
     kind, c = kind_of(dtype), F.col(name)
@@ -39,7 +44,7 @@ def column_aggregates(name: str, dtype: T.DataType) -> list[tuple[str, Column]]:
     if kind == "inexact":
         return []
     if kind == "number":
-        out += [("sum", F.sum(c.cast("long")).cast("string")), ("min", _text(F.min(c), kind)), ("max", _text(F.max(c), kind))]
+        out += [("sum", exact_sum(c, dtype).cast("string")), ("min", _text(F.min(c), kind)), ("max", _text(F.max(c), kind))]
     elif kind == "bool":
         out += [("sum", F.sum(c.cast("long")).cast("string"))]
     elif kind == "date":
@@ -62,7 +67,7 @@ def type_directed_sql(table: str) -> str:
     for c, kind in KINDS[table].items():
         rows.append((c, "count", f"CAST(count({c}) AS VARCHAR)"))
         if kind == "number":
-            rows.append((c, "sum", f"CAST(CAST(sum({c}) AS BIGINT) AS VARCHAR)"))
+            rows.append((c, "sum", f"CAST(sum({c}) AS VARCHAR)"))
         if kind in text:
             rows += [(c, k, text[kind].format(f"{k}({c})")) for k in ("min", "max")]
         if kind == "text":
@@ -71,13 +76,14 @@ def type_directed_sql(table: str) -> str:
 
 
 def key_scalars(df: DataFrame, key: str) -> DataFrame:
+    """Count, sum (as text, which holds any size), least and largest key."""
     c = F.col(key).cast("long")
-    return df.agg(F.count("*").alias("n_rows"), F.sum(c).alias("key_sum"), F.min(c).alias("key_min"), F.max(c).alias("key_max"))
+    return df.agg(F.count("*").alias("n_rows"), exact_sum(c, T.LongType()).cast("string").alias("key_sum"), F.min(c).alias("key_min"), F.max(c).alias("key_max"))
 
 
 def frozen_sums(df: DataFrame, key: str, mark: int, columns: list[str]) -> DataFrame:
-    """Count and sums of what lies at or below a mark."""
-    return df.where(F.col(key) <= mark).agg(F.count("*").alias("n_rows"), *[F.sum(F.col(c).cast("long")).alias(f"sum_{c}") for c in columns])
+    """Count and sums, as text, of what lies at or below a mark."""
+    return df.where(F.col(key) <= mark).agg(F.count("*").alias("n_rows"), *[exact_sum(F.col(c), df.schema[c].dataType).cast("string").alias(f"sum_{c}") for c in columns])
 
 
 def window_density(df: DataFrame, key: str) -> DataFrame:

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import normalize as N
-from .graph import checkpoint, components
+from .graph import components, written
 
 #: Where automated accounts have their mail; of the deployment.
 INTERNAL_DOMAIN = "corp.internal"
@@ -34,6 +34,7 @@ class Variant:
     email_proves: bool = False
     exclude_first: bool = True
     naive_detector: bool = False
+    latest_birthday: str = N.LATEST_BIRTHDAY
 
 
 SHIPPED = Variant()
@@ -85,7 +86,7 @@ def screen(customers: DataFrame, advances: DataFrame, variant: Variant = SHIPPED
 
 def with_key(people: DataFrame, variant: Variant = SHIPPED) -> DataFrame:
     """Adds key: digits, birthday and surname where all are evidence, as one text; null otherwise."""
-    parts = {"_ssn": N.ssn_last4(F.col("ssn_last4")), "_dob": N.birthday(F.col("date_of_birth"))}
+    parts = {"_ssn": N.ssn_last4(F.col("ssn_last4")), "_dob": N.birthday(F.col("date_of_birth"), variant.latest_birthday)}
     parts |= {"_last": N.name(F.col("last_name"))} if variant.last_name else {}
     parts |= {"_first": N.name(F.col("first_name"))} if variant.first_name else {}
     people = people.withColumns(parts)  # a projection of its own, so that each is worked out once
@@ -103,7 +104,7 @@ def with_key(people: DataFrame, variant: Variant = SHIPPED) -> DataFrame:
 
 def grouped(screening: Screening, manual: DataFrame, variant: Variant = SHIPPED) -> DataFrame:
     """The population with key, root (least member of its group), touched (by an applied manual edge) and moved."""
-    people = checkpoint(with_key(screening.population, variant))
+    people = written(with_key(screening.population, variant))
     star = people.where("key is not null").groupBy("key").agg(F.min("customer_id").alias("star"))
     people = people.join(star, "key", "left").withColumn("star", F.coalesce("star", "customer_id"))
     ids = people.select("customer_id", "star")
@@ -117,7 +118,8 @@ def grouped(screening: Screening, manual: DataFrame, variant: Variant = SHIPPED)
     roots = components(edges)
     touched = applied.select(F.explode(F.array("customer_id_a", "customer_id_b")).alias("customer_id")).distinct().withColumn("touched", F.lit(True))
     people = people.join(roots.withColumnRenamed("node", "star"), "star", "left").withColumn("root", F.coalesce("root", "star"))
-    return people.join(touched, "customer_id", "left").withColumn("touched", F.coalesce("touched", F.lit(False)))
+    # written once: refusal, survivors, map, queue and scores all start from here
+    return written(people.join(touched, "customer_id", "left").withColumn("touched", F.coalesce("touched", F.lit(False))))
 
 
 def decided(members: DataFrame) -> DataFrame:
@@ -125,7 +127,7 @@ def decided(members: DataFrame) -> DataFrame:
     fresh = F.coalesce("updated_at", "created_at")
     groups = members.groupBy("root").agg(
         F.count("*").alias("size"), F.count_if("moved").alias("n_money"), F.max_by("customer_id", F.struct(F.col("moved"), fresh, F.negative("customer_id"))).alias("survivor"),
-        F.size(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("moved"), F.col("instruments")))))).alias("n_instruments"), F.concat_ws(" + ", F.array_sort(F.collect_set("key"))).alias("group_key"), F.bool_or("touched").alias("touched"),
+        F.size(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("moved"), F.col("instruments")))))).alias("n_instruments"), F.concat_ws(" + ", F.array_sort(F.collect_set("key"))).alias("group_key"), F.bool_or("touched").alias("manual"),
     )
     return groups.withColumn("reason", F.when((F.col("size") > 1) & (F.col("n_money") > 1), F.when(F.col("n_instruments") > 1, F.lit(REASON_DIFFERENT)).otherwise(F.lit(REASON_SAME)))).withColumn(
         "survivor_reason", F.when((F.col("size") > 1) & (F.col("n_money") <= 1), F.when(F.col("n_money") == 1, F.lit("money_moved")).otherwise(F.lit("freshest")))
@@ -135,7 +137,7 @@ def decided(members: DataFrame) -> DataFrame:
 def customer_map(screening: Screening, members: DataFrame) -> DataFrame:
     """One row a customer: canonical id, resolution, rule, group key and survivor reason."""
     text = lambda c: F.lit(c).cast("string")
-    rows = members.join(decided(members).drop("touched").join(members.groupBy("root").agg(F.bool_or("touched").alias("manual")), "root"), "root")
+    rows = members.join(decided(members), "root")
     resolution = F.when(F.col("size") == 1, "singleton").when(F.col("reason").isNotNull(), "review").otherwise("merged")
     merged = resolution == "merged"
     rows = rows.select(
@@ -160,8 +162,15 @@ def review_id(csv: Column) -> Column:
     return F.conv(F.substring(F.md5(csv), 1, 15), 16, 10).cast("long")
 
 
-def group_pairs(table: DataFrame, group: str, member: str) -> DataFrame:
-    """Pairs a < b of members of one group; groups are families, not corpora."""
+#: Members of a group that pairs are made of, at most: a group of n has n * (n - 1) / 2 of them.
+PAIRED_MEMBERS = 1000
+
+
+def group_pairs(table: DataFrame, group: str, member: str, most: int = PAIRED_MEMBERS) -> DataFrame:
+    """Pairs a < b of members of one group; groups are families, and a larger one than `most` is an error, not a smaller answer."""
+    sizes = table.groupBy(F.col(group).alias("g")).agg(F.count("*").alias("n"))
+    told = F.when(F.col("n") > most, F.raise_error(F.format_string(f"group %s has %s members, which are not paired beyond {most}", F.col("g").cast("string"), F.col("n").cast("string"))).cast("boolean")).otherwise(F.col("n") > 1)
+    table = table.join(sizes.where(told).select(F.col("g").alias(group)), group, "left_semi")
     a, b = table.select(F.col(group).alias("g"), F.col(member).alias("a")), table.select(F.col(group).alias("g"), F.col(member).alias("b"))
     return a.join(b, "g").where("a < b").select("a", "b")
 
@@ -191,7 +200,6 @@ def publish_guards(resolved: DataFrame, mirror_rows: int) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
-def latest_only(members: DataFrame, key: str) -> DataFrame:
-    """The freshest row of each key, the least id on ties."""
-    fresh = Window.partitionBy(key).orderBy(F.coalesce("updated_at", "created_at").desc(), F.col("customer_id"))
-    return members.withColumn("rn", F.row_number().over(fresh)).where("rn = 1").drop("rn")
+def bad_contacts(customers: DataFrame) -> DataFrame:
+    """Customers whose e-mail or phone is no evidence."""
+    return customers.where(~(N.is_evidence(N.email(F.col("email"))) & N.is_evidence(N.phone(F.col("phone")))))

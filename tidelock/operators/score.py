@@ -49,7 +49,12 @@ def score(proposed: DataFrame, population: DataFrame, truth: DataFrame) -> DataF
 
 def ablations(customers: DataFrame, advances: DataFrame, manual: DataFrame, truth: DataFrame) -> DataFrame:
     """The score of every variant; their populations differ, which is a cost of its own."""
-    out = None
+    return scored_variants(customers, advances, manual, truth)[0]
+
+
+def scored_variants(customers: DataFrame, advances: DataFrame, manual: DataFrame, truth: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Scores by variant, and the customers (variant, customer_id) that each was scored over."""
+    out = people = None
     for label, variant in ABLATIONS.items():
         screening = I.screen(customers, advances, variant)
         members = I.grouped(screening, manual, variant)
@@ -59,7 +64,30 @@ def ablations(customers: DataFrame, advances: DataFrame, manual: DataFrame, trut
             pairs = pairs.join(population.withColumnRenamed("customer_id", "a"), "a", "left_semi").join(population.withColumnRenamed("customer_id", "b"), "b", "left_semi")
         one = score(pairs, population, truth).select(F.lit(label).alias("variant"), "*")
         out = one if out is None else out.unionByName(one)
-    return out
+        here = population.select(F.lit(label).alias("variant"), "customer_id")
+        people = here if people is None else people.unionByName(here)
+    return out, people
+
+
+def prices(scores: DataFrame, populations: DataFrame) -> DataFrame:
+    """What each variant costs against the shipped rules, in pairs and in customers, and the same in words.
+
+    populations: variant and customer_id.  A variant that is scored over other customers has changed something, even where no
+    pair moved.
+    """
+    base = scores.where("variant = 'shipped'").select(*[F.col(c).alias(f"_{c}") for c in ("wrong", "missed")])
+    shipped = populations.where("variant = 'shipped'").select("customer_id", F.lit(1).alias("s"))
+    others = populations.where("variant <> 'shipped'").select("variant", "customer_id")
+    kept = others.join(shipped, "customer_id", "left").groupBy("variant").agg(F.count("s").alias("common"), F.count_if(F.col("s").isNull()).alias("customers_gained"))
+    kept = kept.crossJoin(F.broadcast(shipped.agg(F.count("*").alias("all")))).select("variant", "customers_gained", (F.col("all") - F.col("common")).alias("customers_lost"))  # a row
+    out = scores.where("variant <> 'shipped'").crossJoin(F.broadcast(base)).join(kept, "variant", "left").fillna(0, ["customers_gained", "customers_lost"])  # a row
+    out = out.withColumn("wrong_more", F.col("wrong") - F.col("_wrong")).withColumn("missed_more", F.col("missed") - F.col("_missed"))
+    clause = lambda n, text: F.when(n > 0, F.concat(n.cast("string"), F.lit(f" {text}")))
+    words = F.concat_ws(
+        ", ", clause(F.col("customers_lost"), "customers not scored"), clause(F.col("customers_gained"), "customers scored besides"), clause(F.col("wrong_more"), "wrong pairs more"), clause(-F.col("wrong_more"), "wrong pairs fewer"),
+        clause(F.col("missed_more"), "true pairs lost"), clause(-F.col("missed_more"), "true pairs found"),
+    )
+    return out.select("variant", "customers_lost", "customers_gained", "wrong_more", "missed_more", F.when(words == "", "no change on these rows").otherwise(words).alias("price"))
 
 
 def miss_causes(resolved: DataFrame, members: DataFrame, population: DataFrame, truth: DataFrame) -> DataFrame:

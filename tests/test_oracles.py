@@ -10,8 +10,6 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables are not here")
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-# one of each kind here; the driver runs them all
-FAST = [n for n in ORACLES if not n.startswith(("er_", "sc_"))] + ["er_map", "sc_score"]
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +25,7 @@ def text(rows):
     return sorted(tuple("" if v is None else f"{v:.9g}" if isinstance(v, float) else str(v) for v in r) for r in rows)
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", ORACLES)
 def test_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)

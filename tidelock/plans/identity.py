@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from ..functions import normalize as N
 from ..operators import identity as I
+from ..operators import publish
 from ..operators import score as S
+from ..operators.graph import folder
+from ..sources.versions import Store
 from .registry import Catalogue, Inputs
 
 # --- the same rules in SQL ------------------------------------------------------------------------------------------
@@ -118,12 +123,25 @@ _CTE = f"""
 WITH = f"WITH RECURSIVE {_CTE.strip()}\n"
 
 
+#: The clock of published resolutions.
+AT = datetime(2026, 8, 18, 12)
+
+
 def _resolve(t: Inputs):
     screening = I.screen(t.id_customers, t.id_advances)
     members = I.grouped(screening, t.id_manual)
     return screening, members
 
 
+def _published(t: Inputs, runs: int = 1) -> Store:
+    """A new mirror in which a resolution was published so many times."""
+    store = Store(t.spark, folder(t.spark, "identity"))
+    for k in range(runs):
+        # the same rows in another order and partitioning each time
+        publish.resolve(store, t.id_customers.repartition(3 + k, F.xxhash64("customer_id")), t.id_advances.repartition(5 - k), t.id_manual, AT)
+    return store
+
+
 def register(q: Catalogue) -> None:
     _normalisers(q), _resolution(q), _scoring(q)
 
@@ -252,18 +270,41 @@ def _resolution(q: Catalogue) -> None:
         cards = t.id_cards.where("is_default").join(m, "customer_id").groupBy("canonical_customer_id").agg(F.count("*").alias("defaults"), F.countDistinct("customer_id").alias("owners")).where("defaults > 1")
         return cards.withColumn("cause", F.when(F.col("owners") > 1, "merge").otherwise("before"))
 
-    @q.add("er_idempotent", "SELECT customer_id, canonical_customer_id FROM (SELECT 1::INTEGER AS customer_id, 1::INTEGER AS canonical_customer_id) x WHERE false")
+    @q.add("er_idempotent", "SELECT 1::INTEGER AS customer_id, 1::INTEGER AS canonical_customer_id, 'x' AS resolution, 'x' AS evidence WHERE false")
+    def _(t: Inputs):
+        # two committed versions
+        store = _published(t, 2)
+        one, two = (store.table(store.at(n), "customer_map").select("customer_id", "canonical_customer_id", "resolution", "evidence") for n in (1, 2))
+        return one.exceptAll(two).unionByName(two.exceptAll(one))
+
+    @q.add("er_published", WITH + "SELECT customer_id, canonical_customer_id, is_canonical, resolution, rule, group_key, survivor_reason, 2::BIGINT AS run_id FROM resolved")
+    def _(t: Inputs):
+        store = _published(t, 2)
+        return store.table(store.current(), "customer_map").select("customer_id", "canonical_customer_id", "is_canonical", "resolution", "rule", "group_key", "survivor_reason", "run_id")
+
+    @q.add("er_identity_runs", WITH + "SELECT r.run_id, count(*) AS customers_in, count(*) FILTER (resolution = 'excluded_test') AS excluded_test, count(*) FILTER (resolution = 'merged' AND is_canonical) AS groups_formed, count(*) FILTER (resolution = 'merged' AND NOT is_canonical) AS rows_merged, count(*) FILTER (is_canonical) AS canonical_out, (SELECT count(*) FROM (" + review + ") v) AS review_rows FROM resolved, (VALUES (1::BIGINT), (2)) r(run_id) GROUP BY r.run_id")
+    def _(t: Inputs):
+        store = _published(t, 2)
+        return store.table(store.current(), "identity_run").select("run_id", "customers_in", "excluded_test", "groups_formed", "rows_merged", "canonical_out", "review_rows")
+
+    @q.add("er_review_history", WITH + "SELECT run_id, reason, customer_ids FROM (" + review + ") v, (VALUES (1::BIGINT), (2)) r(run_id)")
+    def _(t: Inputs):
+        store = _published(t, 2)
+        return store.table(store.current(), "merge_review").select("run_id", "reason", "customer_ids")
+
+    told = """SELECT e.customer_id_a, e.customer_id_b, e.decided_by, e.endpoint, CASE WHEN k.customer_id IS NULL THEN 'not in the mirror' ELSE 'excluded_test by rule ' || k.rules END AS why
+        FROM (SELECT *, customer_id_a AS endpoint FROM @id_manual UNION ALL SELECT *, customer_id_b FROM @id_manual) e LEFT JOIN screened k ON e.endpoint = k.customer_id WHERE k.customer_id IS NULL OR k.is_test"""
+
+    @q.add("er_refused_edges", WITH + told)
     def _(t: Inputs):
-        once = I.customer_map(*_resolve(t)).select("customer_id", "canonical_customer_id")
-        # the same rows in another order and partitioning
-        customers = t.id_customers.repartition(7, F.xxhash64("customer_id"))
-        screening = I.screen(customers, t.id_advances.repartition(5))
-        return once.exceptAll(I.customer_map(screening, I.grouped(screening, t.id_manual)).select("customer_id", "canonical_customer_id"))
+        return publish.refused_edges(_resolve(t)[0], t.id_manual)
 
-    @q.add("er_truth_isolated", "SELECT column_name FROM (VALUES ('person_id')) v(column_name) WHERE false")
+    @q.add("er_truth_isolated", WITH + "SELECT count(*) AS customers, 0::BIGINT AS rows_that_differ FROM resolved")
     def _(t: Inputs):
-        _, members = _resolve(t)
-        return t.spark.createDataFrame([(c,) for c in members.columns if "person" in c], "column_name string")
+        # resolution of customers who carry a false truth with them is the same: nothing reads it
+        plain, false = (I.customer_map(s, I.grouped(s, t.id_manual)) for s in (I.screen(c, t.id_advances) for c in (t.id_customers, t.id_customers.withColumn("person_id", F.lit(1)))))
+        differ = plain.exceptAll(false.select(*plain.columns)).agg(F.count("*").alias("rows_that_differ"))
+        return false.agg(F.count("*").alias("customers")).crossJoin(differ)  # a row each
 
 
 def _scoring(q: Catalogue) -> None:

@@ -13,7 +13,7 @@ KEYED = {"orders": "o_orderkey", "events": "event_id", "customer": "c_custkey"}
 
 
 def _duck_key_parity(name: str, key: str) -> str:
-    return f"""SELECT kind, count(*) AS n, CAST(sum(k) AS BIGINT) AS key_sum, min(k) AS key_min, max(k) AS key_max FROM (
+    return f"""SELECT kind, count(*) AS n, CAST(sum(k) AS VARCHAR) AS key_sum, min(k) AS key_min, max(k) AS key_max FROM (
         SELECT coalesce(s.{key}, m.{key}) AS k, CASE WHEN m.{key} IS NULL THEN 'missing' WHEN s.{key} IS NULL THEN 'extra' ELSE 'matched' END AS kind FROM {name} s FULL JOIN @mirror_{name} m ON s.{key} = m.{key}) x GROUP BY kind"""
 
 
@@ -33,7 +33,7 @@ def register(q: Catalogue) -> None:
         def _(t: Inputs, name=name):
             return C.value_parity(getattr(t, name), getattr(t, f"mirror_{name}"))
 
-    frozen = "SELECT count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS sum_event_id, CAST(sum(user_id) AS BIGINT) AS sum_user_id FROM {0} WHERE event_id <= 5000"
+    frozen = "SELECT CAST(count(*) AS VARCHAR) AS n_rows, CAST(sum(event_id) AS VARCHAR) AS sum_event_id, CAST(sum(user_id) AS VARCHAR) AS sum_user_id FROM {0} WHERE event_id <= 5000"
     measures = "SELECT 'n_rows' AS measure, s.n_rows AS source_value, m.n_rows AS mirror_value FROM s, m UNION ALL SELECT 'sum_event_id', s.sum_event_id, m.sum_event_id FROM s, m UNION ALL SELECT 'sum_user_id', s.sum_user_id, m.sum_user_id FROM s, m"
 
     @q.add("rc_append_only", f"WITH s AS ({frozen.format('events')}), m AS ({frozen.format('@mirror_events')}) SELECT *, CASE WHEN source_value IS NOT DISTINCT FROM mirror_value THEN 'PASS' ELSE 'FAIL' END AS verdict FROM ({measures}) x")
@@ -68,19 +68,32 @@ def register(q: Catalogue) -> None:
         both = s.intersect(m).withColumn("side", F.lit("both"))
         return both.unionByName(s.subtract(m).withColumn("side", F.lit("source_only"))).unionByName(m.subtract(s).withColumn("side", F.lit("mirror_only")))
 
+    # what run_scorecard asks, check by check
     parts = [f"SELECT 'key_parity_{n}' AS check_name, CASE WHEN count(*) FILTER (kind <> 'matched') > 0 THEN 'FAIL' ELSE 'PASS' END AS verdict FROM ({_duck_key_parity(n, k)}) x" for n, k in KEYED.items()]
-    parts += [f"SELECT 'referential_orders', CASE WHEN count(*) FILTER (verdict = 'FAIL') > 0 THEN 'FAIL' WHEN count(*) > 0 THEN 'SOURCE-DIRTY' ELSE 'PASS' END FROM ({referential}) y"]
+    parts += [f"SELECT 'value_parity_{n}', CASE WHEN count(*) FILTER (verdict = 'FAIL') > 0 THEN 'FAIL' ELSE 'PASS' END FROM ({_duck_value_parity(n)}) x" for n in KEYED]
+    old = "SELECT count(*) AS n, sum(event_id) AS total, min(event_id) AS lo, max(event_id) AS hi, max(event_id) - min(event_id) + 1 - count(*) AS gaps, count(*) AS n_rows FROM {0} WHERE event_id <= (SELECT max(event_id) FROM events)"
+    parts += [f"SELECT 'append_only_events', CASE WHEN s.n <> m.n OR s.total <> m.total THEN 'FAIL' ELSE 'PASS' END FROM ({old.format('events')}) s, ({old.format('@mirror_events')}) m"]
+    parts += [f"SELECT 'contiguity_events', {verdict} FROM ({old.format('events')}) s, ({old.format('@mirror_events')}) m"]
+    parts += [f"SELECT 'referential_child_o_custkey', CASE WHEN count(*) FILTER (verdict = 'FAIL') > 0 THEN 'FAIL' WHEN count(*) > 0 THEN 'SOURCE-DIRTY' ELSE 'PASS' END FROM ({referential}) y"]
 
     @q.add("rc_scorecard", " UNION ALL ".join(parts))
     def _(t: Inputs):
-        out = None
-        for n, k in KEYED.items():
-            verdicts = C.key_parity(getattr(t, n), getattr(t, f"mirror_{n}"), k).withColumn("verdict", F.when(F.col("kind") == "matched", C.PASS).otherwise(C.FAIL))
-            one = verdicts.agg(C.worst(verdicts).alias("verdict")).select(F.lit(f"key_parity_{n}").alias("check_name"), "verdict")
-            out = one if out is None else out.unionByName(one)
-        child = t.orphaned_orders
-        told = C.referential(child, child, "o_custkey", t.customer, t.mirror_customer, "c_custkey")
-        return out.unionByName(told.agg(C.worst(told).alias("verdict")).select(F.lit("referential_orders").alias("check_name"), "verdict"))
+        source = {n: getattr(t, n) for n in KEYED} | {"child": t.orphaned_orders}
+        mirror = {n: getattr(t, f"mirror_{n}") for n in KEYED} | {"child": t.orphaned_orders}
+        marks = {"events": t.events.agg(F.max("event_id")).first()[0]}
+        card = C.run_scorecard(source, mirror, KEYED, marks, [("child", "o_custkey", "customer", "c_custkey")])
+        return t.spark.createDataFrame([x[:2] for x in card.outcomes], "check_name string, verdict string")
+
+    drifted = "SELECT sum(user_id) AS was, sum(user_id) + " + str(sum(S.REWRITES)) + " AS became FROM events"
+
+    @q.add("rc_break_checks", f"SELECT 'key_parity_events' AS check_name, 'PASS' AS verdict UNION ALL SELECT 'value_parity_events', CASE WHEN was <> became THEN 'FAIL' ELSE 'PASS' END FROM ({drifted}) UNION ALL SELECT 'append_only_events', 'PASS' UNION ALL SELECT 'contiguity_events', 'PASS'")
+    def _(t: Inputs):
+        # two old rows rewritten in the source: no run reads them, and only the sums of values tell
+        mark = t.events.agg(F.max("event_id")).first()[0]
+        picked = [r[0] for r in S.pick_rows(t.events, "event_id", "user_id", mark).collect()]
+        changed = S.rewrite(t.events, "event_id", "user_id", dict(zip(picked, S.REWRITES, strict=True)))
+        card = C.run_scorecard({"events": changed}, {"events": t.events}, {"events": "event_id"}, {"events": mark}, [])
+        return t.spark.createDataFrame([x[:2] for x in card.outcomes], "check_name string, verdict string")
 
     cents = "CAST(sum(CAST(round({0} * 100) AS BIGINT)) AS BIGINT)"
     changed = "CASE o_orderkey WHEN 1 THEN o_totalprice + 500.0 WHEN 2 THEN o_totalprice - 123.45 ELSE o_totalprice END"

@@ -29,10 +29,10 @@ def _scans(q: Catalogue) -> None:
         # a generator of fixed size, so one partition is enough
         return t.spark.range(1, 1001).select(F.col("id").alias("n")).withColumn("back", F.row_number().over(Window.orderBy(F.desc("n"))).cast("long"))
 
-    @q.add("src_unmanaged_tables", f"SELECT name FROM (VALUES {', '.join(f'({x!r})' for x in ('customer', 'orders', 'events', 'part', 'supplier', 'labels'))}) v(name) WHERE name NOT IN ({', '.join(repr(x) for x in MANIFEST.names)})")
+    @q.add("src_unmanaged_tables", f"SELECT name FROM (VALUES {', '.join(f'({x!r})' for x in ('customer', 'orders', 'events', 'part', 'supplier', 'labels'))}) v(name) WHERE name NOT IN ({', '.join(repr(x) for x in (*MANIFEST.names, *MANIFEST.excluded))})")
     def _(t: Inputs):
-        found = t.spark.createDataFrame([(x,) for x in ("customer", "orders", "events", "part", "supplier", "labels")], "name string")
-        return found.join(t.spark.createDataFrame([(x,) for x in MANIFEST.names], "name string"), "name", "left_anti")
+        found = MANIFEST.unmanaged(["customer", "orders", "events", "part", "supplier", "labels"])
+        return t.spark.createDataFrame([(x,) for x in found], "name string")
 
     nulls = " UNION ALL ".join(f"SELECT '{tab}' AS table_name, '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS nulls FROM @{tab}" for tab, c in (("labels", "quality"), ("labels", "toxic"), ("documents", "text"), ("documents", "lang"), ("id_customers", "email"), ("id_customers", "ssn_last4"), ("id_customers", "updated_at")))
 
@@ -100,7 +100,7 @@ def _joins(q: Catalogue) -> None:
         top = t.customer.orderBy(F.desc("c_acctbal"), "c_custkey").limit(20).select("c_custkey")
         return t.orders.join(F.broadcast(top), F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("o_orderkey", "o_custkey")
 
-    @q.add("jn_theta_expand", "SELECT c_custkey, n FROM customer JOIN range(1, 5) r(n) ON n <= c_custkey % 4 + 1 QUALIFY row_number() OVER (ORDER BY n, c_custkey) <= 1000000")
+    @q.add("jn_theta_expand", "SELECT c_custkey, n FROM customer JOIN range(1, 5) r(n) ON n <= c_custkey % 4 + 1")
     def _(t: Inputs):
         return t.customer.select("c_custkey", F.explode(F.sequence(F.lit(1).cast("long"), F.col("c_custkey") % 4 + 1)).alias("n"))
 
@@ -109,9 +109,9 @@ def _joins(q: Catalogue) -> None:
         # 5 x 25 rows, a fixed product
         return t.region.crossJoin(F.broadcast(t.nation)).select("r_name", "n_name")
 
-    @q.add("jn_asof_forward", "SELECT event_id, user_id, (SELECT min(c_custkey) FROM customer WHERE c_custkey >= user_id AND c_custkey % 7 = 0) AS next_key FROM events")
+    @q.add("jn_asof_forward", "SELECT event_id, user_id, (SELECT min(c_custkey) FROM @mirror_customer m WHERE m.c_custkey >= user_id) AS next_key FROM events")
     def _(t: Inputs):
-        return next_key(t.events.select("event_id", "user_id"), "user_id", t.customer.where("c_custkey % 7 = 0").select("c_custkey"), "c_custkey", "next_key")
+        return next_key(t.events.select("event_id", "user_id"), "user_id", t.mirror_customer.select("c_custkey"), "c_custkey", "next_key")
 
     @q.add("jn_scalar_lookup", "SELECT o_orderkey, (SELECT n_name FROM nation WHERE n_nationkey = o_orderkey % 30) AS picked FROM orders")
     def _(t: Inputs):
@@ -162,7 +162,7 @@ def _joins(q: Catalogue) -> None:
 def _aggregates(q: Catalogue) -> None:
     keyed = {"customer": "c_custkey", "orders": "o_orderkey", "events": "event_id", "supplier": "s_suppkey", "part": "p_partkey"}
 
-    @q.add("agg_key_scalars", " UNION ALL ".join(f"SELECT '{x}' AS table_name, count(*) AS n_rows, CAST(sum({k}) AS BIGINT) AS key_sum, min({k}) AS key_min, max({k}) AS key_max FROM {x}" for x, k in keyed.items()))
+    @q.add("agg_key_scalars", " UNION ALL ".join(f"SELECT '{x}' AS table_name, count(*) AS n_rows, CAST(sum({k}) AS VARCHAR) AS key_sum, min({k}) AS key_min, max({k}) AS key_max FROM {x}" for x, k in keyed.items()))
     def _(t: Inputs):
         parts = [A.key_scalars(getattr(t, x), k).select(F.lit(x).alias("table_name"), "*") for x, k in keyed.items()]
         out = parts[0]
@@ -176,7 +176,7 @@ def _aggregates(q: Catalogue) -> None:
         def _(t: Inputs, name=name):
             return A.type_directed(getattr(t, name))
 
-    @q.add("agg_frozen_sums", "SELECT count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS sum_event_id, CAST(sum(user_id) AS BIGINT) AS sum_user_id FROM events WHERE event_id <= 700")
+    @q.add("agg_frozen_sums", "SELECT count(*) AS n_rows, CAST(sum(event_id) AS VARCHAR) AS sum_event_id, CAST(sum(user_id) AS VARCHAR) AS sum_user_id FROM events WHERE event_id <= 700")
     def _(t: Inputs):
         return A.frozen_sums(t.events, "event_id", 700, ["event_id", "user_id"])
 
@@ -253,9 +253,9 @@ def _windows(q: Catalogue) -> None:
 
         return pick_rows(t.orders, "o_orderkey", "o_totalprice", 5000)
 
-    @q.add("topk_id_sample", "SELECT o_orderstatus, array_to_string(list_sort(list(o_orderkey))[1:12], ',') AS sample, count(*) AS n FROM orders WHERE o_orderkey % 997 = 13 GROUP BY o_orderstatus")
+    @q.add("topk_id_sample", "SELECT o_orderstatus, array_to_string(list_sort(list(o_orderkey))[1:12], ',') AS sample, count(*) AS n FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM @mirror_orders) GROUP BY o_orderstatus")
     def _(t: Inputs):
-        return A.id_sample(t.orders.where("o_orderkey % 997 = 13"), "o_orderstatus", "o_orderkey", 12)
+        return A.id_sample(t.orders.join(t.mirror_orders.select("o_orderkey"), "o_orderkey", "left_anti"), "o_orderstatus", "o_orderkey", 12)
 
     @q.add("topk_slot_cap", "SELECT c_custkey, slot FROM (SELECT c_custkey, n AS slot, row_number() OVER (ORDER BY n, c_custkey) AS rn FROM customer JOIN range(1, 4) r(n) ON n <= c_custkey % 3 + 1) x WHERE rn <= 200")
     def _(t: Inputs):

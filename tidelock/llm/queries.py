@@ -18,7 +18,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark, "op2"))
     return found.select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "spans"
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
     )
 
 
@@ -79,8 +79,60 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 #: DuckDB SQL for those that SQL can express.
 ORACLES: dict[str, str] = {
+    "op2_decontaminate": rf"""
+        WITH item_words AS (
+            SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+        ), phrases AS (
+            SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[k:k + least(len(w), 10) - 1], ' ') AS phrase
+            FROM item_words, range(1, greatest(len(w) - 9, 1) + 1) r(k) WHERE len(w) > 0
+        ), doc_words AS (
+            SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+        ), windows AS (
+            SELECT doc_id, k, n, array_to_string(w[k:k + n - 1], ' ') AS phrase
+            FROM doc_words, (SELECT DISTINCT n FROM phrases) sizes, range(1, len(w) + 1) r(k) WHERE k + n - 1 <= len(w)
+        ), found AS (
+            SELECT d.doc_id, d.k, d.n, p.item FROM windows d JOIN phrases p ON d.n = p.n AND d.phrase = p.phrase
+        ), hits AS (
+            SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS place FROM found) x GROUP BY doc_id
+        ), items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM found) x GROUP BY doc_id
+        )
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc_words d LEFT JOIN hits h ON d.doc_id = h.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id
+    """,
+    "op6_near_duplicates": rf"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(w[k:k + 2], ' ') AS s FROM words, range(1, greatest(len(w) - 2, 1) + 1) r(k) WHERE len(w) > 0
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+        ), links AS (
+            SELECT a, b FROM common c JOIN sizes x ON c.a = x.doc_id JOIN sizes y ON c.b = y.doc_id WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)
+        ), both_ways AS (
+            SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+        ), reached AS (
+            SELECT a AS doc_id, b AS root FROM both_ways WHERE b < a UNION SELECT e.a, r.root FROM both_ways e JOIN reached r ON e.b = r.doc_id WHERE r.root < e.a
+        )
+        SELECT w.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(r.root, w.doc_id) AS component_id, coalesce(r.root, w.doc_id) = w.doc_id AS kept
+        FROM words w LEFT JOIN sizes s ON w.doc_id = s.doc_id LEFT JOIN (SELECT doc_id, min(root) AS root FROM reached GROUP BY doc_id) r ON w.doc_id = r.doc_id
+    """,
+    "op9_warc": r"""
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+        ), told AS (
+            SELECT page_id, octet_length(encode(payload)) AS payload_bytes, max(page_id) OVER (PARTITION BY payload) AS response,
+                array_to_string(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((CAST('0x' || substr(hex, CAST(1 + 5 * (j // 4) AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (j % 4) AS INT)) & 31) AS INT), 1)), '') AS payload_digest
+            FROM payloads
+        )
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> response THEN response END AS refers_to FROM told
+    """,
     "op8_url_filters": r"""
         WITH parts AS (
             SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages

@@ -2,12 +2,16 @@
 
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidelock.operators import identity as I
+from tidelock.operators import publish
+from tidelock.operators import score as S
 from tidelock.operators.asof import next_key
 from tidelock.operators.aggregates import behind_running_max, global_rank
 from tidelock.operators.graph import components
+from tidelock.sources.versions import Store
 
 DAY = datetime.datetime(2024, 1, 1)
 CUSTOMER = "customer_id int, first_name string, last_name string, email string, phone string, ssn_last4 string, date_of_birth date, address_line1 string, created_at timestamp_ntz, updated_at timestamp_ntz"
@@ -110,3 +114,65 @@ def test_signals_keep_their_order(spark):
     row = I.signals(spark.createDataFrame([(1, 2)], "a int, b int"), people, cards).first()
     assert row.signals == "email,phone,address,surname,card_fingerprint"
     assert I.signals(spark.createDataFrame([(1, 2)], "a int, b int"), people.withColumn("email", F.lit("n/a")), cards).first().signals == "phone,address,surname,card_fingerprint"
+
+
+@pytest.fixture
+def tables(spark):
+    people = [person(1), person(2), person(3, ssn="9370"), person(4, email="x+test@post.io", ssn="2468"), person(5, email="qa@corp.internal", ssn="1357")]
+    manual = spark.createDataFrame([(1, 3, "desk"), (3, 4, "desk"), (2, 77, "lead")], "customer_id_a int, customer_id_b int, decided_by string")
+    return spark.createDataFrame(people, CUSTOMER), spark.createDataFrame([(9, 5, "funded", 5.0, "H"), (8, 1, "paid off", 7.0, "K")], ADVANCE), manual
+
+
+def test_a_resolution_is_published_whole_with_its_evidence(spark, tables, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/m")
+    for day in (1, 2):
+        now = publish.resolve(store, *tables, DAY + datetime.timedelta(day))
+    found = {r.customer_id: r for r in store.table(now, "customer_map").collect()}
+    assert {k: r.resolution for k, r in found.items()} == {1: "merged", 2: "merged", 3: "merged", 4: "excluded_test", 5: "singleton"}
+    assert found[1].evidence == "8|paid_off|K" and found[4].evidence == "rules B" and found[2].evidence is None and {(r.run_id, r.resolved_at) for r in found.values()} == {(2, DAY + datetime.timedelta(2))}
+    assert {(r.customer_id_a, r.endpoint, r.decided_by, r.why) for r in store.table(now, "manual_refused").collect()} == {(3, 4, "desk", "excluded_test by rule B"), (2, 77, "lead", "not in the mirror")}
+    runs = {r.run_id: r for r in store.table(now, "identity_run").collect()}
+    assert set(runs) == {1, 2} and (runs[2].customers_in, runs[2].excluded_test, runs[2].groups_formed, runs[2].rows_merged, runs[2].canonical_out, runs[2].review_rows, runs[2].manual_decisions_applied, runs[2].manual_decisions_refused) == (5, 1, 1, 2, 2, 1, 1, 2)
+    assert sorted((r.run_id, r.customer_ids, r.evidence) for r in store.table(now, "merge_review").collect()) == [(1, "5", "5: 9|funded|H"), (2, "5", "5: 9|funded|H")]
+    # a rerun takes the place of its run alone, and older versions stay
+    again = publish.resolve(store, *tables, DAY, run_id=2)
+    assert sorted(r.run_id for r in store.table(again, "identity_run").collect()) == [1, 2] == sorted(r.run_id for r in store.table(again, "merge_review").collect())
+    assert {r.run_id for r in store.table(store.at(1), "customer_map").collect()} == {1}
+
+
+def test_a_map_that_breaks_a_guard_is_not_published(spark, tables, tmp_path, monkeypatch):
+    store = Store(spark, f"file://{tmp_path}/m")
+    before = publish.resolve(store, *tables, DAY)
+    whole = publish.map_rows
+    monkeypatch.setattr(publish, "map_rows", lambda *a: whole(*a).where("customer_id <> 3"))
+    with pytest.raises(publish.PublishRefused, match="rows_equal_mirror"):
+        publish.resolve(store, *tables, DAY)
+    assert store.current() == before
+
+
+def test_birthdays_after_the_day_of_a_run_are_no_evidence(spark):
+    people = [person(1, dob=datetime.date(2027, 1, 1)), person(2, dob=datetime.date(2027, 1, 1))]
+    tables = spark.createDataFrame(people, CUSTOMER), spark.createDataFrame([], ADVANCE), spark.createDataFrame([], MANUAL)
+    for latest, merged in (("2026-12-31", 0), ("2027-06-01", 1)):
+        variant = I.Variant(latest_birthday=latest)
+        members = I.grouped(I.screen(*tables[:2], variant), tables[2], variant)
+        assert I.decided(members).where("size > 1").count() == merged
+
+
+def test_missed_pairs_name_what_kept_them_apart_and_ablations_their_price(spark):
+    people = [person(1), person(2, ssn="9370"), person(3, "Ek", ssn=None), person(4, "Ek"), person(5, "Tester", ssn="2468")]
+    truth = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, "b"), (5, "c")], "customer_id int, person_id string")
+    found, screening, members = resolve(spark, people)
+    table = I.customer_map(screening, members)
+    missed = S.missed_pairs(table, members, screening.population.select("customer_id"), truth)
+    assert {(r.a, r.b): (r.cause, r.blocking) for r in missed.collect()} == {(1, 2): ("tuples disagree", "ssn"), (3, 4): ("no proof tuple", "ssn")}
+    tables = spark.createDataFrame(people, CUSTOMER), spark.createDataFrame([], ADVANCE), spark.createDataFrame([], MANUAL)
+    prices = {r.variant: r for r in S.prices(*S.scored_variants(*tables, truth)).collect()}
+    assert prices["naive detector"].price == "1 customers not scored" and prices["first name added"].price == "no change on these rows"
+
+
+def test_a_group_too_large_to_pair_is_an_error(spark):
+    rows = spark.createDataFrame([(1, k) for k in range(6)] + [(2, 9)], "g int, m int")
+    assert I.group_pairs(rows, "g", "m", most=6).count() == 15
+    with pytest.raises(Exception, match="6 members, which are not paired beyond 5"):
+        I.group_pairs(rows, "g", "m", most=5).count()

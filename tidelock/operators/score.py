@@ -7,6 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import normalize as N
 from ..functions.scalars import ratio
 from . import identity as I
 
@@ -90,10 +91,16 @@ def prices(scores: DataFrame, populations: DataFrame) -> DataFrame:
     return out.select("variant", "customers_lost", "customers_gained", "wrong_more", "missed_more", F.when(words == "", "no change on these rows").otherwise(words).alias("price"))
 
 
-def miss_causes(resolved: DataFrame, members: DataFrame, population: DataFrame, truth: DataFrame) -> DataFrame:
-    """Why true pairs were not proposed: the causes part all misses."""
+def missed_pairs(resolved: DataFrame, members: DataFrame, population: DataFrame, truth: DataFrame) -> DataFrame:
+    """Each true pair that was not proposed: its cause, which the fields that kept it apart stand behind.
+
+    blocking: the parts of the proof that are no evidence on a side, or differ; of a refused pair the reason.
+    """
     missed = truth_pairs(population, truth).subtract(map_pairs(resolved))
-    side = lambda s: members.select(F.col("customer_id").alias(s), F.col("key").alias(f"key_{s}"), F.col("root").alias(f"root_{s}"), F.lit(True).alias(f"in_{s}"))
+    proof = {"ssn": N.ssn_last4(F.col("ssn_last4")), "dob": N.birthday(F.col("date_of_birth")), "last_name": N.name(F.col("last_name"))}
+    told = members.withColumns({f"_{k}": v for k, v in proof.items()})
+    evidence = {k: F.when(N.is_evidence(F.col(f"_{k}")), F.col(f"_{k}.normalized")) for k in proof}
+    side = lambda s: told.select(F.col("customer_id").alias(s), F.col("key").alias(f"key_{s}"), F.col("root").alias(f"root_{s}"), F.lit(True).alias(f"in_{s}"), *[v.alias(f"{k}_{s}") for k, v in evidence.items()])
     refused = I.decided(members).where("reason is not null").select(F.col("root").alias("root_a"), "reason")
     told = missed.join(side("a"), "a", "left").join(side("b"), "b", "left").join(refused, "root_a", "left")
     cause = (
@@ -103,7 +110,14 @@ def miss_causes(resolved: DataFrame, members: DataFrame, population: DataFrame,
         .when(F.col("reason").isNotNull(), "refused")
         .otherwise("unexplained")
     )
-    return told.groupBy(cause.alias("cause")).agg(F.count("*").alias("n"))
+    apart = F.concat_ws(",", *[F.when(~F.coalesce(F.col(f"{k}_a") == F.col(f"{k}_b"), F.lit(False)), F.lit(k)) for k in proof])
+    blocking = F.when(cause == "refused", F.col("reason")).when(cause != "mirror gap", apart)
+    return told.select("a", "b", cause.alias("cause"), blocking.alias("blocking"))
+
+
+def miss_causes(resolved: DataFrame, members: DataFrame, population: DataFrame, truth: DataFrame) -> DataFrame:
+    """Why true pairs were not proposed: the causes part all misses."""
+    return missed_pairs(resolved, members, population, truth).groupBy("cause").agg(F.count("*").alias("n"))
 
 
 def detector(known: DataFrame) -> DataFrame:

@@ -123,6 +123,15 @@ _CTE = f"""
 WITH = f"WITH RECURSIVE {_CTE.strip()}\n"
 
 
+def _signals() -> str:
+    """The weak signals of rows x and y of customers, as SQL."""
+    agree = lambda f, c: f"CASE WHEN {f(f'x.{c}')[0]} = {f(f'y.{c}')[0]} THEN "
+    return (
+        f"concat_ws(',', {agree(_email, 'email')} 'email' END, {agree(_phone, 'phone')} 'phone' END, {agree(_name, 'address_line1')} 'address' END, {agree(_name, 'last_name')} 'surname' END, "
+        "CASE WHEN EXISTS (SELECT 1 FROM @id_cards p JOIN @id_cards r ON lower(trim(p.card_fingerprint)) = lower(trim(r.card_fingerprint)) WHERE p.customer_id = x.customer_id AND r.customer_id = y.customer_id) THEN 'card_fingerprint' END)"
+    )
+
+
 #: The clock of published resolutions.
 AT = datetime(2026, 8, 18, 12)
 
@@ -223,13 +232,7 @@ def _resolution(q: Catalogue) -> None:
     def _(t: Inputs):
         return I.review_queue(*_resolve(t))
 
-    agree = lambda f, c: f"CASE WHEN {f(f'x.{c}')[0]} = {f(f'y.{c}')[0]} THEN "
-    signals = (
-        f"concat_ws(',', {agree(_email, 'email')} 'email' END, {agree(_phone, 'phone')} 'phone' END, {agree(_name, 'address_line1')} 'address' END, {agree(_name, 'last_name')} 'surname' END, "
-        "CASE WHEN EXISTS (SELECT 1 FROM @id_cards p JOIN @id_cards r ON lower(trim(p.card_fingerprint)) = lower(trim(r.card_fingerprint)) WHERE p.customer_id = x.customer_id AND r.customer_id = y.customer_id) THEN 'card_fingerprint' END)"
-    )
-
-    @q.add("er_signals", f"SELECT x.customer_id AS a, y.customer_id AS b, {signals} AS signals FROM @id_customers x JOIN @id_customers y ON y.customer_id = x.customer_id + 1 WHERE x.t >= 0 AND NOT x.twin")
+    @q.add("er_signals", f"SELECT x.customer_id AS a, y.customer_id AS b, {_signals()} AS signals FROM @id_customers x JOIN @id_customers y ON y.customer_id = x.customer_id + 1 WHERE x.t >= 0 AND NOT x.twin")
     def _(t: Inputs):
         pairs = t.id_customers.where("t >= 0 and not twin").select(F.col("customer_id").alias("a"), (F.col("customer_id") + 1).alias("b"))
         return I.signals(pairs, t.id_customers, t.id_cards)
@@ -350,6 +353,29 @@ def _scoring(q: Catalogue) -> None:
         screening, members = _resolve(t)
         return S.miss_causes(I.customer_map(screening, members), members, screening.population.select("customer_id"), t.id_truth)
 
+    apart = "concat_ws(',', " + ", ".join(f"CASE WHEN coalesce(x.{c} = y.{c}, false) THEN NULL ELSE '{k}' END" for k, c in (("ssn", "n_ssn"), ("dob", "n_dob"), ("last_name", "n_last"))) + ")"
+    missed = f"""SELECT a, b, cause, CASE WHEN cause = 'refused' THEN reason WHEN cause <> 'mirror gap' THEN apart END AS blocking, signals FROM (
+        SELECT m.a, m.b, CASE WHEN x.customer_id IS NULL OR y.customer_id IS NULL THEN 'mirror gap' WHEN x.key IS NULL OR y.key IS NULL THEN 'no proof tuple' WHEN x.key <> y.key THEN 'tuples disagree' WHEN d.reason IS NOT NULL THEN 'refused' ELSE 'unexplained' END AS cause,
+            d.reason, {apart} AS apart, {_signals()} AS signals FROM (SELECT * FROM truth EXCEPT SELECT * FROM proposed) m LEFT JOIN members x ON m.a = x.customer_id LEFT JOIN members y ON m.b = y.customer_id LEFT JOIN decided d ON d.root = x.root) z"""
+
+    @q.add("sc_missed_pairs", WITH + missed)
+    def _(t: Inputs):
+        screening, members = _resolve(t)
+        found = S.missed_pairs(I.customer_map(screening, members), members, screening.population.select("customer_id"), t.id_truth)
+        return found.join(I.signals(found.select("a", "b"), t.id_customers, t.id_cards), ["a", "b"])
+
+    scored = " UNION ALL ".join(ablation(k, v) for k, v in S.ABLATIONS.items())
+    naive = "coalesce(contains(lower(concat_ws(' ', first_name, last_name, email)), 'test'), false)"
+    clause = lambda n, text: f"CASE WHEN {n} > 0 THEN CAST({n} AS VARCHAR) || ' {text}' END"
+    words = f"concat_ws(', ', {clause('customers_lost', 'customers not scored')}, {clause('customers_gained', 'customers scored besides')}, {clause('wrong_more', 'wrong pairs more')}, {clause('-wrong_more', 'wrong pairs fewer')}, {clause('missed_more', 'true pairs lost')}, {clause('-missed_more', 'true pairs found')})"
+    priced = f"""SELECT variant, customers_lost, customers_gained, wrong_more, missed_more, CASE WHEN {words} = '' THEN 'no change on these rows' ELSE {words} END AS price FROM (
+        SELECT v.variant, CASE WHEN v.variant = 'naive detector' THEN p.lost ELSE 0 END AS customers_lost, CASE WHEN v.variant = 'naive detector' THEN p.gained ELSE 0 END AS customers_gained, v.wrong - s.wrong AS wrong_more, v.missed - s.missed AS missed_more
+        FROM ({scored}) v, (SELECT * FROM ({scored}) u WHERE variant = 'shipped') s, (WITH RECURSIVE {_CTE.strip()} SELECT count(*) FILTER ({naive} AND NOT is_test) AS lost, count(*) FILTER (is_test AND NOT {naive}) AS gained FROM screened) p WHERE v.variant <> 'shipped') z"""
+
+    @q.add("sc_prices", priced)
+    def _(t: Inputs):
+        return S.prices(*S.scored_variants(t.id_customers, t.id_advances, t.id_manual, t.id_truth))
+
     @q.add("sc_detector", WITH + "SELECT count(*) FILTER (naive) AS naive_flagged, count(*) FILTER (naive AND rules <> '') AS naive_right, count(*) FILTER (rules <> '') AS shipped_flagged FROM (SELECT rules, coalesce(contains(lower(concat_ws(' ', first_name, last_name, email)), 'test'), false) AS naive FROM known) x")
     def _(t: Inputs):
         return S.detector(I.classify(t.id_customers, t.id_advances))

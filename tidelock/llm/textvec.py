@@ -79,7 +79,7 @@ def steps(batches, column: str, limit: int = STEP_BYTES) -> Iterator[tuple[pa.Re
     for batch in batches:
         for at, end, data, offsets in text_steps(batch.column(batch.schema.get_field_index(column)), limit):
             yield batch.slice(at, end - at), data, offsets
-    give_back()
+        give_back()
 
 
 @cache

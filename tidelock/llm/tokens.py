@@ -38,11 +38,11 @@ FAR_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9
 #: A vocabulary file is sent to the tasks; a larger one is refused.
 VOCABULARY_BYTES = 64 << 20
 #: Pieces whose ids a task remembers.
-REMEMBERED = 2_500_000
+REMEMBERED = 1_500_000
 #: Texts or pieces in a call of the library.
 LIBRARY_TEXTS = 2048
 #: Bytes of text that are cut into pieces at once: the more, the more of them are repeats.
-ENCODE_BYTES = 3 << 20
+ENCODE_BYTES = 2 << 20
 #: Ids in a shard, at most, but for a single longer document.
 SHARD_IDS = 16 << 20
 #: Documents whose places a reading task looks up at once.
@@ -114,20 +114,24 @@ class Encoder:
         new = np.flatnonzero(self.keys[at] != keys) if len(self.keys) else np.arange(len(keys))
         if not len(new):
             return
-        ids = self._library([data[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
-        sizes = np.fromiter(map(len, ids), np.uint32, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        parts = [(np.zeros(0, np.uint32), np.zeros(0, np.uint32))]
+        for k in range(0, len(new), LIBRARY_TEXTS):
+            some = new[k : k + LIBRARY_TEXTS]
+            ids = self._library([data[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist(), strict=True)])
+            parts.append((np.fromiter(map(len, ids), np.uint32, len(ids)), np.fromiter(chain.from_iterable(ids), np.uint32)))
+        sizes, flat = (np.concatenate(x) for x in zip(*parts, strict=True))
         if self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate((self.pool, np.zeros(max(len(flat), len(self.pool) // 2), np.uint32)))
         self.pool[self.used : self.used + len(flat)] = flat
         begin = self.used + np.cumsum(sizes, dtype=np.int64) - sizes
         self.used += len(flat)
-        both = np.concatenate((self.keys, keys[new]))
-        order = np.argsort(both, kind="stable")
-        self.keys = both[order]
-        self.checks = np.concatenate((self.checks, checks[new]))[order]
-        self.start = np.concatenate((self.start, begin.astype(np.uint32)))[order]
-        self.size = np.concatenate((self.size, sizes))[order]
+        # one array after another, so that few copies are held at once
+        self.keys = np.concatenate((self.keys, keys[new]))
+        order = np.argsort(self.keys, kind="stable").astype(np.uint32)
+        for name, more in (("keys", None), ("checks", checks[new]), ("start", begin.astype(np.uint32)), ("size", sizes)):
+            whole = getattr(self, name) if more is None else np.concatenate((getattr(self, name), more))
+            setattr(self, name, whole[order])
+            del whole
 
     def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and the offsets at which each text's ids begin."""

@@ -9,6 +9,7 @@ from ..functions import normalize as N
 from ..functions.scalars import canonical_scalar, hash_order, ratio
 from ..operators import aggregates as A
 from ..operators.asof import next_key
+from ..operators.identity import group_pairs
 from ..sources.manifest import MANIFEST
 from .registry import Catalogue, Inputs
 
@@ -137,10 +138,12 @@ def _joins(q: Catalogue) -> None:
 
         return value_diff(t.orders, t.mirror_orders, "o_orderkey", "o_totalprice")
 
-    @q.add("jn_collect_index", "SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS keys, count(*) AS n FROM orders GROUP BY o_custkey")
+    @q.add("jn_collect_index", "SELECT o_custkey, part, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS keys, count(*) AS n FROM (SELECT o_custkey, o_orderkey, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 1000 AS part FROM orders) x GROUP BY o_custkey, part")
     def _(t: Inputs):
+        # lists of at most 1,000 keys, so that no customer's orders are one value
+        ranked = t.orders.select("o_custkey", "o_orderkey", F.floor((F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1) / 1000).alias("part"))
         keys = F.transform(F.array_sort(F.collect_list("o_orderkey")), lambda x: x.cast("string"))
-        return t.orders.groupBy("o_custkey").agg(F.concat_ws(",", keys).alias("keys"), F.count("*").alias("n"))
+        return ranked.groupBy("o_custkey", "part").agg(F.concat_ws(",", keys).alias("keys"), F.count("*").alias("n"))
 
     @q.add("jn_star_edges", "SELECT d.doc_id, g.least FROM documents d JOIN (SELECT md5(text) AS h, min(doc_id) AS least FROM documents GROUP BY 1 HAVING count(*) > 1) g ON md5(d.text) = g.h WHERE d.doc_id <> g.least")
     def _(t: Inputs):
@@ -150,8 +153,6 @@ def _joins(q: Catalogue) -> None:
 
     @q.add("jn_group_pairs", "SELECT x.customer_id AS a, y.customer_id AS b FROM @id_truth x JOIN @id_truth y ON x.person_id = y.person_id AND x.customer_id < y.customer_id")
     def _(t: Inputs):
-        from ..operators.identity import group_pairs
-
         return group_pairs(t.id_truth, "person_id", "customer_id")
 
     @q.add("jn_map_indirection", "SELECT c.card_id, m.person_id AS canonical FROM @id_cards c JOIN @id_truth m ON c.customer_id = m.customer_id")
@@ -269,15 +270,16 @@ def _windows(q: Catalogue) -> None:
 
 def _sets(q: Catalogue) -> None:
     pairs = "SELECT d.doc_id AS a, g.least AS b FROM documents d JOIN (SELECT md5(text) AS h, min(doc_id) AS least FROM documents GROUP BY 1) g ON md5(d.text) = g.h WHERE d.doc_id <> g.least"
-    same = "SELECT x.doc_id AS a, y.doc_id AS b FROM (SELECT doc_id, source, n_chars, lang FROM documents) x JOIN documents y ON x.source = y.source AND x.n_chars = y.n_chars AND x.lang = y.lang AND x.doc_id > y.doc_id"
+    same = "SELECT x.doc_id AS a, g.b FROM documents x JOIN (SELECT source, n_chars, lang, min(doc_id) AS b FROM documents GROUP BY 1, 2, 3) g ON x.source = g.source AND x.n_chars = g.n_chars AND x.lang = g.lang WHERE x.doc_id <> g.b"
 
     @q.add("set_pairs_partition", f"WITH p AS ({pairs}), t AS ({same}) SELECT 'correct' AS kind, a, b FROM (SELECT * FROM p INTERSECT SELECT * FROM t) UNION ALL SELECT 'wrong', a, b FROM (SELECT * FROM p EXCEPT SELECT * FROM t) UNION ALL SELECT 'missed', a, b FROM (SELECT * FROM t EXCEPT SELECT * FROM p)")
     def _(t: Inputs):
         docs = t.documents.select("doc_id", "source", "n_chars", "lang", F.md5("text").alias("h"))
         least = docs.groupBy("h").agg(F.min("doc_id").alias("b"))
         p = docs.join(least, "h").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b")
-        x, y = docs.select(F.col("doc_id").alias("a"), "source", "n_chars", "lang"), docs.select(F.col("doc_id").alias("b"), "source", "n_chars", "lang")
-        truth = x.join(y, ["source", "n_chars", "lang"]).where("a > b").select("a", "b")
+        # stars around the least member of a group, never its pairs
+        traits = ["source", "n_chars", "lang"]
+        truth = docs.join(docs.groupBy(*traits).agg(F.min("doc_id").alias("b")), traits).where("doc_id <> b").select(F.col("doc_id").alias("a"), "b")
         kind = F.when(F.col("p").isNotNull() & F.col("t").isNotNull(), "correct").when(F.col("t").isNull(), "wrong").otherwise("missed")
         return p.distinct().withColumn("p", F.lit(1)).join(truth.distinct().withColumn("t", F.lit(1)), ["a", "b"], "full_outer").select(kind.alias("kind"), "a", "b")
 
@@ -294,7 +296,7 @@ def _sets(q: Catalogue) -> None:
     @q.add("set_instrument_overlap", "SELECT DISTINCT x.customer_id AS a, y.customer_id AS b FROM @id_cards x JOIN @id_cards y ON lower(x.card_fingerprint) = lower(y.card_fingerprint) AND x.customer_id < y.customer_id")
     def _(t: Inputs):
         c = t.id_cards.select("customer_id", F.lower("card_fingerprint").alias("f"))
-        return c.select("f", F.col("customer_id").alias("a")).join(c.select("f", F.col("customer_id").alias("b")), "f").where("a < b").select("a", "b").distinct()
+        return group_pairs(c, "f", "customer_id").distinct()
 
     @q.add("set_unique_guard", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1")
     def _(t: Inputs):

@@ -11,6 +11,7 @@ from tidelock.operators import score as S
 from tidelock.operators.asof import next_key
 from tidelock.operators.aggregates import behind_running_max, global_rank
 from tidelock.operators.graph import components
+from tidelock.sources.bookkeeping import decide, decisions
 from tidelock.sources.versions import Store
 
 DAY = datetime.datetime(2024, 1, 1)
@@ -140,6 +141,16 @@ def test_a_resolution_is_published_whole_with_its_evidence(spark, tables, tmp_pa
     assert {r.run_id for r in store.table(store.at(1), "customer_map").collect()} == {1}
 
 
+def test_recorded_decisions_reach_a_resolution(spark, tables, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/m")
+    assert decisions(store).count() == 0
+    decide(store, 5, 3, "desk", DAY), decide(store, 3, 5, "lead", DAY, "again")
+    assert [(r.customer_id_a, r.customer_id_b, r.decided_by, r.note) for r in decisions(store).collect()] == [(3, 5, "lead", "again")]
+    now = publish.resolve(store, *tables[:2], decisions(store).select(*tables[2].columns), DAY)
+    assert {r.customer_id: r.rule for r in store.table(now, "customer_map").collect()}[3] == "manual_merge"
+    assert {(r.side, r.customer_id) for r in publish.coverage(store.table(now, "customer_map").where("customer_id <> 2"), tables[0].where("customer_id <> 4")).collect()} == {("not in the map", 2), ("not in the mirror", 4)}
+
+
 def test_a_map_that_breaks_a_guard_is_not_published(spark, tables, tmp_path, monkeypatch):
     store = Store(spark, f"file://{tmp_path}/m")
     before = publish.resolve(store, *tables, DAY)

@@ -8,6 +8,7 @@
     python -m tidelock.cli runs MIRROR            the run log
     python -m tidelock.cli reset MIRROR [TABLE..] forgets tables and their marks
     python -m tidelock.cli resolve TABLES MIRROR  resolves the derived population and publishes the map
+    python -m tidelock.cli decide MIRROR A B WHO  records that customers A and B are one person
     python -m tidelock.cli score TABLES           precision and recall, ablations and what each costs
     python -m tidelock.cli demo TABLES FOLDER     four runs and resolutions with two days of churn, checks and breaks
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from .operators import checks, churn, identity, publish, scenario, score
 from .operators.apply import RunStats, load, reset
 from .plans.registry import Inputs
-from .sources.bookkeeping import create_schema, require
+from .sources.bookkeeping import create_schema, decide, decisions, require
 from .sources.capture import Snapshot
 from .sources.gateway import connect
 from .sources.manifest import CHANGE_FEED, MANIFEST
@@ -126,7 +127,8 @@ def break_demo(source: Store, mirror: Store) -> bool:
 
 def resolve(spark: SparkSession, tables: str, mirror: str, at: datetime | None = None) -> Store:
     store, t = Store(spark, mirror), Inputs(spark, tables)
-    publish.resolve(store, t.id_customers, t.id_advances, t.id_manual, at or datetime.now(timezone.utc).replace(tzinfo=None))
+    recorded = decisions(store).select(*[F.col(c).cast("int").alias(c) for c in ("customer_id_a", "customer_id_b")], "decided_by")
+    publish.resolve(store, t.id_customers, t.id_advances, t.id_manual.unionByName(recorded).dropDuplicates(["customer_id_a", "customer_id_b"]), at or datetime.now(timezone.utc).replace(tzinfo=None))
     return store
 
 
@@ -163,7 +165,7 @@ def format_score(spark: SparkSession, tables: str) -> str:
 
 
 def main(args: list[str]) -> int:
-    needs = {"build": 2, "churn": 2, "load": 2, "check": 2, "break": 2, "runs": 1, "reset": 1, "resolve": 2, "score": 1, "demo": 2}
+    needs = {"build": 2, "churn": 2, "load": 2, "check": 2, "break": 2, "runs": 1, "reset": 1, "resolve": 2, "decide": 4, "score": 1, "demo": 2}
     if not args or args[0] not in needs or len(args) <= needs[args[0]]:
         print(__doc__)
         return 2
@@ -192,6 +194,8 @@ def run(spark: SparkSession, command: str, *args: str) -> int:
         print(format_rows(mirror.table(mirror.current(), "_load_run").orderBy("run_id", "table_name")))
     elif command == "reset":
         reset(Store(spark, args[0]), *args[1:])
+    elif command == "decide":
+        decide(Store(spark, args[0]), int(args[1]), int(args[2]), args[3], datetime.now(timezone.utc).replace(tzinfo=None))
     elif command == "resolve":
         store = resolve(spark, args[0], settings.mirror)
         print(format_resolution(store, store.current()))

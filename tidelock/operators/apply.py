@@ -131,6 +131,11 @@ def _delta(snapshot: Snapshot, spec: TableSpec, before: int | None) -> tuple[str
     return "high_water", (before or 0) if ceiling is None else max(ceiling, before or 0), snapshot.window(spec, before, ceiling).withColumn("_op", F.lit("I"))
 
 
+def run_totals(log: DataFrame) -> DataFrame:
+    """Rows read by table, and all of them as TOTAL."""
+    return log.rollup("table_name").agg(F.sum("rows_read").alias("rows_read"), F.count("*").alias("entries")).withColumn("table_name", F.coalesce("table_name", F.lit("TOTAL")))
+
+
 def reset(store: Store, *names: str) -> Version:
     """Forgets the rows and marks of some tables, or of all: the next run reads them from the start.  The run log stays."""
     old = store.current()

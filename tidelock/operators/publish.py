@@ -47,6 +47,13 @@ def review_rows(screening: I.Screening, members: DataFrame, run_id: int, at: dat
     return _as(queue.join(told, "review_id", "left").withColumn("run_id", F.lit(run_id)).withColumn("created_at", F.lit(at).cast("timestamp_ntz")), MERGE_REVIEW)
 
 
+def coverage(resolved: DataFrame, customers: DataFrame) -> DataFrame:
+    """Customers that a published map lacks, and those that it has and the mirror no longer does."""
+    mapped, there = resolved.select(F.col("customer_id").cast("long")), customers.select(F.col("customer_id").cast("long"))
+    lacks = there.join(mapped, "customer_id", "left_anti").select(F.lit("not in the map").alias("side"), "customer_id")
+    return lacks.unionByName(mapped.join(there, "customer_id", "left_anti").select(F.lit("not in the mirror").alias("side"), "customer_id"))
+
+
 def _history(store: Store, name: str, entry: dict | None, rows: DataFrame, run_id: int) -> dict:
     """History with a run's rows; a rerun takes the place of that run alone."""
     if entry and store.read(entry).where(F.col("run_id") == run_id).limit(1).count():

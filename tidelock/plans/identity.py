@@ -285,6 +285,14 @@ def _resolution(q: Catalogue) -> None:
         store = _published(t, 2)
         return store.table(store.current(), "customer_map").select("customer_id", "canonical_customer_id", "is_canonical", "resolution", "rule", "group_key", "survivor_reason", "run_id")
 
+    coverage = "SELECT 'not in the map' AS side, customer_id FROM @id_customers WHERE customer_id NOT IN (SELECT customer_id FROM resolved) UNION ALL SELECT 'not in the mirror', customer_id FROM resolved WHERE customer_id NOT IN (SELECT customer_id FROM later)"
+
+    @q.add("set_map_coverage", WITH.rstrip() + ", later AS (SELECT customer_id FROM @id_customers WHERE customer_id % 13 <> 4)\n" + coverage)
+    def _(t: Inputs):
+        # the map of a run against the mirror after a day that deleted some customers
+        store = _published(t)
+        return publish.coverage(store.table(store.current(), "customer_map"), t.id_customers.where("customer_id % 13 <> 4"))
+
     @q.add("er_identity_runs", WITH + "SELECT r.run_id, count(*) AS customers_in, count(*) FILTER (resolution = 'excluded_test') AS excluded_test, count(*) FILTER (resolution = 'merged' AND is_canonical) AS groups_formed, count(*) FILTER (resolution = 'merged' AND NOT is_canonical) AS rows_merged, count(*) FILTER (is_canonical) AS canonical_out, (SELECT count(*) FROM (" + review + ") v) AS review_rows FROM resolved, (VALUES (1::BIGINT), (2)) r(run_id) GROUP BY r.run_id")
     def _(t: Inputs):
         store = _published(t, 2)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import apply as P
 from ..operators import churn as H
 from ..operators.graph import folder
-from ..sources.capture import Snapshot, change_feed, lost_to_time_mark
+from ..sources.capture import Snapshot, change_feed, lost_to_time_mark, seen_by_time_mark
 from ..sources.manifest import MANIFEST, Manifest
 from ..sources.versions import Store
 from ..streaming.microbatch import late_rows, mirror_stream
@@ -90,6 +90,12 @@ def register(q: Catalogue) -> None:
         P.load(_snapshot(t), store, MANIFEST)
         return _log(store).select("table_name", "read_mode", "rows_read", "watermark_after")
 
+    @q.add("snk_run_totals", f"SELECT coalesce(table_name, 'TOTAL') AS table_name, CAST(sum(rows_read) AS BIGINT) AS rows_read, count(*) AS entries FROM ({first_run}) x GROUP BY ROLLUP (table_name)")
+    def _(t: Inputs):
+        store = _store(t)
+        P.load(_snapshot(t), store, MANIFEST)
+        return P.run_totals(_log(store))
+
     @q.add("snk_reset", f"SELECT o_orderkey, {columns} FROM orders")
     def _(t: Inputs):
         store = _store(t)
@@ -178,6 +184,12 @@ def register(q: Catalogue) -> None:
             out = one if out is None else out.unionByName(one)
         return out
 
+    @q.add("ir_updated_mark", """SELECT count(*) AS changed, count(*) FILTER (l.updated_at > (SELECT max(updated_at) FROM @id_customers)) AS seen FROM @id_customers_later l JOIN @id_customers c ON l.customer_id = c.customer_id
+        WHERE l.email IS DISTINCT FROM c.email OR l.phone IS DISTINCT FROM c.phone""")
+    def _(t: Inputs):
+        columns = ["customer_id", "email", "phone", "updated_at"]
+        return seen_by_time_mark(t.id_customers.select(*columns), t.id_customers_later.select(*columns), "customer_id", "updated_at")
+
     @q.add("ir_time_mark_loss", "SELECT event_id, posted_at FROM @events_backdated WHERE event_id > 600 AND posted_at <= (SELECT max(posted_at) FROM @events_backdated WHERE event_id <= 600)")
     def _(t: Inputs):
         return lost_to_time_mark(t.events_backdated, "event_id", "posted_at", 600).select("event_id", "posted_at")

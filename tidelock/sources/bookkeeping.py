@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from .manifest import Manifest
+from datetime import datetime
+
+from pyspark.sql import DataFrame
+
 from .versions import Store, Version
 
 LOAD_RUN = (
@@ -22,13 +25,28 @@ IDENTITY_RUN = (
 SCHEMAS = {"_load_run": LOAD_RUN, "customer_map": CUSTOMER_MAP, "merge_review": MERGE_REVIEW, "manual_merge": MANUAL_MERGE, "identity_run": IDENTITY_RUN}
 
 
-def create_schema(store: Store, manifest: Manifest | None = None) -> Version:
+def create_schema(store: Store) -> Version:
     """A version in which every bookkeeping table exists, if only empty; nothing that is there changes."""
     old = store.current()
     missing = {n: store.write(n, store.spark.createDataFrame([], s)) for n, s in SCHEMAS.items() if n not in old.tables}
     return store.commit(old, tables={**old.tables, **missing}) if missing else old
 
 
+def decide(store: Store, customer_id_a: int, customer_id_b: int, decided_by: str, decided_at: datetime, note: str | None = None) -> Version:
+    """Records that two customers are one person; a later decision on the same two takes the place of an earlier one."""
+    old = store.current()
+    a, b = sorted((customer_id_a, customer_id_b))
+    row = store.spark.createDataFrame([(a, b, decided_by, decided_at, note)], MANUAL_MERGE)
+    rows = row if "manual_merge" not in old.tables else row.unionByName(store.read(old.tables["manual_merge"]).join(row, ["customer_id_a", "customer_id_b"], "left_anti"))
+    return store.commit(old, tables={**old.tables, "manual_merge": store.write("manual_merge", rows.coalesce(1))})
+
+
+def decisions(store: Store) -> DataFrame:
+    """All recorded decisions."""
+    found = store.table(store.current(), "manual_merge")
+    return store.spark.createDataFrame([], MANUAL_MERGE) if found is None else found
+
+
 def require(version: Version, *names: str) -> None:
     """The tables that a command needs; one error names all that are missing."""
     if missing := sorted(set(names) - set(version.tables)):

@@ -82,6 +82,18 @@ def change_feed(ops: DataFrame, base: DataFrame, spec: TableSpec) -> DataFrame:
     return joined.select("_op", *spec.key, *[F.when(F.col("_op") != "D", F.col(c)).alias(c) for c in values])
 
 
+def seen_by_time_mark(before: DataFrame, after: DataFrame, key: str, time: str) -> DataFrame:
+    """How many rows changed between two versions, and how many of these a mark on their time of change would see.
+
+    A change is any other value in a column but the time; it is seen if the time has moved past the latest one before.
+    """
+    values = [c for c in after.columns if c not in (key, time)]
+    old = before.select(key, F.struct(*values).alias("_old"))
+    # the other side is one row
+    changed = after.join(old, key).where(~F.struct(*values).eqNullSafe(F.col("_old"))).crossJoin(F.broadcast(before.agg(F.max(time).alias("_mark"))))
+    return changed.agg(F.count("*").alias("changed"), F.count_if(F.col(time) > F.col("_mark")).alias("seen"))
+
+
 def lost_to_time_mark(rows: DataFrame, key: str, time: str, id_mark: int) -> DataFrame:
     """Rows above an id mark that a mark on time would not see: not later than the latest time at or below it."""
     latest = rows.where(F.col(key) <= id_mark).agg(F.max(time).alias("_latest"))

@@ -57,6 +57,10 @@ FIXTURES: dict[str, str] = {
             CASE WHEN t = 9 OR k % 7 = 3 THEN NULL ELSE CAST(make_date(CAST(2022 + k % 2 AS INT), CAST(1 + k % 11 AS INT), CAST(1 + k % 27 AS INT)) AS @TS) END AS updated_at
         FROM (SELECT c_custkey AS k, c_custkey - CASE WHEN c_custkey % 20 = 1 THEN 1 ELSE 0 END AS p, concat('Name', CAST(c_custkey - CASE WHEN c_custkey % 20 = 1 THEN 1 ELSE 0 END AS STRING)) AS surname,
                 CASE WHEN c_custkey % 20 IN (0, 1) THEN (c_custkey @DIV 20) % 20 ELSE -1 END AS t, c_custkey % 20 = 1 AS twin FROM @customer) b""",
+    # a day later: some have another phone, and of these every third a later time of change
+    "id_customers_later": """
+        SELECT customer_id, email, CASE WHEN customer_id % 7 = 3 THEN concat('512', CAST(3000000 + customer_id AS STRING)) ELSE phone END AS phone,
+            CASE WHEN customer_id % 21 = 3 THEN CAST(make_date(2024, 6, 1) AS @TS) ELSE updated_at END AS updated_at FROM @id_customers""",
     "id_advances": """
         SELECT customer_id * 2 AS advance_id, customer_id,
             CASE WHEN t IN (4, 5) THEN 'FUNDED ' WHEN t = 6 THEN 'Paid Off' WHEN t = 12 THEN 'Funded' WHEN t = 14 THEN 'declined' WHEN t = 0 THEN 'Pending'

@@ -97,7 +97,7 @@ def test_run_is_the_stages_in_order(spark, stages):
 def test_stages_take_awkward_rows(spark, make_docs):
     rows = [(1, None), (2, ""), (None, "null id " * 30), (3, "one two three four five six seven. " * 3), (3, "one two three four five six seven. " * 3), (4, "x" * 100_000)]
     for rows_now in (rows, []):
-        docs = make_docs(rows_now).select(*COLUMNS, "kept")
+        docs = make_docs(rows_now).select(*COLUMNS, "kept").selectExpr("*", "1 as _gone", "2 as _cut", "'x' as row", "'y' as touched", "3 as id")
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, SF)
             out.collect()

@@ -38,7 +38,7 @@ SKETCH_BITS = 256
 #: pairs of similarity 0.85 differ in at most 66 bits (standard deviation 7.1), and 76 are refused.
 MARGIN = 0.2
 #: Shingles that one side of a block holds, about; a single larger set is a side of its own.
-BLOCK_SHINGLES = 400_000
+BLOCK_SHINGLES = 100_000
 #: A class with more than this share of all rows is joined apart, by broadcast: there are fewer such classes than this.
 HOT_CLASSES = 1024
 

@@ -78,6 +78,16 @@ def test_tokens_of_added_tokens_and_of_long_words_alike(spark):
         assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == ids_of(name, texts)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_tokens_of_odd_texts(name):
+    rng = random.Random(9)
+    parts = [" ", "  ", "\n", "\t", "a", "b", "é", "漢", "\x01", "\x00", "Ġ", "!", ".", "'s", "1", "\u0301", "Σ", "ς", "'", "😀", "\u200d", "\x1c", "\x85", "\u3000", "<|", "<|endoftext|>"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(40))) for _ in range(1500)]
+    encoder, data = tokens.Encoder(open(tokens.vocabulary_path(name), encoding="utf-8").read(), tokens.CUTS[name]), [t.encode() for t in texts]
+    ids, at = encoder.encode(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == ids_of(name, texts)
+
+
 def test_token_pieces_with_one_hash_are_told_apart(monkeypatch):
     name, whole = "byte_bpe_50k.json", tokens.tv.span_hashes
     encoder = tokens.Encoder(open(tokens.vocabulary_path(name), encoding="utf-8").read(), tokens.CUTS[name])

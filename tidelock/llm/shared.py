@@ -6,6 +6,7 @@ import atexit
 import re
 import tempfile
 import uuid
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,44 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+#: Rows of an Arrow batch between Spark and Python in these operators: whole texts are large rows.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@cache
+def _own(spark: SparkSession) -> SparkSession:
+    return spark.newSession()
+
+
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session for these operators: the settings that the given one has now, but smaller batches, which it does not see."""
+    if spark.conf.get("tidelock.own.session", None):
+        return spark
+    own, theirs = _own(spark), dict(spark.conf.getAll)
+    mine = dict(own.conf.getAll)
+    theirs["tidelock.own.session"] = "true"
+    rows = int(theirs.get(_BATCH, spark.conf.get(_BATCH)))
+    theirs[_BATCH] = str(min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS)
+    for key, value in theirs.items():
+        if mine.get(key) != value and (not key.startswith("spark.") or own.conf.isModifiable(key)):
+            own.conf.set(key, value)
+    return own
+
+
+def moved(df: DataFrame) -> DataFrame:
+    """The table in the session of these operators."""
+    own = own_session(df.sparkSession)
+    if own is df.sparkSession:
+        return df
+    name = f"tidelock_{uuid.uuid4().hex}"
+    df.createGlobalTempView(name)
+    try:
+        return own.table(f"global_temp.{name}")
+    finally:
+        own.catalog.dropGlobalTempView(name)
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with its scheme: one without belongs to the cluster's default file system, not to a local one."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -38,7 +77,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.path = spark, qualified(spark, f"{shared_root(spark)}/tidelock-{name}-{uuid.uuid4().hex}")
+        self.spark, self.path = own_session(spark), qualified(spark, f"{shared_root(spark)}/tidelock-{name}-{uuid.uuid4().hex}")
         atexit.register(self.drop)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
@@ -99,12 +138,12 @@ def has_hashes(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 def packed(df: DataFrame, **columns: Column) -> DataFrame:
     """All columns of a table as one, `row`, beside the operator's own, which its names can't clash with."""
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(k) for k, c in columns.items()])
+    return moved(df).select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(k) for k, c in columns.items()])
 
 
 def only(df: DataFrame, **columns: Column | str) -> DataFrame:
     """Just these columns, under these names: further columns of the input can't clash with the operator's own."""
-    return df.select(*[(F.col(_quoted(c)) if isinstance(c, str) else c).alias(k) for k, c in columns.items()])
+    return moved(df).select(*[(F.col(_quoted(c)) if isinstance(c, str) else c).alias(k) for k, c in columns.items()])
 
 
 def _quoted(name: str) -> str:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from .operators import checks, churn, identity, publish, scenario, score
 from .operators.apply import RunStats, load, reset
+from .operators.graph import written
 from .plans.registry import Inputs
 from .sources.bookkeeping import create_schema, decide, decisions, require
 from .sources.capture import Snapshot
@@ -159,7 +160,7 @@ def format_score(spark: SparkSession, tables: str) -> str:
     t = Inputs(spark, tables)
     screening = identity.screen(t.id_customers, t.id_advances)
     resolved = identity.customer_map(screening, identity.grouped(screening, t.id_manual))
-    scores, people = score.scored_variants(t.id_customers, t.id_advances, t.id_manual, t.id_truth)
+    scores, people = map(written, score.scored_variants(t.id_customers, t.id_advances, t.id_manual, t.id_truth))
     shipped = score.score(score.map_pairs(resolved), screening.population.select("customer_id"), t.id_truth)
     return "\n\n".join(format_rows(x) for x in (shipped, scores, score.prices(scores, people)))
 

@@ -31,23 +31,25 @@ _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 @cache
-def _own(spark: SparkSession) -> SparkSession:
-    return spark.newSession()
+def _own(spark: SparkSession, settings: frozenset) -> SparkSession:
+    """A new session for each state of the settings: one that was made before a change would go on without it."""
+    own = spark.newSession()
+    mine = dict(own.conf.getAll)
+    for key, value in settings:
+        if mine.get(key) != value and (not key.startswith("spark.") or own.conf.isModifiable(key)):
+            own.conf.set(key, value)
+    return own
 
 
 def own_session(spark: SparkSession) -> SparkSession:
     """A session for these operators: the settings that the given one has now, but smaller batches, which it does not see."""
     if spark.conf.get("tidelock.own.session", None):
         return spark
-    own, theirs = _own(spark), dict(spark.conf.getAll)
-    mine = dict(own.conf.getAll)
+    theirs = dict(spark.conf.getAll)
     theirs["tidelock.own.session"] = "true"
     rows = int(theirs.get(_BATCH, spark.conf.get(_BATCH)))
     theirs[_BATCH] = str(min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS)
-    for key, value in theirs.items():
-        if mine.get(key) != value and (not key.startswith("spark.") or own.conf.isModifiable(key)):
-            own.conf.set(key, value)
-    return own
+    return _own(spark, frozenset(theirs.items()))
 
 
 def moved(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tidelock.llm import boosting, decontaminate, neardup, quality, substring, toxicity
+from tidelock.llm import boosting, components, decontaminate, neardup, quality, substring, toxicity
 from tidelock.llm import textvec as tv
 from tidelock.llm.shared import Scratch
 
@@ -70,6 +70,57 @@ def test_near_duplicates_of_one_large_group_in_small_blocks(spark, make_docs, mo
     assert {r.doc_id: r.component_id for r in found} == brute.components(rows, 3, 85)
 
 
+def test_near_duplicates_take_few_tasks_where_shuffles_have_many_partitions(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 700)
+    rng = random.Random(6)
+    base = prose(rng, 90)
+    rows = [(k, edited(rng, base, k % 9)) for k in range(70)] + [(200 + k, edited(rng, edited(random.Random(k // 4), base, 14), k % 3)) for k in range(24)]
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in settings}
+    sc = spark.sparkContext
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        sc.setJobGroup("few-tasks", "near-duplicates")
+        found = neardup.near_duplicates(make_docs(rows), neardup.Rule(3, 85), Scratch(spark, "t")).collect()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert {r.doc_id: r.component_id for r in found} == brute.components(rows, 3, 85)
+    status = sc.statusTracker()
+    stages = {k for job in status.getJobIdsForGroup("few-tasks") for k in status.getJobInfo(job).stageIds}
+    tasks = sum(stage.numCompletedTasks for stage in map(status.getStageInfo, stages) if stage)
+    assert tasks < 60 * 16, tasks
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_components_settled_at_once_or_in_rounds(spark, monkeypatch, few):
+    monkeypatch.setattr(components, "FEW_EDGES", few)
+    rng = random.Random(7)
+    chain = [(k, k + 1) for k in range(40)]
+    rng.shuffle(chain)
+    edges = chain + [(k, 900) for k in range(500, 530)] + [(rng.randrange(100, 300), rng.randrange(100, 300)) for _ in range(90)] + [(7, 7), (950, 950), (3, 4), (4, 3), (2**62, -5)]
+    least = {x: x for edge in edges if edge[0] != edge[1] for x in edge}
+    for _ in least:
+        for a, b in edges:
+            if a != b:
+                least[a] = least[b] = min(least[a], least[b])
+    run = lambda rows, name: components.components(spark.createDataFrame(rows, "a long, b long"), Scratch(spark, "t"), name)
+    found = run(edges, "g").collect()
+    assert len(found) == len(least) and {r.node: r.root for r in found} == least
+    assert run([(7, 7)], "loop").collect() == run([], "none").collect() == []
+    assert {(r.node, r.root) for r in run([(2, 1), (3, 1), (9, 8)], "stars").collect()} == {(1, 1), (2, 1), (3, 1), (8, 8), (9, 8)}
+
+
+def test_near_duplicates_with_components_in_rounds(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(components, "FEW_EDGES", 0)
+    rows = awkward()
+    found = neardup.near_duplicates(make_docs(rows).repartition(3), neardup.Rule(3, 85), Scratch(spark, "t")).collect()
+    want = brute.components(rows, 3, 85)
+    assert {r.doc_id: (r.component_id, r.kept) for r in found} == {i: (want[i], want[i] == i) for i, t in rows}
+
+
 def test_near_duplicates_of_repeated_and_null_ids_and_empty_tables(spark, make_docs):
     run = lambda rows: sorted(((r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(make_docs(rows), neardup.Rule(3, 85), Scratch(spark, "t")).collect()), key=str)
     assert run([(None, "a b c d"), (None, "a b c d"), (4, "a b c d"), (3, "a b c d"), (3, "a b c d")]) == sorted([(None, None, True)] * 2 + [(4, 3, False)] + [(3, 3, True)] * 2, key=str)

@@ -150,13 +150,16 @@ def _sets(batches: Iterator[pa.RecordBatch], rule: Rule, wanted) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([pa.array([_digest(x) for x in sets], pa.binary()), pa.array(sets, pa.binary())], names=["digest", "keys"])
 
 
-def _sets_of(source: DataFrame, classes: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
+def _sets_of(source: DataFrame, classes: DataFrame, wanted: DataFrame, rule: Rule, scratch: Scratch, name: str) -> DataFrame:
     """The shingle sets (node, keys) of the classes whose nodes are wanted; other texts are neither shuffled nor hashed again."""
-    wanted = classes.select("node", "rep", "digest").join(wanted.hint("merge"), "node", "left_semi")
+    wanted = scratch.keep(classes.select("node", "rep", "digest").join(wanted.hint("merge"), "node", "left_semi"), f"{name}-wanted")
     marks = Marks(wanted, "rep")
     bitmap = marks.shared
     found = source.select("text", marks.slot("doc_id").alias("slot")).mapInArrow(lambda b: _sets(b, rule, bitmap), "digest binary, keys binary")
-    return found.join(wanted.select("digest", "node").hint("merge"), "digest").dropDuplicates(["node"]).select("node", "keys")
+    # each wanted digest is one node's, and the join has dealt the sets by it
+    found = scratch.keep(found.join(wanted.select("digest", "node").hint("merge"), "digest").dropDuplicates(["digest"]).select("node", "keys"), name)
+    scratch.drop(f"{name}-wanted")
+    return found
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -260,7 +263,7 @@ def near_duplicates(docs: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
     member = classes.select(F.explode("bands").alias("key"), "node")
     # buckets with the same members are one
     buckets = member.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("least"), F.expr("bit_xor(xxhash64(node))").alias("same")).where("members > 1")
-    buckets = scratch.keep(buckets.groupBy("members", "least", "same").agg(F.min("key").alias("key")).select("key", "members"), "buckets")
+    buckets = buckets.groupBy("members", "least", "same").agg(F.min("key").alias("key")).select("key", "members")
     meets = scratch.keep(member.join(buckets.hint("merge"), "key").join(classes.select("node", "size", "copies"), "node"), "meets")
     # the hub is the class with most copies
     hubs = meets.groupBy("key").agg(F.max(F.struct("copies", F.negative("node").alias("order"))).alias("top"), F.sum("size").alias("shingles"))
@@ -271,7 +274,7 @@ def near_duplicates(docs: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
     differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"hub_{c}"))) for c in SKETCH), F.lit(0))
     pairs = meets.where("node <> hub").select("node", "hub").distinct().join(sketches, "node").join(theirs, "hub").where(differ < rule.refused_from()).select("node", "hub")
     pairs = scratch.keep(pairs, "pairs")
-    sets = scratch.keep(_sets_of(source, classes, pairs.select(F.explode(F.array("node", "hub")).alias("node")).distinct(), rule), "sets")
+    sets = _sets_of(source, classes, pairs.select(F.explode(F.array("node", "hub")).alias("node")).distinct(), rule, scratch, "sets")
     compared = pairs.join(sets, "node").join(sets.select(F.col("node").alias("hub"), F.col("keys").alias("hub_keys")), "hub")
     compared = scratch.keep(compared.mapInArrow(lambda b: _with_hub(b, rule), "node long, hub long, away double, linked boolean"), "compared")
     first = scratch.keep(components(compared.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b")), scratch, "first"), "roots")
@@ -289,18 +292,19 @@ def near_duplicates(docs: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
     rest = rest.withColumn("minor", F.col("root") != F.col("largest")).withColumn("outside", sides(F.col("shingles") - F.col("held"))).withColumn("all", sides(F.col("shingles")))
     side = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
     rest = rest.join(sketches, "node").withColumn("i", side("outside", 1)).withColumn("j", side("all", 2))
-    as_left = rest.where("minor").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("all") - 1))).withColumn("left", F.lit(True))
-    as_right = rest.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("outside") - 1))).withColumn("left", F.lit(False))
-    rest = as_left.unionByName(as_right).select("key", "i", "j", "left", "minor", "node", "size", "away", "root", *SKETCH)
+    place = lambda i, j, left: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(left).alias("left"))
+    as_left = F.transform(F.when(F.col("minor"), F.sequence(F.lit(0), F.col("all") - 1)).otherwise(F.array().cast("array<int>")), lambda j: place(F.col("i"), j, True))
+    as_right = F.transform(F.sequence(F.lit(0), F.col("outside") - 1), lambda i: place(i, F.col("j"), False))
+    rest = rest.withColumn("place", F.explode(F.concat(as_left, as_right))).select("key", "place.*", "minor", "node", "size", "away", "root", *SKETCH)
     hopeful = scratch.keep(rest.groupBy("key", "i", "j").applyInPandas(lambda rows: _hopeful(rows, rule), rest.schema), "hopeful")
-    sets = scratch.keep(_sets_of(source, classes, hopeful.select("node").distinct(), rule), "more-sets")
+    sets = _sets_of(source, classes, hopeful.select("node").distinct(), rule, scratch, "more-sets")
     more = hopeful.join(sets, "node").groupBy("key", "i", "j").applyInPandas(lambda rows: _linked(rows, rule), "a long, b long")
     more = scratch.keep(more, "more")
     links = first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
     roots = scratch.keep(components(links, scratch, "last"), "components")
 
     named = _names(classes, roots, scratch, shared)
-    for name in ("buckets", "meets", "hubs", "members", "pairs", "sets", "compared", "placed", "largest", "hopeful", "more-sets", "more"):
+    for name in ("meets", "hubs", "members", "pairs", "sets", "compared", "placed", "largest", "hopeful", "more-sets", "more"):
         scratch.drop(name)
     return _verdicts(features, named)
 
